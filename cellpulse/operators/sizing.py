@@ -1,0 +1,23 @@
+"""Broadcast only what was measured to be small."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+BROADCAST_LIMIT_BYTES = 64 * 1024 * 1024
+
+
+def text_bytes(df: DataFrame) -> int:
+    """Size of the rows as JSON text, plus 64 bytes a row: an upper estimate of the in-memory size."""
+    size = F.length(F.to_json(F.struct(*df.columns))) + F.lit(64)
+    return df.agg(F.coalesce(F.sum(size), F.lit(0)).alias("bytes")).first()["bytes"]
+
+
+def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_LIMIT_BYTES) -> DataFrame:
+    """Mark ``df`` for broadcast if its measured size is within ``limit``.
+
+    Beyond the limit the frame comes back unmarked: Spark then shuffles both
+    sides, and adaptive execution splits skewed partitions of that join.
+    """
+    return F.broadcast(df) if text_bytes(df) <= limit else df
