@@ -20,8 +20,7 @@ def timestamp_of(text: Column, formats: Sequence[str] | None = None) -> Column:
 
 def measure_of(text: Column) -> Column:
     """Double or null; the text ``NaN`` counts as missing, so that it cannot poison sums."""
-    value = text.try_cast("double")
-    return F.when(~F.isnan(value), value)
+    return F.nanvl(text.try_cast("double"), F.lit(None).cast("double"))
 
 
 def field_count(line: Column) -> Column:

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -50,7 +49,13 @@ def faults() -> list[tuple[Column, str]]:
 
 
 def is_invalid() -> Column:
-    return reduce(lambda a, b: a | b, [condition for condition, _ in faults()])
+    """The same as any fault, never null. ``least`` skips nulls, so each measure is evaluated once."""
+    lowest = F.least(*[F.col(m) for m in MEASURES])
+    return (
+        F.col("grid_id").isNull()
+        | F.col("timestamp").isNull()
+        | F.coalesce(lowest < 0, F.lit(False))
+    )
 
 
 def fault_reasons() -> Column:

@@ -8,10 +8,8 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -85,27 +83,30 @@ def _filled(features: DataFrame) -> DataFrame:
     return features.withColumns({c: F.coalesce(F.col(c), F.lit(0)).cast("double") for c in FEATURES})
 
 
-def train_risk_model(features: DataFrame, until: Column | None = None) -> PipelineModel:
+def train_risk_model(features: DataFrame, until: Column | None = None) -> LogisticRegressionModel:
     """Logistic regression on the rows before ``until``; later rows stay unseen."""
     end = split_time(features) if until is None else until
     rows = _filled(features.where(F.col("label").isNotNull() & (F.col("timestamp") < end)))
     assembler = VectorAssembler(inputCols=list(FEATURES), outputCol="features")
-    regression = LogisticRegression(
-        featuresCol="features", labelCol="label", family="binomial", maxIter=25, regParam=0.01
-    )
-    return Pipeline(stages=[assembler, regression]).fit(rows.withColumn("label", F.col("label").cast("double")))
+    vectors = assembler.transform(rows).select("features", F.col("label").cast("double").alias("label"))
+    return LogisticRegression(family="binomial", maxIter=25, regParam=0.01).fit(vectors)
 
 
 def risk_scores(
-    model: PipelineModel,
+    model: LogisticRegressionModel,
     features: DataFrame,
     scored_at: datetime,
     version: str = MODEL_VERSION,
     levels=RISK_LEVELS,
 ) -> DataFrame:
-    """Probability of a hotspot in the next hour, for every row given."""
-    probability = vector_to_array("probability")[1]
-    scored = model.transform(_filled(features)).withColumn("risk_score", probability)
+    """Probability of a hotspot in the next hour, for every row given.
+
+    The model is a handful of weights, so the score is column arithmetic: rows
+    need no vectors and no function call outside generated code.
+    """
+    weights = zip(FEATURES, model.coefficients.toArray(), strict=True)
+    margin = sum((F.col(c) * float(w) for c, w in weights), start=F.lit(float(model.intercept)))
+    scored = _filled(features).withColumn("risk_score", 1.0 / (1.0 + F.exp(-margin)))
     level = F.coalesce(
         *[F.when(F.col("risk_score") >= lowest, F.lit(name)) for name, lowest in levels], F.lit("LOW")
     )

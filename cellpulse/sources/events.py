@@ -44,9 +44,15 @@ def _between(day: Column, span: tuple[int, int]) -> Column:
 
 def activity_rows(events: DataFrame) -> DataFrame:
     """Raw activity rows as text, in the layout of a daily file, with the delivery name."""
-    k = F.get_json_object("props", "$.k").cast("int")
-    day = F.day("ts")
-    hour_start = F.date_trunc("hour", "ts")
+    # Going through a generator, the values below are computed once per row and
+    # not again in each expression that uses them.
+    facts = F.struct(
+        F.get_json_object("props", "$.k").cast("int").alias("k"),
+        F.day("ts").alias("day"),
+        F.date_trunc("hour", "ts").alias("hour_start"),
+    )
+    events = events.select("ts", "user_id", "event_type", "value", F.inline(F.array(facts)))
+    k, day, hour_start = F.col("k"), F.col("day"), F.col("hour_start")
     recorded = (
         F.when((day == SHORT_DAY) & (F.hour("ts") == 5), hour_start + F.expr("INTERVAL 1 HOUR"))
         .when((day == LATE_DAY) & (F.hour("ts") == 0), hour_start - F.expr("INTERVAL 1 DAY"))
@@ -64,13 +70,14 @@ def activity_rows(events: DataFrame) -> DataFrame:
         F.when(F.col("event_type") == event, value).alias(name)
         for event, name in MEASURE_OF_EVENT.items()
     ]
-    return events.select(
+    row = F.struct(
         F.when(bad_time, "bad").otherwise(F.date_format(recorded, "yyyy-MM-dd HH:mm:ss")).alias("datetime"),
         F.when(k != K_NO_CELL, F.col("user_id").cast("string")).alias("CellID"),
         k.cast("string").alias("countrycode"),
         *measures,
         F.concat(F.lit(NAME_PREFIX), F.date_format("ts", "yyyy-MM-dd"), F.lit(".csv")).alias("_source_file"),
     )
+    return events.select(F.inline(F.array(row)))
 
 
 def read_activity(spark: SparkSession, sf_dir: str) -> DataFrame:
