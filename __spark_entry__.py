@@ -34,7 +34,7 @@ def present(df: DataFrame, digits: int = 6) -> DataFrame:
     for field in df.schema.fields:
         column = F.col(field.name)
         if isinstance(field.dataType, T.DoubleType):
-            column = F.round(column, digits)
+            column = F.round(F.round(column, 2 * digits), digits)
         elif isinstance(field.dataType, T.TimestampType):
             column = column.cast("timestamp_ntz")
         columns.append(column.alias(field.name))

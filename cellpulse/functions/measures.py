@@ -27,9 +27,14 @@ def share_of(part: Column, whole: Column) -> Column:
     return F.when(whole > 0, part / whole).otherwise(F.lit(0.0))
 
 
+def settled(value: Column) -> Column:
+    """Rounded, in two steps: the first removes the noise that would decide a half in the second."""
+    return F.round(F.round(value, 2 * RATIO_DIGITS), RATIO_DIGITS)
+
+
 def safe_ratio(numerator: Column, denominator: Column) -> Column:
     """Rounded ratio, null where the denominator is null or zero."""
-    return F.round(F.try_divide(numerator, denominator), RATIO_DIGITS)
+    return settled(F.try_divide(numerator, denominator))
 
 
 def percent(part: Column, whole: Column) -> Column:

@@ -11,7 +11,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cellpulse.functions.measures import RATIO_DIGITS, safe_ratio, share_of
+from cellpulse.functions.measures import safe_ratio, settled, share_of
 
 HOTSPOT_RATIO = 2.0
 # Lowest ratio of each alert level, highest level first.
@@ -43,7 +43,7 @@ def grid_baseline(hourly: DataFrame) -> DataFrame:
         "grid_id",
         "timestamp",
         "total_activity",
-        F.round(baseline, RATIO_DIGITS).alias("baseline_activity"),
+        settled(baseline).alias("baseline_activity"),
         F.col("hour_stddev").alias("activity_stddev"),
     )
 
@@ -53,7 +53,7 @@ def hotspots(baseline: DataFrame, min_ratio: float = HOTSPOT_RATIO) -> DataFrame
     x, expected = F.col("total_activity"), F.col("baseline_activity")
     rated = baseline.withColumn("activity_ratio", safe_ratio(x, expected))
     # Equal values leave a spread of rounding noise; rounding makes it the zero it stands for.
-    spread = F.round("activity_stddev", RATIO_DIGITS)
+    spread = settled(F.col("activity_stddev"))
     return rated.select(
         "grid_id",
         "timestamp",

@@ -65,9 +65,11 @@ def grid_centroids(lookup: DataFrame) -> DataFrame:
     xs = F.transform(points, lambda p: p[0])
     ys = F.transform(points, lambda p: p[1])
     ring = F.col("ring")
+    # Each point with the next, the last with the first: in a closed ring that edge adds nothing.
+    following = F.concat(F.slice(ring, F.lit(2), F.size(ring)), F.slice(ring, 1, 1))
     edges = F.zip_with(
-        F.slice(ring, F.lit(1), F.size(ring) - 1),
-        F.slice(ring, F.lit(2), F.size(ring) - 1),
+        ring,
+        following,
         lambda a, b: F.struct(
             (a[0] * b[1] - b[0] * a[1]).alias("cross"),
             ((a[0] + b[0]) * (a[0] * b[1] - b[0] * a[1])).alias("x"),
@@ -81,9 +83,7 @@ def grid_centroids(lookup: DataFrame) -> DataFrame:
         F.array_max(xs).alias("max_x"),
         F.array_max(ys).alias("max_y"),
         F.get("geometry.coordinates", F.lit(0)).alias("ring"),
-    ).withColumn("edges", F.when(F.size(ring) > 1, edges).otherwise(F.array().cast(
-        "array<struct<cross:double,x:double,y:double>>"
-    )))
+    ).withColumn("edges", edges)
     area3 = _ring_sum(F.col("edges"), "cross") * 3.0
     mean_x = F.aggregate(ring, F.lit(0.0), lambda acc, p: acc + p[0]) / F.size(ring)
     mean_y = F.aggregate(ring, F.lit(0.0), lambda acc, p: acc + p[1]) / F.size(ring)

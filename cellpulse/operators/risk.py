@@ -13,7 +13,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cellpulse.functions.measures import RATIO_DIGITS, safe_ratio
+from cellpulse.functions.measures import safe_ratio, settled
 from cellpulse.operators.analytics import HOTSPOT_RATIO
 
 LAGS = (1, 2, 24)
@@ -54,7 +54,7 @@ def risk_features(spine: DataFrame, min_ratio: float = HOTSPOT_RATIO) -> DataFra
     )
     seen = F.when(~F.col("is_missing"), F.col("total_activity"))
     rated = lagged.withColumn(
-        "trailing_baseline", F.round(F.avg(seen).over(earlier_days), RATIO_DIGITS)
+        "trailing_baseline", settled(F.avg(seen).over(earlier_days))
     ).withColumn("trailing_ratio", safe_ratio(F.col("total_activity"), F.col("trailing_baseline")))
     is_hot = F.coalesce(F.col("trailing_ratio") >= min_ratio, F.lit(False)).cast("int")
     return rated.withColumn("is_hot", is_hot).select(

@@ -9,6 +9,7 @@ delivered again replaces only itself.
 
 from __future__ import annotations
 
+import json
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,6 +22,7 @@ MANIFEST_SCHEMA = T.StructType(
         T.StructField("date", T.DateType()),
         T.StructField("run_id", T.StringType()),
         T.StructField("has_rows", T.BooleanType()),
+        T.StructField("schema", T.StringType()),
         T.StructField("published_at", T.TimestampType()),
     ]
 )
@@ -103,6 +105,7 @@ def publish(
             run_dates["date"],
             F.lit(run_id).alias("run_id"),
             F.col("filled").isNotNull().alias("has_rows"),
+            F.lit(staged.schema.json()).alias("schema"),
             F.lit(published_at).cast("timestamp").alias("published_at"),
         )
         rows = entry if rows is None else rows.unionByName(entry)
@@ -110,29 +113,38 @@ def publish(
 
 
 def current_runs(spark: SparkSession, output: str, table: str) -> DataFrame:
-    """(date, run_id, has_rows) of what is published; of two runs at one time the later id wins."""
-    newest = F.max(F.struct("published_at", "run_id", "has_rows"))
+    """What is published, one row per date; of two runs at one time the later id wins."""
+    newest = F.max(F.struct("published_at", "run_id", "has_rows", "schema"))
     return (
         spark.read.schema(MANIFEST_SCHEMA)
         .parquet(manifest_path(output))
         .where(F.col("table") == table)
         .groupBy("date")
         .agg(newest.alias("last"))
-        .select("date", "last.run_id", "last.has_rows")
+        .select("date", "last.*")
     )
 
 
 def read_published(spark: SparkSession, output: str, table: str) -> DataFrame:
-    """The published rows of a table: only the folders of the current run of each date are listed."""
+    """The published rows of a table, with ``run_id``.
+
+    Only the folders of the current run of each date are listed, and the schema
+    comes from the manifest, so no file is opened before the query runs.
+    """
     base = f"{output.rstrip('/')}/{table}"
-    current = current_runs(spark, output, table).where("has_rows").collect()  # one row per date
+    current = current_runs(spark, output, table).collect()  # one row per date
     if not current:
-        return spark.read.option("basePath", base).parquet(base).where(F.lit(False))
+        raise LookupError(f"{table} has not been published in {output}")
+    last = max(current, key=lambda row: (row["published_at"], row["run_id"]))
+    schema = T.StructType.fromJson(json.loads(last["schema"])).add("run_id", T.StringType())
     paths = [
         f"{base}/run_id={row['run_id']}/date={row['date'] or '__HIVE_DEFAULT_PARTITION__'}"
         for row in current
+        if row["has_rows"]
     ]
-    return spark.read.option("basePath", base).parquet(*paths)
+    if not paths:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("basePath", base).parquet(*paths)
 
 
 def register_views(spark: SparkSession, output: str, tables: list[str]) -> None:

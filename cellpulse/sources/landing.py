@@ -8,8 +8,11 @@ its own header line.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
+from urllib.parse import unquote
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -47,17 +50,25 @@ def delivery_date(filename: Column) -> Column:
     return F.to_date(F.try_to_timestamp(F.nullif(text, F.lit("")), F.lit("yyyy-MM-dd")))
 
 
+def listed_paths(spark: SparkSession, folder: str) -> list[str]:
+    """Paths of all candidate parts, as the file listing of a scan holds them on the driver anyway."""
+    uris = spark.read.format("binaryFile").load(landing_glob(folder)).inputFiles()
+    return sorted(re.sub("^file:/+", "file:/", unquote(uri)) for uri in uris)
+
+
 def detect_files(spark: SparkSession, folder: str) -> DataFrame:
-    """Candidate parts with their size and time; empty files are listed too.
+    """Candidate parts with their size and time, also the empty ones, which a scan skips.
 
     Only the file listing is read: the content column is never selected.
     """
-    files = spark.read.format("binaryFile").load(landing_glob(folder))
-    return files.select(
+    files = spark.createDataFrame([(p,) for p in listed_paths(spark, folder)], "path string")
+    scanned = spark.read.format("binaryFile").load(landing_glob(folder))
+    sized = scanned.select("path", "length", F.col("modificationTime").alias("modified_at"))
+    return files.join(sized, "path", "left").select(
         delivery_name(F.col("path")).alias("filename"),
         "path",
-        "length",
-        F.col("modificationTime").alias("modified_at"),
+        F.coalesce("length", F.lit(0)).alias("length"),
+        "modified_at",
     )
 
 
@@ -79,11 +90,11 @@ def detect_deliveries(spark: SparkSession, folder: str) -> DataFrame:
 def require_files(spark: SparkSession, folder: str) -> None:
     """Fail early when the folder is missing or holds no daily file."""
     try:
-        found = not detect_files(spark, folder).select("path").isEmpty()
-    except Exception as error:
-        if "PATH_NOT_FOUND" not in str(error):
+        found = listed_paths(spark, folder)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        found = False
+        found = []
     if not found:
         raise FileNotFoundError(f"no {NAME_PREFIX}*.csv below {folder}")
 

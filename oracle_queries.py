@@ -102,16 +102,16 @@ GEOMETRY = """case when has_geometry then 'Polygon' end as geometry_type,
        case when has_geometry then x end as corner_x,
        case when has_geometry then y end as corner_y"""
 
-BASELINE = """baseline as (
+BASELINE = f"""baseline as (
   select grid_id, timestamp, total_activity, activity_stddev,
-         case when n > 1 then round(cast(s - total_activity as double) / (n - 1), 6) end as baseline_activity
+         case when n > 1 then {d('cast(s - total_activity as double) / (n - 1)')} end as baseline_activity
   from (select *, sum(total_activity) over w as s, count(*) over w as n,
                stddev_samp(cast(total_activity as double)) over w as activity_stddev
         from hourly window w as (partition by grid_id, extract(hour from timestamp))))"""
 
 SPOTS = f"""spots as (
   select grid_id, timestamp, total_activity, baseline_activity, activity_ratio,
-         {ratio("cast(total_activity as double) - baseline_activity", "round(activity_stddev, 6)")} as hotspot_score,
+         {ratio("cast(total_activity as double) - baseline_activity", d("activity_stddev"))} as hotspot_score,
          coalesce(activity_ratio >= 2.0, false) as hotspot_flag
   from (select *, {ratio("total_activity", "baseline_activity")} as activity_ratio from baseline))"""
 
@@ -474,8 +474,8 @@ def all_queries() -> dict[str, str]:
              extract(dow from timestamp) + 1 as day_of_week
       from spine window c as (partition by grid_id order by timestamp)),
     trended as (
-      select *, round(cast(sum(total_activity) filter (where not is_missing) over p as double)
-                      / nullif(count(*) filter (where not is_missing) over p, 0), 6) as trailing_baseline
+      select *, {d("""cast(sum(total_activity) filter (where not is_missing) over p as double)
+                      / nullif(count(*) filter (where not is_missing) over p, 0)""")} as trailing_baseline
       from lagged window p as (partition by grid_id, hour order by timestamp
                                rows between unbounded preceding and 1 preceding)),
     rated as (select *, {ratio("total_activity", "trailing_baseline")} as trailing_ratio from trended)"""
