@@ -38,9 +38,14 @@ def delivery_name(path: Column) -> Column:
     return F.concat(F.lit(NAME_PREFIX), tail)
 
 
-def plain_path(path: Column) -> Column:
-    """Undo the URL encoding of ``_metadata.file_path``; only paths that have any pay for it."""
+def source_part() -> Column:
+    """Path of the part a row comes from; to be selected directly on a scan.
+
+    The per-row functions cost a third less than the ``_metadata`` column here.
+    """
+    path = F.input_file_name()
     decoded = F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
+    # Only paths that have an encoded character pay for the decoding.
     return F.when(F.contains(path, F.lit("%")), decoded).otherwise(path)
 
 
@@ -115,8 +120,8 @@ def scan_parts(spark: SparkSession, paths, names: Sequence[str], header: bool) -
     )
     return scan.withColumns(
         {
-            "part": plain_path(F.col("_metadata.file_path")),
-            "block_start": F.col("_metadata.file_block_start"),
+            "part": source_part(),
+            "block_start": F.input_file_block_start(),
             "line_id": F.monotonically_increasing_id(),
         }
     )
@@ -140,8 +145,8 @@ def header_lines(spark: SparkSession, paths) -> DataFrame:
     lines = (
         spark.read.text(paths)
         .select(
-            plain_path(F.col("_metadata.file_path")).alias("part"),
-            F.col("_metadata.file_block_start").alias("block_start"),
+            source_part().alias("part"),
+            F.input_file_block_start().alias("block_start"),
             F.monotonically_increasing_id().alias("line_id"),
             "value",
         )
@@ -164,8 +169,8 @@ def unusual_parts(spark: SparkSession, paths) -> list[str]:
     lines = (
         spark.read.text(paths)
         .select(
-            plain_path(F.col("_metadata.file_path")).alias("part"),
-            F.col("_metadata.file_block_start").alias("block_start"),
+            source_part().alias("part"),
+            F.input_file_block_start().alias("block_start"),
             F.monotonically_increasing_id().alias("line_id"),
             (F.col("value") == ",".join(RAW_COLUMNS)).alias("is_header"),
             "value",
@@ -221,7 +226,7 @@ def read_raw(spark: SparkSession, folder: str, *, unusual: list[str] | None = No
         spark.read.schema(RAW_SCHEMA)
         .option("header", True)
         .csv(paths)
-        .select("*", plain_path(F.col("_metadata.file_path")).alias(SOURCE_COLUMN))
+        .select("*", source_part().alias(SOURCE_COLUMN))
     )
     if not unusual:
         return rows

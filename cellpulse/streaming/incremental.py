@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from cellpulse.functions.measures import share_of, total_columns
 from cellpulse.operators.clean import clean_activity
 from cellpulse.schemas import HOURLY_COLUMNS, MEASURES, RAW_SCHEMA, SOURCE_COLUMN
-from cellpulse.sources.landing import landing_glob
+from cellpulse.sources.landing import landing_glob, source_part
 
 GRAIN = ("timestamp", "grid_id", "country_code")
 
@@ -25,7 +25,7 @@ def stream_raw(spark: SparkSession, folder: str, max_files: int | None = None) -
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     return reader.csv(landing_glob(folder)).select(
-        "*", F.col("_metadata.file_path").alias(SOURCE_COLUMN)
+        "*", source_part().alias(SOURCE_COLUMN)
     )
 
 
