@@ -168,6 +168,10 @@ def q_latest_log(spark, sf_dir):
     return present(reports.latest_log(_two_runs(spark, sf_dir)))
 
 
+def q_daily_intake(spark, sf_dir):
+    return present(reports.daily_intake(_two_runs(spark, sf_dir)))
+
+
 def q_pipeline_health(spark, sf_dir):
     return present(reports.pipeline_health(_two_runs(spark, sf_dir)))
 
@@ -231,6 +235,10 @@ def q_risk_scores(spark, sf_dir):
     return risk.risk_scores(risk.train_risk_model(features), features, RUN_AT)
 
 
+def q_gate2_risk(spark, sf_dir):
+    return gate2.risk_check(q_risk_scores(spark, sf_dir))
+
+
 def q_stream_new_files(spark, sf_dir):
     folder = landing_of(prepare(spark), sf_dir, plain=True)
     out = scratch_path(spark, "stream")
@@ -253,10 +261,9 @@ def q_stream_hourly(spark, sf_dir):
 def q_stream_deduplicated(spark, sf_dir):
     folder = landing_of(prepare(spark), sf_dir, plain=True)
     out = scratch_path(spark, "stream")
-    rows = clean.clean_activity(incremental.stream_raw(spark, folder))
-    kept = incremental.drop_repeated(rows, "40 days").select(*incremental.GRAIN)
-    incremental.copy_new_rows(kept, f"{out}/rows", f"{out}/state")
-    return present(spark.read.parquet(f"{out}/rows"))
+    rows = clean.clean_activity(incremental.stream_raw(spark, folder, max_files=20))
+    incremental.append_first_deliveries(rows, f"{out}/rows", f"{out}/state")
+    return present(spark.read.parquet(f"{out}/rows").select(*incremental.GRAIN))
 
 
 # ---------------------------------------------------------------- registry
@@ -279,6 +286,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "route_rows": q_route_rows,
         "ingestion_log": q_ingestion_log,
         "latest_log": q_latest_log,
+        "daily_intake": q_daily_intake,
         "pipeline_health": q_pipeline_health,
         "clean_activity": lambda s, d: present(_clean(s, d)),
         "rejected_rows": lambda s, d: clean.rejected_rows(_raw(s, d)).withColumn(
@@ -306,6 +314,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "readback_check": q_readback_check,
         "gate2_checks": q_gate2_checks,
         "gate2_reconcile": q_gate2_reconcile,
+        "gate2_risk": q_gate2_risk,
         "stage_totals": q_stage_totals,
         "hourly_spine": lambda s, d: present(_spine(s, d)),
         "grid_baseline": lambda s, d: present(_baseline(s, d)),

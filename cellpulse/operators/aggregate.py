@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cellpulse.functions.measures import share_of, total_columns
+from cellpulse.functions.measures import settled, share_of, total_columns
 from cellpulse.schemas import HOURLY_COLUMNS, MEASURES
 
 
@@ -55,7 +55,7 @@ def peak_hour(hourly: DataFrame) -> DataFrame:
     return (
         hourly.groupBy("timestamp")
         .agg(F.sum("total_activity").alias("total_activity"))
-        .orderBy(F.desc("total_activity"), F.asc("timestamp"))
+        .orderBy(settled(F.col("total_activity")).desc(), F.asc("timestamp"))
         .limit(1)
     )
 
@@ -65,7 +65,7 @@ def top_grids(hourly: DataFrame, k: int = 10) -> DataFrame:
     return (
         hourly.groupBy("grid_id")
         .agg(F.sum("total_activity").alias("total_grid_activity"))
-        .orderBy(F.desc("total_grid_activity"), F.asc("grid_id"))
+        .orderBy(settled(F.col("total_grid_activity")).desc(), F.asc("grid_id"))
         .limit(k)
     )
 

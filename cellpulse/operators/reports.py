@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cellpulse.functions.measures import safe_ratio
+from cellpulse.functions.measures import safe_ratio, settled
 from cellpulse.operators.aggregate import top_grids
 from cellpulse.operators.sizing import broadcast_if_small
+from cellpulse.sources.landing import delivery_date
 
 DAY_SECONDS = 86_400
 # Severity of the alert levels, for ordering.
@@ -34,7 +35,7 @@ def network_kpis(hourly: DataFrame, alerts: DataFrame) -> DataFrame:
         F.count("*").alias("active_grids"),
     )
     hours = hourly.groupBy("date", "timestamp").agg(F.sum("total_activity").alias("activity"))
-    rank = F.struct("activity", -F.col("timestamp").cast("bigint"))
+    rank = F.struct(settled(F.col("activity")), -F.col("timestamp").cast("bigint"))
     peaks = hours.groupBy("date").agg(F.max_by("timestamp", rank).alias("peak_hour"))
     counts = alerts.groupBy(F.to_date("timestamp").alias("date")).agg(F.count("*").alias("n"))
     return (
@@ -93,6 +94,15 @@ def alert_evidence(alerts: DataFrame, hourly: DataFrame) -> DataFrame:
     ).join(facts, ["grid_id", "timestamp"])
 
 
+def risk_evidence(scores: DataFrame, features: DataFrame, min_score: float) -> DataFrame:
+    """Cells at risk with the features behind the score."""
+    return (
+        scores.where(F.col("risk_score") >= min_score)
+        .select("grid_id", "timestamp", "risk_score", "risk_level")
+        .join(features, ["grid_id", "timestamp"])
+    )
+
+
 def compare_grids(hourly: DataFrame, grid_a: str, grid_b: str) -> DataFrame:
     """Two cells side by side. One scan with a filter on both ids; no join of the table with itself."""
     activity = F.col("total_activity")
@@ -152,6 +162,21 @@ def latest_log(log: DataFrame) -> DataFrame:
     )
 
 
+def daily_intake(log: DataFrame) -> DataFrame:
+    """Per date of the file names: files, accepted files and rows, at the latest run of each file."""
+    accepted = F.col("status") == "ACCEPTED"
+    return (
+        latest_log(log)
+        .groupBy(delivery_date(F.col("filename")).alias("file_date"))
+        .agg(
+            F.count("*").alias("files"),
+            F.count_if(accepted).alias("accepted"),
+            F.sum("row_count").alias("row_count"),
+            F.coalesce(F.sum(F.when(accepted, F.col("row_count"))), F.lit(0)).alias("accepted_rows"),
+        )
+    )
+
+
 def pipeline_health(log: DataFrame) -> DataFrame:
     """One row: files, accepted and rejected at their latest run, acceptance in percent, rows accepted."""
     last = latest_log(log)

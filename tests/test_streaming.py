@@ -49,17 +49,23 @@ def test_sums_equal_the_batch_result(spark, tmp_path):
 
 
 def test_repeated_delivery_counts_once(spark, tmp_path):
+    """Also when it comes in a later run, behind newer days, and when one row fills half a file."""
     inbox, out, state = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "state")
 
     def run():
-        rows = clean.clean_activity(incremental.stream_raw(spark, str(inbox)))
-        incremental.copy_new_rows(incremental.drop_repeated(rows), out, state)
+        rows = clean.clean_activity(incremental.stream_raw(spark, str(inbox), max_files=1))
+        incremental.append_first_deliveries(rows, out, state)
         return spark.read.parquet(out).count()
 
     put(inbox, DAYS[0])
     assert run() == 24
+    put(inbox, DAYS[2])
+    write_day(inbox, DAYS[1], day_lines(DAYS[1]) + [day_lines(DAYS[1])[4]] * 30 + [f"{DAYS[1]} 04:00:00,1,,1,1,1,1,1"])
+    assert run() == 24 + 24 + 25
     write_day(inbox, DAYS[0], day_lines(DAYS[0]), name="sms-call-internet-mi-again.csv")
-    assert run() == 24
+    write_day(inbox, DAYS[1], [f"{DAYS[1]} 04:00:00,1,,1,1,1,1,1"], name="sms-call-internet-mi-more.csv")
+    assert run() == 73
+    assert run() == 73
 
 
 def test_windowed_totals_close_after_the_delay(spark, tmp_path):
