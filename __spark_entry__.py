@@ -115,8 +115,8 @@ def q_read_raw(spark, sf_dir):
 
 
 def q_gate1_schema(spark, sf_dir):
-    _, layouts = gate1.profile_deliveries(prepare(spark), landing_of(spark, sf_dir))
-    return gate1.schema_check(layouts).select(
+    profile = gate1.profile_deliveries(prepare(spark), landing_of(spark, sf_dir))
+    return gate1.schema_check(profile.layouts).select(
         "filename",
         F.array_join("missing_columns", ",").alias("missing_columns"),
         F.array_join("extra_columns", ",").alias("extra_columns"),
@@ -125,8 +125,8 @@ def q_gate1_schema(spark, sf_dir):
 
 
 def q_gate1_cadence(spark, sf_dir):
-    profile, _ = gate1.profile_deliveries(prepare(spark), landing_of(spark, sf_dir))
-    return gate1.cadence_check(profile)
+    profile = gate1.profile_deliveries(prepare(spark), landing_of(spark, sf_dir))
+    return gate1.cadence_check(profile.counts)
 
 
 def q_gate1_duplicates(spark, sf_dir):

@@ -107,6 +107,10 @@ def hourly_spine(
     Each cell expands its own sequence of hours, and the activity rows are added
     to these by one aggregation, so there is neither a cross join nor a join.
     The range is given, or runs from the first to the last day in the data.
+
+    Rows are placed by cell before the aggregation. It has next to nothing to
+    combine, as both sides are unique per cell and hour, and windows by cell can
+    follow without another shuffle.
     """
     found = hourly.agg(
         F.date_trunc("day", F.min("timestamp")).alias("first"),
@@ -131,6 +135,7 @@ def hourly_spine(
     )
     return (
         expected.unionByName(present)
+        .repartition("grid_id")
         .groupBy("grid_id", "timestamp")
         .agg(
             F.sum("total_activity").alias("total_activity"),

@@ -14,6 +14,7 @@ small profile. Two modes:
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -31,6 +32,7 @@ from cellpulse.sources.landing import (
     first_line_flags,
     header_lines,
     landing_glob,
+    read_raw,
     require_files,
     scan_parts,
 )
@@ -81,14 +83,27 @@ def _profile_usual(spark: SparkSession, paths, formats) -> DataFrame:
     return _profile(marked, formats).checkpoint()
 
 
+@dataclass(frozen=True)
+class Profile:
+    """What one pass over the files tells about them.
+
+    ``counts`` is one row per part and timestamp, ``layouts`` one row per part
+    with its column names. ``unusual`` lists the parts with another layout: paths
+    only, at most as many as the file listing of a scan holds on the driver.
+    """
+
+    counts: DataFrame
+    layouts: DataFrame
+    unusual: list[str]
+
+
 def profile_deliveries(
     spark: SparkSession, folder: str, formats: Sequence[str] | None = None
-) -> tuple[DataFrame, DataFrame]:
-    """(profile, layouts) of all non-empty parts.
+) -> Profile:
+    """Profile of all non-empty parts.
 
-    ``profile`` is one row per part and timestamp. ``layouts`` is one row per
-    part with its column names. The usual header is recognised during the scan
-    itself; only parts with another first line are read once more, by name.
+    The usual header is recognised during the scan itself; only parts with
+    another first line are read once more, by name.
     """
     shared_folder(spark)
     require_files(spark, folder)
@@ -105,33 +120,26 @@ def profile_deliveries(
         name: F.col(name) - F.when(is_header_group, 1).otherwise(0)
         for name in ("lines", *[f"missing_{m}" for m in RAW_MEASURES])
     }
-    profile = (
+    counts = (
         first.join(parts.where("usual"), "part", "left_semi")
         .withColumns(header_adjusted)
         .select("part", "ts", *COUNTERS)
         .where("lines > 0")
     )
-    layouts = parts.where("usual").select(
-        "part", F.array(*[F.lit(n) for n in RAW_COLUMNS]).alias("header")
-    )
+    layouts = parts.where("usual").select("part", usual_layout().alias("header"))
     unusual = [r["part"] for r in parts.where("not usual").select("part").collect()]
     if unusual:
         found = header_lines(spark, unusual).checkpoint()
         rows = aligned_rows(spark, unusual, found)
-        profile = profile.unionByName(_profile(rows, formats).select("part", "ts", *COUNTERS).checkpoint())
+        counts = counts.unionByName(_profile(rows, formats).select("part", "ts", *COUNTERS).checkpoint())
         layouts = layouts.unionByName(found)
-    return profile, layouts
+    return Profile(counts, layouts, unusual)
 
 
 def usual_layout() -> Column:
     return F.array(*[F.lit(n) for n in RAW_COLUMNS])
 
 
-def unusual_layouts(layouts: DataFrame) -> list[str]:
-    """Parts to be aligned by name; paths only, as many as the scan's file listing holds at most."""
-    return [r["part"] for r in layouts.where(F.col("header") != usual_layout()).select("part").collect()]
-
-
 def schema_check(layouts: DataFrame) -> DataFrame:
     """Per delivery: required columns that a part lacks (rejects) and extra columns (a warning)."""
     required = usual_layout()
@@ -317,14 +325,17 @@ def judge_landing(
     mode: str = "strict",
     formats: Sequence[str] | None = None,
     expected_hours: int = HOURS_PER_DAY,
-) -> tuple[DataFrame, list[str]]:
-    """(verdicts, unusual parts) of all deliveries in a landing folder."""
-    from cellpulse.sources.landing import read_raw
-
-    profile, layouts = profile_deliveries(spark, folder, formats)
-    unusual = unusual_layouts(layouts)
+) -> tuple[DataFrame, Profile]:
+    """Verdicts on all deliveries of a landing folder, and the profile they rest on."""
+    profile = profile_deliveries(spark, folder, formats)
     duplicates = None
     if mode == "strict":
-        duplicates = duplicate_check(read_raw(spark, folder, unusual=unusual))
-    found = verdicts(detect_files(spark, folder), profile, layouts, duplicates, mode, expected_hours)
-    return found, unusual
+        duplicates = duplicate_check(profiled_rows(spark, folder, profile))
+    files = detect_files(spark, folder)
+    found = verdicts(files, profile.counts, profile.layouts, duplicates, mode, expected_hours)
+    return found, profile
+
+
+def profiled_rows(spark: SparkSession, folder: str, profile: Profile) -> DataFrame:
+    """The rows of a profiled folder; its layouts are known and not read again."""
+    return read_raw(spark, folder, unusual=profile.unusual, layouts=profile.layouts)

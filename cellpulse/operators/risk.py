@@ -36,8 +36,9 @@ def risk_features(spine: DataFrame, min_ratio: float = HOTSPOT_RATIO) -> DataFra
 
     Runs on the complete spine, so that a lag of 24 rows is a lag of 24 hours and
     a cell has exactly one row an hour: window groups are as long as the date
-    range, whatever the skew of the source rows. All windows share one shuffle by
-    cell. ``label`` is null in the last hour, which has no next one.
+    range, whatever the skew of the source rows. The spine comes placed by cell,
+    so no window needs a shuffle; there is one sort for the trailing mean and one
+    for lags and label. ``label`` is null in the last hour, which has no next one.
     """
     per_cell = Window.partitionBy("grid_id").orderBy("timestamp")
     earlier_days = (
@@ -45,23 +46,19 @@ def risk_features(spine: DataFrame, min_ratio: float = HOTSPOT_RATIO) -> DataFra
         .orderBy("timestamp")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    lagged = spine.withColumns(
-        {
-            **{f"lag_{n}": F.lag("total_activity", n).over(per_cell) for n in LAGS},
-            "hour": F.hour("timestamp"),
-            "day_of_week": F.dayofweek("timestamp"),
-        }
-    )
     seen = F.when(~F.col("is_missing"), F.col("total_activity"))
-    rated = lagged.withColumn(
-        "trailing_baseline", settled(F.avg(seen).over(earlier_days))
-    ).withColumn("trailing_ratio", safe_ratio(F.col("total_activity"), F.col("trailing_baseline")))
+    trended = spine.withColumns(
+        {"hour": F.hour("timestamp"), "day_of_week": F.dayofweek("timestamp")}
+    ).withColumn("trailing_baseline", settled(F.avg(seen).over(earlier_days)))
+    rated = trended.withColumn(
+        "trailing_ratio", safe_ratio(F.col("total_activity"), F.col("trailing_baseline"))
+    )
     is_hot = F.coalesce(F.col("trailing_ratio") >= min_ratio, F.lit(False)).cast("int")
     return rated.withColumn("is_hot", is_hot).select(
         "grid_id",
         "timestamp",
         "total_activity",
-        *[f"lag_{n}" for n in LAGS],
+        *[F.lag("total_activity", n).over(per_cell).alias(f"lag_{n}") for n in LAGS],
         "trailing_baseline",
         "trailing_ratio",
         "hour",

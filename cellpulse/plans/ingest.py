@@ -7,11 +7,11 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellpulse.operators.gate1 import judge_landing
+from cellpulse.operators.gate1 import judge_landing, profiled_rows
 from cellpulse.operators.sizing import broadcast_if_small
 from cellpulse.plans.publish import run_path
 from cellpulse.schemas import LOG_SCHEMA, SOURCE_COLUMN
-from cellpulse.sources.landing import delivery_name, read_raw
+from cellpulse.sources.landing import delivery_name
 
 LOG = "ingestion_log"
 ROUTED = "routed_rows"
@@ -57,10 +57,10 @@ def ingest(
     Returns the routed rows. They are stored by ``status``, so reading the
     accepted ones touches their folder only.
     """
-    verdicts, unusual = judge_landing(spark, landing, mode)
+    verdicts, profile = judge_landing(spark, landing, mode)
     verdicts = verdicts.checkpoint()
     path = run_path(output, ROUTED, run_id)
-    routed = route_rows(read_raw(spark, landing, unusual=unusual), verdicts)
+    routed = route_rows(profiled_rows(spark, landing, profile), verdicts)
     routed.write.mode("overwrite").partitionBy("status").parquet(path)
     append_log(log_records(verdicts, processed_at), output)
     return spark.read.parquet(path)

@@ -211,12 +211,19 @@ def aligned_rows(spark: SparkSession, parts: list[str], layouts: DataFrame) -> D
     )
 
 
-def read_raw(spark: SparkSession, folder: str, *, unusual: list[str] | None = None) -> DataFrame:
+def read_raw(
+    spark: SparkSession,
+    folder: str,
+    *,
+    unusual: list[str] | None = None,
+    layouts: DataFrame | None = None,
+) -> DataFrame:
     """All activity rows as text, tagged with the source part, aligned by column name.
 
     Parts with the usual header go through Spark's CSV reader as they are.
     Parts with another layout are aligned by name and added. ``unusual`` lists
-    the latter when the file gate has already found them; it saves a pass.
+    the latter, and ``layouts`` has their column names, when the file gate has
+    already found them; it saves a pass over the text.
     """
     paths = landing_glob(folder)
     if unusual is None:
@@ -230,7 +237,9 @@ def read_raw(spark: SparkSession, folder: str, *, unusual: list[str] | None = No
     )
     if not unusual:
         return rows
-    aligned = aligned_rows(spark, unusual, header_lines(spark, unusual))
+    if layouts is None:
+        layouts = header_lines(spark, unusual)
+    aligned = aligned_rows(spark, unusual, layouts.where(F.col("part").isin(unusual)))
     return rows.where(~F.col(SOURCE_COLUMN).isin(unusual)).unionByName(
         aligned.select(*RAW_COLUMNS, F.col("part").alias(SOURCE_COLUMN))
     )
