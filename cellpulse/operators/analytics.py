@@ -28,18 +28,25 @@ def hour_statistics(hourly: DataFrame) -> DataFrame:
     )
 
 
-def grid_baseline(hourly: DataFrame) -> DataFrame:
+def grid_baseline(hourly: DataFrame, history: DataFrame | None = None) -> DataFrame:
     """Each grid-hour with its expected activity: the mean of the same cell and hour on the other days.
 
-    Null if there is no other day. Statistics are aggregated and joined back
-    rather than taken over a window: the aggregation shuffles partial sums only,
-    and the join turns into a broadcast when the statistics measure small.
+    ``history`` adds hourly rows of other dates to the expectation, for a run
+    that covers few days. The baseline is null if there is no other day.
+
+    Statistics are aggregated and joined back rather than taken over a window:
+    the aggregation shuffles partial sums only, and the join turns into a
+    broadcast when the statistics measure small.
     """
     x = F.col("total_activity")
     others = F.col("hour_count") - 1
-    rows = hourly.select("grid_id", "timestamp", "total_activity", F.hour("timestamp").alias("hour"))
+    needed = ["grid_id", "timestamp", "total_activity"]
+    known = hourly.select(*needed)
+    if history is not None:
+        known = known.unionByName(history.select(*needed))
+    rows = hourly.select(*needed, F.hour("timestamp").alias("hour"))
     baseline = F.when(others > 0, (F.col("hour_sum") - x) / others)
-    return rows.join(hour_statistics(hourly), ["grid_id", "hour"]).select(
+    return rows.join(hour_statistics(known), ["grid_id", "hour"]).select(
         "grid_id",
         "timestamp",
         "total_activity",

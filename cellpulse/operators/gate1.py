@@ -37,11 +37,31 @@ from cellpulse.sources.landing import (
     scan_parts,
 )
 
+HOURS_PER_DAY = 24
+MODES = ("strict", "reference")
+
+# Status and reason texts of the log.
 ACCEPTED = "ACCEPTED"
 REJECTED = "REJECTED"
 ALL_PASSED = "All validation checks passed"
-HOURS_PER_DAY = 24
-MODES = ("strict", "reference")
+UNREADABLE = "Unable to read CSV: "
+MISSING_COLUMNS = "Missing required column(s): "
+ZERO_ROWS = "File contains zero rows"
+MALFORMED_TIMES = "Malformed timestamp values: "
+WRONG_HOURS = "Expected exactly {} distinct hourly timestamps, found "
+NEGATIVE_VALUES = "Negative activity values found in {}: "
+NON_NUMERIC = "Non-numeric values found in {}: "
+
+# Texts of the checks that only strict mode has, and of warnings.
+EMPTY_FILE = UNREADABLE + "No columns to parse from file"
+TOO_WIDE = UNREADABLE + "rows with too many fields: "
+NO_DATE = "File name does not carry a date"
+OTHER_DATE = "Rows of another date than the file name: "
+OFF_HOUR = "Timestamps off the hour: "
+WRONG_SPAN = "Hours between first and last timestamp: "
+DUPLICATES = "Duplicate source rows: "
+EXTRA_COLUMNS = "Extra column(s): "
+OTHER_ORDER = "Columns are in another order"
 
 COUNTERS = (
     "lines",
@@ -265,14 +285,14 @@ def verdicts(
     times_ok = F.col("bad_time") == 0
 
     structure = [
-        (F.col("bytes") == 0, F.lit("Unable to read CSV: No columns to parse from file")),
-        (F.col("too_wide") > 0, _numbered("Unable to read CSV: rows with too many fields: ", "too_wide")),
-        (~unreadable & lacks, F.concat(F.lit("Missing required column(s): "), F.array_join("missing_columns", ", "))),
-        (readable & empty, F.lit("File contains zero rows")),
-        (judged & ~times_ok, _numbered("Malformed timestamp values: ", "bad_time")),
+        (F.col("bytes") == 0, F.lit(EMPTY_FILE)),
+        (F.col("too_wide") > 0, _numbered(TOO_WIDE, "too_wide")),
+        (~unreadable & lacks, F.concat(F.lit(MISSING_COLUMNS), F.array_join("missing_columns", ", "))),
+        (readable & empty, F.lit(ZERO_ROWS)),
+        (judged & ~times_ok, _numbered(MALFORMED_TIMES, "bad_time")),
         (
             judged & times_ok & (F.col("distinct_times") != expected_hours),
-            _numbered(f"Expected exactly {expected_hours} distinct hourly timestamps, found ", "distinct_times"),
+            _numbered(WRONG_HOURS.format(expected_hours), "distinct_times"),
         ),
     ]
     negatives = []
@@ -284,26 +304,26 @@ def verdicts(
         if not strict:
             # A column with a gap ends the checks with an accept, and so hides what follows it.
             applies = applies & ~seen_gap
-        negatives.append((applies, _numbered(f"Negative activity values found in {m}: ", f"negative_{m}")))
+        negatives.append((applies, _numbered(NEGATIVE_VALUES.format(m), f"negative_{m}")))
     extra = [
-        (F.col("file_date").isNull(), F.lit("File name does not carry a date")),
-        (judged & (F.col("other_date_rows") > 0), _numbered("Rows of another date than the file name: ", "other_date_rows")),
-        (judged & (F.col("off_hour_rows") > 0), _numbered("Timestamps off the hour: ", "off_hour_rows")),
+        (F.col("file_date").isNull(), F.lit(NO_DATE)),
+        (judged & (F.col("other_date_rows") > 0), _numbered(OTHER_DATE, "other_date_rows")),
+        (judged & (F.col("off_hour_rows") > 0), _numbered(OFF_HOUR, "off_hour_rows")),
         (
             judged & times_ok & (F.col("distinct_times") == expected_hours) & (F.col("span_hours") != expected_hours - 1),
-            _numbered("Hours between first and last timestamp: ", "span_hours"),
+            _numbered(WRONG_SPAN, "span_hours"),
         ),
-        (judged & (F.col("duplicate_rows") > 0), _numbered("Duplicate source rows: ", "duplicate_rows")),
+        (judged & (F.col("duplicate_rows") > 0), _numbered(DUPLICATES, "duplicate_rows")),
     ]
     failures = _texts([*structure, *negatives, *(extra if strict else [])])
     warnings = _texts(
         [
             *[
-                (judged & (F.col(f"missing_{m}") > 0), _numbered(f"Non-numeric values found in {m}: ", f"missing_{m}"))
+                (judged & (F.col(f"missing_{m}") > 0), _numbered(NON_NUMERIC.format(m), f"missing_{m}"))
                 for m in RAW_MEASURES
             ],
-            (F.size("extra_columns") > 0, F.concat(F.lit("Extra column(s): "), F.array_join("extra_columns", ", "))),
-            (~F.col("usual_order"), F.lit("Columns are in another order")),
+            (F.size("extra_columns") > 0, F.concat(F.lit(EXTRA_COLUMNS), F.array_join("extra_columns", ", "))),
+            (~F.col("usual_order"), F.lit(OTHER_ORDER)),
         ]
     )
     return (

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import time
 from dataclasses import dataclass
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -13,6 +13,7 @@ from cellpulse.operators import aggregate, analytics, clean, gate2, geo
 from cellpulse.operators.gate1 import ACCEPTED
 from cellpulse.plans.ingest import ingest
 from cellpulse.plans.publish import (
+    is_published,
     publish,
     read_published,
     read_staged,
@@ -70,6 +71,20 @@ def stage_hourly(valid: DataFrame, path: str) -> tuple[DataFrame, int]:
     return write_by_date(counted, path, gather=False), seen.get["rows"]
 
 
+def published_history(
+    spark: SparkSession, output: str, hourly: DataFrame, days: int
+) -> DataFrame | None:
+    """Published hourly rows up to ``days`` before or after the dates of ``hourly``, without those dates."""
+    if days <= 0 or not is_published(spark, output, HOURLY):
+        return None
+    dates = [r["date"] for r in hourly.select("date").distinct().collect()]  # one per day of the run
+    if not dates:
+        return None
+    first, last = min(dates) - timedelta(days=days), max(dates) + timedelta(days=days)
+    near = F.col("date").between(first, last) & ~F.col("date").isin(dates)
+    return read_published(spark, output, HOURLY).where(near)
+
+
 def valid_rows(checked: DataFrame) -> DataFrame:
     """The clean table: a partition filter on the checked rows."""
     return checked.where(F.col("row_status") == clean.ROW_VALID).drop(*WORKING_COLUMNS)
@@ -108,9 +123,13 @@ def run_rows(
     end: date | None = None,
     multi_line_reference: bool = True,
     gather_input: bool = False,
+    history_days: int = 0,
 ) -> BatchResult:
     """All stages over raw rows; raises ``PublicationRefused`` if a check fails.
 
+    ``history_days`` lets the baseline use that many published days around the
+    days of this run, which a run over a single day needs.
+
     The input is parsed once. Everything after the first write reads columns of
     the staged tables. The caller owns the session; exceptions propagate.
     """
@@ -134,7 +153,8 @@ def run_rows(
 
     store("daily_traffic_summary", aggregate.daily_traffic_summary(hourly))
     store("daily_grid_summary", aggregate.daily_grid_summary(hourly))
-    store("hotspots", analytics.hotspots(analytics.grid_baseline(hourly)))
+    history = published_history(spark, output_folder, hourly, history_days)
+    store("hotspots", analytics.hotspots(analytics.grid_baseline(hourly, history)))
     store("activity_alerts", analytics.activity_alerts(stored["hotspots"], run_at))
     write_dashboard_csv(aggregate.dashboard_summary(hourly), path_of("dashboard_summary"))
     top = geo.enrich_with_geometry(aggregate.top_grids(hourly), lookup)

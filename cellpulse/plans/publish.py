@@ -12,6 +12,7 @@ from __future__ import annotations
 import json
 from datetime import datetime
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -147,6 +148,16 @@ def read_published(spark: SparkSession, output: str, table: str) -> DataFrame:
     return spark.read.schema(schema).option("basePath", base).parquet(*paths)
 
 
+def is_published(spark: SparkSession, output: str, table: str) -> bool:
+    """Whether any run of the table has been published."""
+    try:
+        return not current_runs(spark, output, table).isEmpty()
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return False
+        raise
+
+
 def register_views(spark: SparkSession, output: str, tables: list[str]) -> None:
     """Published tables as SQL views of the same names."""
     for table in tables:

@@ -36,6 +36,7 @@ REQUIRED_COLUMNS = ("timestamp", "grid_id", *MEASURES)
 
 SOURCE_COLUMN = "_source_file"
 
+# The columns of the hourly table, in order.
 HOURLY_COLUMNS = (
     "timestamp",
     "grid_id",

@@ -7,7 +7,7 @@ from data import day_lines, feature, square, write_day, write_geojson
 from pyspark.sql import functions as F
 
 from cellpulse.operators import gate2
-from cellpulse.plans import batch, publish
+from cellpulse.plans import batch, publish, score
 
 AT = datetime(2024, 1, 1)
 
@@ -182,3 +182,30 @@ def test_dashboard_with_many_rows_is_split_by_time(spark, tmp_path):
     assert len(files) > 1
     times = [line.split(",")[0] for f in files for line in f.read_text().splitlines()[1:]]
     assert len(times) == 100 and times == sorted(times)
+
+
+def test_single_days_use_published_history(spark, tmp_path):
+    reference = write_geojson(tmp_path / "g.geojson", [feature(1, square(0, 0))])
+    out = str(tmp_path / "out")
+    for n, day in enumerate(("2013-11-01", "2013-11-02", "2013-11-03")):
+        values = "10,10,10,10,10" if n == 2 else "1,1,1,1,1"
+        write_day(tmp_path / day, day, day_lines(day, values=values))
+        at = AT + timedelta(days=n)
+        batch.run_batch(spark, str(tmp_path / day), out, reference, f"r{n}", at, history_days=7)
+    spots = publish.read_published(spark, out, "hotspots")
+    third = spots.where("date = '2013-11-03'").collect()
+    assert {(r["baseline_activity"], r["activity_ratio"], r["hotspot_flag"]) for r in third} == {(5.0, 10.0, True)}
+    assert {r["baseline_activity"] for r in spots.where("date = '2013-11-01'").collect()} == {None}
+    assert publish.read_published(spark, out, "activity_alerts").count() == 24
+    # The same day again: its own earlier rows are no history.
+    batch.run_batch(spark, str(tmp_path / "2013-11-03"), out, reference, "r9", AT + timedelta(days=9), history_days=7)
+    assert publish.read_published(spark, out, "hotspots").where("date = '2013-11-03' and baseline_activity = 5").count() == 24
+
+
+def test_risk_scores_are_published(spark, zones):
+    source, out, reference = zones
+    batch.run_batch(spark, source, out, reference, "r1", AT)
+    score.run_risk(spark, out, "s1", AT)
+    found = publish.read_published(spark, out, "risk_scores")
+    assert found.count() == 2 * 4 * 24
+    assert found.where("risk_score < 0 or risk_score > 1 or risk_score is null").count() == 0
