@@ -172,8 +172,8 @@ def q_daily_intake(spark, sf_dir):
     return present(reports.daily_intake(_two_runs(spark, sf_dir)))
 
 
-def q_pipeline_health(spark, sf_dir):
-    return present(reports.pipeline_health(_two_runs(spark, sf_dir)))
+def q_ingestion_health(spark, sf_dir):
+    return present(reports.ingestion_health(_two_runs(spark, sf_dir)))
 
 
 # ---------------------------------------------------------------- outputs
@@ -287,13 +287,13 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "ingestion_log": q_ingestion_log,
         "latest_log": q_latest_log,
         "daily_intake": q_daily_intake,
-        "pipeline_health": q_pipeline_health,
+        "ingestion_health": q_ingestion_health,
         "clean_activity": lambda s, d: present(_clean(s, d)),
         "rejected_rows": lambda s, d: clean.rejected_rows(_raw(s, d)).withColumn(
             "reasons", F.array_join("reasons", "; ")
         ),
         "null_profile": lambda s, d: clean.null_profile(_raw(s, d)),
-        "pipeline_metrics": lambda s, d: clean.pipeline_metrics(_raw(s, d)),
+        "run_metrics": lambda s, d: clean.run_metrics(_raw(s, d)),
         "hourly_grid_summary": lambda s, d: present(_hourly(s, d)),
         "daily_traffic_summary": lambda s, d: present(aggregate.daily_traffic_summary(_hourly(s, d))),
         "daily_grid_summary": lambda s, d: present(aggregate.daily_grid_summary(_hourly(s, d))),

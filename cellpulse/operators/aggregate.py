@@ -20,13 +20,12 @@ def hourly_grid_summary(clean: DataFrame) -> DataFrame:
     absent; see ``hourly_spine`` for the complete grid.
     """
     summed = clean.groupBy("timestamp", "grid_id").agg(*[F.sum(m).alias(m) for m in MEASURES])
-    totals = summed.withColumns(total_columns())
-    return totals.withColumns(
-        {
-            "internet_share": share_of(F.col("internet_activity"), F.col("total_activity")),
-            "date": F.to_date("timestamp"),
-        }
-    ).select(*HOURLY_COLUMNS)
+    share = share_of(F.col("internet_activity"), F.col("total_activity"))
+    return (
+        summed.withColumns(total_columns())
+        .withColumns({"internet_share": share, "date": F.to_date("timestamp")})
+        .select(*HOURLY_COLUMNS)
+    )
 
 
 def daily_traffic_summary(hourly: DataFrame) -> DataFrame:

@@ -137,7 +137,7 @@ def null_profile(raw: DataFrame, formats: Sequence[str] | None = None) -> DataFr
     )
 
 
-def pipeline_metrics(raw: DataFrame, formats: Sequence[str] | None = None) -> DataFrame:
+def run_metrics(raw: DataFrame, formats: Sequence[str] | None = None) -> DataFrame:
     """One row of run metrics from one scan and one shuffle of pre-aggregated rows.
 
     Output rows are the valid (time, cell) groups; input, rejected and null

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -64,11 +66,23 @@ def grid_breakdown(hourly: DataFrame) -> DataFrame:
 def alerts_page(
     alerts: DataFrame, page: int = 1, size: int = 50, alert_type: str | None = None
 ) -> DataFrame:
-    """One page of alerts, newest first. Sort, offset and limit run as a distributed top-k."""
+    """One page of alerts, newest first, by number: a distributed top-k of page times size rows.
+
+    For going far back use ``alerts_after``, whose work does not grow with the page.
+    """
     chosen = alerts if alert_type is None else alerts.where(F.col("alert_type") == alert_type)
     return chosen.orderBy(F.desc("timestamp"), "alert_id").offset((page - 1) * size).limit(size)
 
 
+def alerts_after(
+    alerts: DataFrame, timestamp: datetime, alert_id: str, size: int = 50, alert_type: str | None = None
+) -> DataFrame:
+    """The page that follows the given alert, the last one of the page before."""
+    when = F.lit(timestamp).cast("timestamp")
+    later = (F.col("timestamp") < when) | ((F.col("timestamp") == when) & (F.col("alert_id") > alert_id))
+    return alerts_page(alerts.where(later), 1, size, alert_type)
+
+
 def grid_severity(alerts: DataFrame, lookup: DataFrame) -> DataFrame:
     """Worst alert level and number of alerts per cell, with the cell's geometry."""
     worst = (
@@ -177,7 +191,7 @@ def daily_intake(log: DataFrame) -> DataFrame:
     )
 
 
-def pipeline_health(log: DataFrame) -> DataFrame:
+def ingestion_health(log: DataFrame) -> DataFrame:
     """One row: files, accepted and rejected at their latest run, acceptance in percent, rows accepted."""
     last = latest_log(log)
     accepted = F.col("status") == "ACCEPTED"

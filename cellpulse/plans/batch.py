@@ -189,6 +189,7 @@ def run_rows(
     metrics = {
         **counts.asDict(),
         "output_rows": hourly_rows,
+        "lookup_rows": lookup.count(),
         "peak_hour": peak["timestamp"] if peak else None,
         **geo.geo_coverage(hourly, lookup).first().asDict(),
     }

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellpulse.functions.measures import share_of, total_columns
+from cellpulse.operators.aggregate import hourly_grid_summary
 from cellpulse.operators.clean import clean_activity
-from cellpulse.schemas import HOURLY_COLUMNS, MEASURES, RAW_SCHEMA, SOURCE_COLUMN
+from cellpulse.plans.publish import write_by_date
+from cellpulse.schemas import MEASURES, RAW_SCHEMA, SOURCE_COLUMN
 from cellpulse.sources.landing import landing_glob, source_part
 
 GRAIN = ("timestamp", "grid_id", "country_code")
@@ -89,7 +92,8 @@ def windowed_totals(clean: DataFrame, delay: str = "2 days") -> DataFrame:
 def append_hourly_sums(clean: DataFrame, path: str, checkpoint: str) -> None:
     """Write the sums of each micro-batch per cell and hour, then stop.
 
-    Sums add up across batches, so no state is kept and no row is too late.
+    Sums add up across batches, so no state is kept and no row is too late. They
+    are stored by date, so a reader of some dates opens only those.
     Each batch owns one folder and overwrites it when it is run again, so a
     restart after a lost executor or driver cannot count a row twice.
     """
@@ -98,7 +102,7 @@ def append_hourly_sums(clean: DataFrame, path: str, checkpoint: str) -> None:
         sums = batch.groupBy(F.date_trunc("hour", "timestamp").alias("timestamp"), "grid_id").agg(
             *[F.sum(m).alias(m) for m in MEASURES]
         )
-        sums.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        write_by_date(sums.withColumn("date", F.to_date("timestamp")), f"{path}/batch_id={batch_id}")
 
     query = (
         clean.writeStream.foreachBatch(write_batch)
@@ -109,20 +113,13 @@ def append_hourly_sums(clean: DataFrame, path: str, checkpoint: str) -> None:
     query.awaitTermination()
 
 
-def read_hourly_sums(spark: SparkSession, path: str) -> DataFrame:
-    """The hourly table from the sums of all batches."""
-    summed = (
-        spark.read.parquet(path)
-        .groupBy("timestamp", "grid_id")
-        .agg(*[F.sum(m).alias(m) for m in MEASURES])
-    )
-    totals = summed.withColumns(total_columns())
-    return totals.withColumns(
-        {
-            "internet_share": share_of(F.col("internet_activity"), F.col("total_activity")),
-            "date": F.to_date("timestamp"),
-        }
-    ).select(*HOURLY_COLUMNS)
+def read_hourly_sums(spark: SparkSession, path: str, dates: list[date] | None = None) -> DataFrame:
+    """The hourly table from the sums of all batches, of all or some dates.
+
+    Summing once more is the same aggregation as the first one.
+    """
+    sums = spark.read.parquet(path)
+    return hourly_grid_summary(sums if dates is None else sums.where(F.col("date").isin(dates)))
 
 
 def hourly_from_landing(

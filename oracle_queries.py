@@ -338,7 +338,7 @@ def all_queries() -> dict[str, str]:
     )
     sql["ingestion_log"] = log + "select * from log"
     sql["latest_log"] = with_ctes(*BOTH_VERDICTS, LOG, latest) + "select * from latest"
-    sql["pipeline_health"] = with_ctes(*BOTH_VERDICTS, LOG, latest) + (
+    sql["ingestion_health"] = with_ctes(*BOTH_VERDICTS, LOG, latest) + (
         "select count(*) as files, count(*) filter (where status = 'ACCEPTED') as accepted,"
         " count(*) filter (where status <> 'ACCEPTED') as rejected,"
         " cast(coalesce(sum(row_count) filter (where status = 'ACCEPTED'), 0) as bigint) as accepted_rows,"
@@ -383,7 +383,7 @@ def all_queries() -> dict[str, str]:
         f" cast(sum({nulls}) filter (where not ({_invalid})) as bigint) as valid_row_nulls,"
         f" cast(sum({failed}) as bigint) as cast_failures from typed"
     )
-    sql["pipeline_metrics"] = base + (
+    sql["run_metrics"] = base + (
         f"select count(*) as input_rows, count(*) filter (where {_invalid}) as rejected_rows,"
         f" count(*) filter (where not ({_invalid})) as cleaned_rows,"
         f" cast(sum({nulls}) as bigint) as activity_nulls_handled,"

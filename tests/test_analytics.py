@@ -171,6 +171,11 @@ def test_pages_cover_all_alerts_once(spots):
     ordered = alerts.orderBy(F.desc("timestamp"), "alert_id").collect()
     assert ids == [r["alert_id"] for r in ordered]
     assert reports.alerts_page(alerts, alert_type="DROP").count() == 0
+    followed = reports.alerts_page(alerts, 1, 7).collect()
+    while len(followed) < len(ordered):
+        last = followed[-1]
+        followed += reports.alerts_after(alerts, last["timestamp"], last["alert_id"], 7).collect()
+    assert followed == ordered
 
 
 def test_date_comparison(rows, hourly):

@@ -19,7 +19,7 @@ def zones(tmp_path):
         lines.append(f"{day} 03:00:00,1,33,5,5,5,5,{500 if day.endswith('02') else 5}")
         write_day(tmp_path / "in", day, lines)
     write_day(tmp_path / "in", "2013-11-04", [*day_lines("2013-11-04"), "bad,1,39,1,2,3,4,5"])
-    reference = write_geojson(tmp_path / "ref" / "milano-grid.geojson", [feature(1, square(0, 0)), feature(3, square(1, 1))])
+    reference = write_geojson(tmp_path / "ref" / "grid.geojson", [feature(1, square(0, 0)), feature(3, square(1, 1))])
     return str(tmp_path / "in"), str(tmp_path / "out"), reference
 
 
@@ -33,7 +33,7 @@ def test_run_publishes_everything(spark, zones):
     m = result.metrics
     assert (m["input_rows"], m["rejected_rows"], m["cleaned_rows"]) == (172, 1, 171)
     assert m["activity_nulls_handled"] == 2 * 72
-    assert m["output_rows"] == 24 * 7
+    assert m["output_rows"] == 24 * 7 and m["lookup_rows"] == 2
     assert (m["activity_grids"], m["missing_geometry_grids"], m["coverage_percentage"]) == (2, 1, 50.0)
     assert m["peak_hour"] == datetime(2013, 11, 2, 3)
     assert all(r["passed"] for r in result.checks)

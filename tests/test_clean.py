@@ -64,14 +64,14 @@ def test_null_profile_counts_before_rejection(raw):
 
 
 def test_metrics_add_up(raw):
-    m = clean.pipeline_metrics(raw).first()
+    m = clean.run_metrics(raw).first()
     assert (m["input_rows"], m["rejected_rows"], m["cleaned_rows"], m["output_rows"]) == (12, 5, 7, 6)
     assert m["activity_nulls_handled"] == 9
 
 
 def test_empty_input(spark):
     empty = spark.createDataFrame([], RAW_SCHEMA)
-    assert clean.pipeline_metrics(empty).first().asDict() == {
+    assert clean.run_metrics(empty).first().asDict() == {
         "input_rows": 0,
         "rejected_rows": 0,
         "cleaned_rows": 0,

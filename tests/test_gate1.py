@@ -55,7 +55,7 @@ def folder(tmp_path_factory):
     put(20, lambda d: replace_first(day_lines(d), f"{d} 00:00:00,1,39,NaN,NA,,4,5"))
     put(21, lambda d: [HEADER, *day_lines(d)], header="# exported")
     put(22, lambda d: [day_lines(d)[0], *day_lines(d)], header=None)
-    (root / "milano-grid.geojson").write_text("{}")
+    (root / "grid.geojson").write_text("{}")
     return root
 
 
@@ -182,6 +182,21 @@ def test_spaces_in_the_path(spark, tmp_path):
     assert {r["status"] for r in rows.values()} == {"ACCEPTED"}
 
 
+def test_quotes_byte_order_mark_and_line_ends(spark, tmp_path):
+    quoted = ",".join(f'"{name}"' for name in HEADER.split(","))
+    write_day(tmp_path, DAY, [f'"{line.split(",", 1)[0]}",{line.split(",", 1)[1]}' for line in day_lines(DAY)], quoted)
+    write_day(tmp_path, "2013-11-02", day_lines("2013-11-02"), "\ufeff" + HEADER)
+    path = tmp_path / "sms-call-internet-mi-2013-11-03.csv"
+    path.write_bytes("\r\n".join([HEADER, *day_lines("2013-11-03"), ""]).encode())
+    rows = judge(spark, tmp_path)
+    assert {k: (r["status"], r["row_count"]) for k, r in rows.items()} == {
+        f"2013-11-0{n}": ("ACCEPTED", 24) for n in (1, 2, 3)
+    }
+    raw = landing.read_raw(spark, str(tmp_path))
+    assert raw.count() == 72
+    assert raw.where("datetime is null or internet <> '5'").count() == 0
+
+
 def test_routing_and_log(spark, tmp_path):
     write_day(tmp_path / "landing", DAY, day_lines(DAY))
     write_day(tmp_path / "landing", "2013-11-02", day_lines("2013-11-02", hours=3))
@@ -194,7 +209,7 @@ def test_routing_and_log(spark, tmp_path):
     assert log.count() == 4
     last = {r["filename"][-14:-4]: r for r in reports.latest_log(log).collect()}
     assert last[DAY]["runs"] == 2 and last[DAY]["processed_at"] == datetime(2024, 1, 2)
-    health = reports.pipeline_health(log).first()
+    health = reports.ingestion_health(log).first()
     assert (health["files"], health["accepted"], health["rejected"]) == (2, 1, 1)
     assert (health["acceptance_percentage"], health["accepted_rows"]) == (50.0, 24)
     assert (tmp_path / "landing" / f"sms-call-internet-mi-{DAY}.csv").exists()

@@ -9,7 +9,7 @@ from cellpulse.sources.geojson import grid_lookup, read_geojson
 
 @pytest.fixture(scope="module")
 def lookup(spark, tmp_path_factory):
-    path = tmp_path_factory.mktemp("reference") / "milano-grid.geojson"
+    path = tmp_path_factory.mktemp("reference") / "grid.geojson"
     features = [
         feature(1, square(0, 0)),
         feature(2, None),

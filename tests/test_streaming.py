@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+from datetime import date
+
 import pytest
 from data import HEADER, day_lines, write_day
 from pyspark.sql import functions as F
@@ -46,6 +48,7 @@ def test_sums_equal_the_batch_result(spark, tmp_path):
     assert rounded(found).exceptAll(rounded(wanted)).count() == 0
     again = incremental.hourly_from_landing(spark, str(inbox), sums, state)
     assert rounded(again).exceptAll(rounded(wanted)).count() == 0
+    assert incremental.read_hourly_sums(spark, sums, [date(2013, 11, 1)]).count() == 24
 
 
 def test_repeated_delivery_counts_once(spark, tmp_path):
