@@ -21,7 +21,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cellpulse.functions.parsing import field_count, measure_of, timestamp_of
-from cellpulse.schemas import RAW_COLUMNS, RAW_MEASURES
+from cellpulse.operators.sizing import BROADCAST_LIMIT_BYTES, text_bytes
+from cellpulse.schemas import RAW_COLUMNS, RAW_MEASURES, SOURCE_COLUMN
 from cellpulse.session import shared_folder
 from cellpulse.sources.landing import (
     CORRUPT,
@@ -214,16 +215,35 @@ def cadence_check(profile: DataFrame) -> DataFrame:
     )
 
 
-def duplicate_check(rows: DataFrame) -> DataFrame:
+def duplicate_check(rows: DataFrame, limit: int = BROADCAST_LIMIT_BYTES) -> DataFrame:
     """Per delivery: rows beyond the first at the source grain (time, cell, country).
 
-    Rows are counted before the shuffle, so a key that fills a third of a file
-    crosses the network as one row per task.
+    Nearly all rows of a sound file are unique, so a first pass shuffles only two
+    hashes of the key, twelve bytes a row. If no pair of hashes repeats, there is
+    no duplicate. Else the rows with a repeated pair are counted by their full
+    key, which makes the result exact. Should the repeated pairs themselves be
+    many, all rows are counted by full key.
+
+    Both counts combine before their shuffle, so a key that fills a third of a
+    file crosses the network as one row per task.
     """
+    shared_folder(rows.sparkSession)
     keys = ["filename", "datetime", "CellID", "countrycode"]
+    named = rows.select(delivery_name(F.col(SOURCE_COLUMN)).alias("filename"), *keys[1:])
+    hashed = named.withColumns({"wide": F.xxhash64(*keys), "narrow": F.hash(*keys)})
+    repeated = (
+        hashed.groupBy("wide", "narrow")
+        .agg(F.count("*").alias("n"))
+        .where("n > 1")
+        .select("wide", "narrow")
+        .checkpoint()
+    )
+    size = text_bytes(repeated)
+    if size == 0:
+        return rows.sparkSession.createDataFrame([], "filename string, duplicate_rows bigint")
+    suspects = hashed.join(F.broadcast(repeated), ["wide", "narrow"], "left_semi") if size <= limit else named
     return (
-        rows.withColumn("filename", delivery_name(F.col("_source_file")))
-        .groupBy(*keys)
+        suspects.groupBy(*keys)
         .agg(F.count("*").alias("copies"))
         .where("copies > 1")
         .groupBy("filename")

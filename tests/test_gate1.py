@@ -163,6 +163,26 @@ def test_delivery_in_parts(spark, tmp_path):
     assert judge(spark, tmp_path)[DAY]["reasons"] == ["Duplicate source rows: 1"]
 
 
+@pytest.mark.parametrize("limit", [None, 0])
+def test_duplicates_against_a_count(spark, limit):
+    """A third of all rows are copies of one row; nulls are values of the key."""
+    rows = [("a.csv", f"t{i % 700}", str(i % 3), None if i % 5 else "39") for i in range(2000)]
+    rows += [("a.csv", "t0", "0", "39")] * 1000 + [("b.csv", "t0", "0", "39")]
+    wanted = {}
+    for name in ("a.csv", "b.csv"):
+        own = [r for r in rows if r[0] == name]
+        if len(own) > len(set(own)):
+            wanted["sms-call-internet-mi-" + name] = len(own) - len(set(own))
+    df = spark.createDataFrame(
+        [(f"/in/sms-call-internet-mi-{f}", t, c, k) for f, t, c, k in rows],
+        "_source_file string, datetime string, CellID string, countrycode string",
+    )
+    options = {} if limit is None else {"limit": limit}
+    found = {r["filename"]: r["duplicate_rows"] for r in gate1.duplicate_check(df, **options).collect()}
+    assert found == wanted
+    assert gate1.duplicate_check(df.distinct(), **options).count() == 0
+
+
 def test_header_in_a_split_file(spark, tmp_path):
     """Blocks after the first have no header."""
     lines = [line for cell in range(40) for line in day_lines(DAY, cell=str(cell))]
