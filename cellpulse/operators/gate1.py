@@ -36,6 +36,7 @@ from cellpulse.sources.landing import (
     read_raw,
     require_files,
     scan_parts,
+    usual_layout,
 )
 
 HOURS_PER_DAY = 24
@@ -109,13 +110,11 @@ class Profile:
     """What one pass over the files tells about them.
 
     ``counts`` is one row per part and timestamp, ``layouts`` one row per part
-    with its column names. ``unusual`` lists the parts with another layout: paths
-    only, at most as many as the file listing of a scan holds on the driver.
+    with its column names.
     """
 
     counts: DataFrame
     layouts: DataFrame
-    unusual: list[str]
 
 
 def profile_deliveries(
@@ -148,17 +147,14 @@ def profile_deliveries(
         .where("lines > 0")
     )
     layouts = parts.where("usual").select("part", usual_layout().alias("header"))
+    # Paths only, at most as many as the file listing of a scan holds on the driver.
     unusual = [r["part"] for r in parts.where("not usual").select("part").collect()]
     if unusual:
         found = header_lines(spark, unusual).checkpoint()
         rows = aligned_rows(spark, unusual, found)
         counts = counts.unionByName(_profile(rows, formats).select("part", "ts", *COUNTERS).checkpoint())
         layouts = layouts.unionByName(found)
-    return Profile(counts, layouts, unusual)
-
-
-def usual_layout() -> Column:
-    return F.array(*[F.lit(n) for n in RAW_COLUMNS])
+    return Profile(counts, layouts)
 
 
 def schema_check(layouts: DataFrame) -> DataFrame:
@@ -378,4 +374,4 @@ def judge_landing(
 
 def profiled_rows(spark: SparkSession, folder: str, profile: Profile) -> DataFrame:
     """The rows of a profiled folder; its layouts are known and not read again."""
-    return read_raw(spark, folder, unusual=profile.unusual, layouts=profile.layouts)
+    return read_raw(spark, folder, profile.layouts)

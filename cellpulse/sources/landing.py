@@ -211,35 +211,38 @@ def aligned_rows(spark: SparkSession, parts: list[str], layouts: DataFrame) -> D
     )
 
 
-def read_raw(
-    spark: SparkSession,
-    folder: str,
-    *,
-    unusual: list[str] | None = None,
-    layouts: DataFrame | None = None,
-) -> DataFrame:
+def usual_layout() -> Column:
+    """The usual column names, in order."""
+    return F.array(*[F.lit(n) for n in RAW_COLUMNS])
+
+
+def read_raw(spark: SparkSession, folder: str, layouts: DataFrame | None = None) -> DataFrame:
     """All activity rows as text, tagged with the source part, aligned by column name.
 
-    Parts with the usual header go through Spark's CSV reader as they are.
-    Parts with another layout are aligned by name and added. ``unusual`` lists
-    the latter, and ``layouts`` has their column names, when the file gate has
-    already found them; it saves a pass over the text.
+    Parts with the usual columns go through Spark's CSV reader as they are.
+    Parts with another layout are aligned by name and added. ``layouts`` has the
+    column names per part when the file gate has already found them; it saves a
+    pass over the text.
     """
     paths = landing_glob(folder)
-    if unusual is None:
+    if layouts is None:
         require_files(spark, folder)
-        unusual = unusual_parts(spark, paths)
+        candidates = unusual_parts(spark, paths)
+        layouts = header_lines(spark, candidates) if candidates else None
     rows = (
         spark.read.schema(RAW_SCHEMA)
         .option("header", True)
         .csv(paths)
         .select("*", source_part().alias(SOURCE_COLUMN))
     )
-    if not unusual:
-        return rows
     if layouts is None:
-        layouts = header_lines(spark, unusual)
-    aligned = aligned_rows(spark, unusual, layouts.where(F.col("part").isin(unusual)))
-    return rows.where(~F.col(SOURCE_COLUMN).isin(unusual)).unionByName(
+        return rows
+    odd = layouts.where(F.col("header") != usual_layout())
+    odd_paths = [row["part"] for row in odd.select("part").collect()]
+    if not odd_paths:
+        return rows
+    named = broadcast_if_small(odd.select(F.col("part").alias(SOURCE_COLUMN)))
+    aligned = aligned_rows(spark, odd_paths, odd)
+    return rows.join(named, SOURCE_COLUMN, "left_anti").unionByName(
         aligned.select(*RAW_COLUMNS, F.col("part").alias(SOURCE_COLUMN))
     )

@@ -188,3 +188,16 @@ def test_date_comparison(rows, hourly):
 def test_compare_one_cell_only(hourly):
     one = hourly.where("grid_id = '1'")
     assert reports.compare_busiest(one).where("activity_b is not null").count() == 0
+
+
+def test_risk_evidence(spark):
+    scores = spark.createDataFrame(
+        [("1", START, 0.9, "HIGH"), ("1", START + timedelta(hours=1), 0.2, "LOW")],
+        "grid_id string, timestamp timestamp, risk_score double, risk_level string",
+    )
+    features = spark.createDataFrame(
+        [("1", START, 3.0), ("1", START + timedelta(hours=1), 4.0)],
+        "grid_id string, timestamp timestamp, trailing_ratio double",
+    )
+    rows = reports.risk_evidence(scores, features, 0.5).collect()
+    assert [(r["risk_level"], r["trailing_ratio"]) for r in rows] == [("HIGH", 3.0)]
