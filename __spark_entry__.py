@@ -24,6 +24,14 @@ from cellpulse.sources.geojson import grid_lookup, read_geojson
 from cellpulse.streaming import incremental
 from oracle_queries import all_queries
 
+try:
+    import corpus_pipeline
+    from cellpulse.llm import queries as corpus_queries
+except ModuleNotFoundError as missing:  # the operators for training text are an optional part
+    if not (missing.name or "").startswith(("cellpulse.llm", "corpus_pipeline")):
+        raise
+    corpus_queries = None
+
 RUN_AT = datetime(2024, 2, 1)
 SMALL = "/root/testdata/sf0.001"
 
@@ -274,7 +282,7 @@ def entry(spark: SparkSession) -> DataFrame:
     return present(aggregate.dashboard_summary(_hourly(spark, SMALL)))
 
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+def activity_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "detect_files": q_detect_files,
         "read_raw": q_read_raw,
@@ -337,6 +345,18 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     }
 
 
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    found = activity_queries()
+    if corpus_queries is not None:
+        found |= corpus_queries.QUERIES | {"pipeline": corpus_pipeline.run}
+    return found
+
+
 def oracle_sql() -> dict[str, str]:
-    """SQL for every query except ``risk_scores``, which trains a model."""
-    return all_queries()
+    """SQL for every query that SQL can express; not for ``risk_scores``, which trains a model."""
+    found = all_queries()
+    if corpus_queries is not None:
+        found |= corpus_queries.SQL
+        if corpus_pipeline.ORACLE_SQL is not None:
+            found["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return found
