@@ -44,3 +44,15 @@ def words_of(text: Column) -> Column:
 
 def count_words(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
+
+
+def attach(rows: DataFrame, few: DataFrame, key: str, other: str, spread: str, salts: int = 16) -> DataFrame:
+    """Left join of rows whose keys may be hot with a table of few rows per key; nulls meet.
+
+    The rows of a hot key meet their match in ``salts`` tasks, dealt by
+    ``spread``. Spark broadcasts ``few`` instead if its size on disk allows.
+    """
+    many = few.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    own = rows.withColumn("_own_salt", F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int"))
+    meet = own[key].eqNullSafe(many[other]) & (own["_own_salt"] == many["_salt"])
+    return own.join(many, meet, "left").drop("_salt", "_own_salt")

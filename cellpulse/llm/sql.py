@@ -6,9 +6,11 @@ QUALITY_RULES = r"""
 with texts as (
   select row_number() over () as row_id, doc_id, source, coalesce(text, '') as text from documents
 ), words as (
-  select *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') as w,
-    list_filter(string_split(text, chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]')) as lines
-  from texts
+  select *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') as w from texts
+), line_counts as (
+  select row_id, count(*) as n_lines, count(distinct line) as n_kinds
+  from (select row_id, unnest(string_split(text, chr(10))) as line from texts)
+  where regexp_matches(line, '[^\x20\x09-\x0D]') group by row_id
 ), positions as (
   select row_id, unnest(generate_series(1, len(w) - 4)) as pos, w from words where len(w) >= 5
 ), windows as (
@@ -23,9 +25,9 @@ with texts as (
   select row_id, doc_id, source, len(w) as n_words,
     length(regexp_replace(text, '[\x20\x09-\x0D]', '', 'g')) as word_chars,
     length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) as n_symbols,
-    len(lines) as n_lines, len(lines) - len(list_distinct(lines)) as n_dup_lines,
+    coalesce(n_lines, 0) as n_lines, coalesce(n_lines - n_kinds, 0) as n_dup_lines,
     coalesce(n, 0) as n_repeat_words
-  from words left join covered using (row_id)
+  from words left join covered using (row_id) left join line_counts using (row_id)
 ), failed as (
   select *, n_words < 10 as r1, 100 * n_repeat_words > 20 * n_words as r2, 10 * n_symbols > n_words as r3,
     10 * n_dup_lines > 3 * n_lines as r4, word_chars > 15 * n_words or word_chars < 2 * n_words as r5
@@ -50,6 +52,64 @@ select doc_id, n_words::bigint as n_words, word_chars::bigint as word_chars, n_s
 from failed left join marks on failed.source is not distinct from marks.source
 """
 
+CHAT_FORMATTING = r"""
+with turns as (
+  select distinct conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+  union all values (-1, 0, 'user', '</s>[INST] ok [/INST]'), (-1, 1, 'assistant', '</s>[INST] ok [/INST]')
+), escaped as (
+  select *, regexp_replace(text, '([<\[])(\\*)(/?s>|/?INST\]|</?SYS>>|/?ROLE\])', '\1\\\2\3', 'g') as esc,
+    regexp_replace(role, '([<\[])(\\*)(/?s>|/?INST\]|</?SYS>>|/?ROLE\])', '\1\\\2\3', 'g') as esc_role
+  from turns
+)
+select conv_id::bigint as conv_id, count(*) as n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn)) as turns_sha256,
+  sum(case when role = 'assistant' then length(text) else 0 end)::bigint as loss_chars,
+  sha256(coalesce(string_agg(text, '' order by turn) filter (where role = 'assistant'), '')) as loss_sha256,
+  sum(length(esc) + 7 + case role when 'assistant' then 0 when 'user' then 13 when 'system' then 15
+    else 13 + length(esc_role) end)::bigint as formatted_chars
+from escaped group by conv_id
+"""
+
+MIXING = r"""
+with sized as (
+  select doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) as size,
+    md5('mix-1:' || coalesce(doc_id::varchar, '')) as h
+  from documents
+), sources as (
+  select source, sum(size)::bigint as source_size,
+    [5, 2, 1][((row_number() over (order by source nulls last) - 1) % 3 + 1)::int] as weight
+  from sized group by source
+), filled as (
+  select *, coalesce(sum(2 * source_size) over w, 0) as below, coalesce(sum(weight) over w, 0) as weight_below,
+    sum(weight) over () as all_weight, 1.5 * sum(source_size) over () as goal
+  from sources
+  window w as (order by 2 * source_size / weight, source rows between unbounded preceding and 1 preceding)
+), levels as (
+  select max((goal - below) / (all_weight - weight_below))
+    filter (where 2 * source_size / weight >= (goal - below) / (all_weight - weight_below)) as level
+  from filled
+), targets as (
+  select source, source_size, least(2.0 * source_size, weight * level)::double as target from filled, levels
+), split as (
+  select *, case when source_size > 0 then floor(target / source_size)::bigint else 0 end as whole from targets
+), goals as (
+  select *, round(target)::bigint - whole * source_size as extra from split
+), tied as (
+  select source, h, sum(size) as size, count(*) as n from sized group by source, h
+), ordered as (
+  select *, coalesce(sum(size) over (partition by source order by h rows between unbounded preceding and 1 preceding), 0) as start
+  from tied
+)
+select d.doc_id, d.size::bigint as size, g.source_size, g.target,
+  (g.whole * d.size + case when g.extra >= g.source_size or o.start + o.size <= g.extra then d.size
+    when o.start <= g.extra then least(d.size, (g.extra - o.start) // o.n) else 0 end)::bigint as taken
+from sized d
+join ordered o on d.source is not distinct from o.source and d.h = o.h
+join goals g on d.source is not distinct from g.source
+"""
+
 ORACLES = {
     "op4_quality_rules": QUALITY_RULES,
+    "op7_chat_formatting": CHAT_FORMATTING,
+    "op10_mixing": MIXING,
 }

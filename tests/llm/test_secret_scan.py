@@ -1,0 +1,90 @@
+"""Spans against Python's expressions, and the models on held-out samples."""
+
+from __future__ import annotations
+
+import hashlib
+import random
+import re
+
+from cellpulse.llm import secret_scan as s
+from pyspark.sql import functions as F
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, spans string, base int"
+ASSIGN = re.compile(r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
+
+
+def plain(text):
+    text = text or ""
+    found = [(m.start(), 0, m.end()) for m in ASSIGN.finditer(text) if len(m[2]) >= 6]
+    found += [(m.start(), 1, m.end()) for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 20]
+    found += [(m.start(), 2, m.end()) for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 24]
+    return sorted(found)
+
+
+def listed(found):
+    return ",".join(f"{s.KINDS[k]}:{a}:{b}" for a, k, b in found)
+
+
+def frame(spark, texts):
+    return spark.createDataFrame([(i, t, "en", "a", len(t or ""), "x", 1) for i, t in enumerate(texts)], SCHEMA)
+
+
+def texts():
+    rng = random.Random(8)
+    bits = ["password", "Token", "api_key", "APIKEY=", "secret: ", '"', "'", " = ", ":", "=", "AKIA", "0123456789abcdef",
+            "ABCDEFGH12345678", "é😀", "\n", " ", "abc", "xyz.+/", "passwd"]
+    some = [None, "", "token=abc", "token=token:abcdefgh", "AKIA" * 9, "f" * 24, "AKIAabc", "😀token = 'abcdef'"]
+    some += ["".join(rng.choices(bits, k=rng.randrange(12))) for _ in range(400)]
+    some.append("the password is long " * 5000 + "token=" + "a1" * 40_000)
+    return some
+
+
+def test_base_spans(spark):
+    own = texts()
+    for r in s.report(frame(spark, own)).collect():
+        found = plain(own[r.doc_id])
+        assert (r.n_assign, r.n_access, r.n_hex) == tuple(sum(k == n for _, k, _ in found) for n in range(3))
+        assert r.base_sha256 == hashlib.sha256(listed(found).encode()).hexdigest()
+        assert set(listed(found).split(",")) <= set(r.spans.split(","))
+
+
+def identifiers(rng, n):
+    parts = "get set user name list index value count open read write file path node tree item config handler".split()
+    return [rng.choice("_-") .join(rng.choices(parts, k=rng.randrange(3, 6))) for _ in range(n)]
+
+
+def randoms(rng, n):
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    return ["".join(rng.choices(letters, k=rng.randrange(20, 50))) for _ in range(n)]
+
+
+def test_models_on_held_out_samples(spark):
+    rng = random.Random(9)
+    samples = [(x, False) for x in identifiers(rng, 400)] + [(x, True) for x in randoms(rng, 400)]
+    score = s.scorer(s.train(spark.createDataFrame(samples, "value string, random boolean")))
+    held = [(x, False) for x in identifiers(rng, 300)] + [(x, True) for x in randoms(rng, 300)]
+    rows = spark.createDataFrame(held, "value string, random boolean").withColumn("hit", score(F.col("value")) > s.THRESHOLD)
+    right = rows.where("hit = random").count()
+    assert right >= 0.98 * len(held)
+
+
+def test_model_adds_spans_and_redaction(spark):
+    rng = random.Random(10)
+    prose = "this is a plain sentence about get_user_name_list and open_file_path_handler with words "
+    keys = randoms(rng, 30)
+    own = [f"{prose} token = {x}" for x in randoms(rng, 60)] + [f"é {prose}\n{k} end" for k in keys] + [None, prose]
+    docs = frame(spark, own)
+    rows = {r.doc_id: r for r in s.report(docs).collect()}
+    hit = sum("model" in rows[60 + i].spans for i in range(30))
+    assert hit >= 27
+    assert rows[91].spans == ""
+    clean = s.redact(docs)
+    assert clean.columns == docs.columns
+    for r in clean.collect():
+        if r.doc_id < 60:
+            assert r.text == f"{prose} {s.MARK}" and r.n_chars == len(r.text)
+        elif r.doc_id < 90 and "model" in rows[r.doc_id].spans:
+            assert r.text == f"é {prose}\n{s.MARK} end"
+        else:
+            assert r.text == own[r.doc_id]
+    assert s.report(docs.limit(0)).count() == 0 and s.redact(docs.limit(0)).count() == 0
