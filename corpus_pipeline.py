@@ -2,21 +2,47 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from cellpulse.llm import quality_rules
+from cellpulse.llm import mixing, ngram_join, packing, quality_rules, secret_scan
 from cellpulse.llm.common import stored, table
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality rules reject go."""
     return quality_rules.keep(docs)
 
 
+def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each near-duplicate class stays."""
+    return ngram_join.one_of_each(docs)
+
+
+def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Secrets in the texts are replaced by a mark; every document stays."""
+    return secret_scan.redact(docs)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """A row for each repetition that the mix takes of a document."""
+    return mixing.repeat(docs)
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all token sequences, with their ids."""
+    return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), with_ids=True)
+
+
 STAGES = [
     ("quality rules", keep_quality),
+    ("near duplicates", keep_one_of_each),
+    ("secret scan", redact_secrets),
+    ("source mix", mix_sources),
+    ("packing", pack_sequences),
 ]
 
-#: The stages' results depend on hashes and a trained model, which SQL does not express.
+#: MinHash, a trained model and a tokenizer decide the rows, which SQL does not express.
 ORACLE_SQL = None
 
 
