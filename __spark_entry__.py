@@ -16,10 +16,11 @@ from pyspark.sql import types as T
 
 from cellpulse.operators import aggregate, analytics, clean, gate1, gate2, geo, reports, risk
 from cellpulse.plans import ingest, publish
-from cellpulse.plans.batch import stage_hourly, stage_rows
-from cellpulse.session import prepare, scratch_path
+from cellpulse.plans.batch import run_landing, run_rows, stage_hourly, stage_rows
+from cellpulse.schemas import RAW_COLUMNS
+from cellpulse.session import prepare, scratch_path, stored
 from cellpulse.sources import landing
-from cellpulse.sources.events import geojson_of, landing_of, read_activity
+from cellpulse.sources.events import geojson_of, landing_of, read_activity, write_landing
 from cellpulse.sources.geojson import grid_lookup, read_geojson
 from cellpulse.streaming import incremental
 from oracle_queries import all_queries
@@ -71,7 +72,8 @@ def _stored(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
 
 
 def _lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return grid_lookup(read_geojson(spark, geojson_of(spark, sf_dir), multi_line=False))
+    """Stored once, so that its size on disk tells how to join it."""
+    return stored(grid_lookup(read_geojson(spark, geojson_of(spark, sf_dir), multi_line=False)), "lookup")
 
 
 def _baseline(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -95,13 +97,14 @@ def _features(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _geometry_text(df: DataFrame) -> DataFrame:
-    """The geometry as text, so that it can be compared: kind, rings, first corner."""
-    corner = F.get(F.get("geometry.coordinates", F.lit(0)), F.lit(0))
+    """The geometry as text, so that it can be compared: kind, points of the first ring, first corner."""
+    ring = F.get(F.get("geometry.coordinates", F.lit(0)), F.lit(0))
+    corner = F.get(ring, F.lit(0))
     return df.withColumns(
         {
             "geometry_type": F.col("geometry.type"),
             "ring_points": F.when(
-                F.col("geometry").isNotNull(), F.size(F.get("geometry.coordinates", F.lit(0)))
+                F.col("geometry").isNotNull(), F.size(ring)
             ),
             "corner_x": F.get(corner, F.lit(0)),
             "corner_y": F.get(corner, F.lit(1)),
@@ -221,6 +224,107 @@ def q_stage_totals(spark, sf_dir):
     return present(gate2.country_reconcile(_clean(spark, sf_dir), _hourly(spark, sf_dir)))
 
 
+def q_dashboard_csv(spark, sf_dir):
+    """The rollup file, read back."""
+    path = scratch_path(prepare(spark), "dashboard")
+    summary = aggregate.dashboard_summary(_hourly(spark, sf_dir))
+    publish.write_dashboard_csv(summary, path)
+    return present(spark.read.schema(summary.schema).option("header", True).csv(path))
+
+
+def q_gate2_damaged(spark, sf_dir):
+    """All checks over tables with a fault for each of them; none may pass."""
+    valid = _clean(prepare(spark), sf_dir)
+    hourly = _stored(spark, aggregate.hourly_grid_summary(valid), "hourly")
+    day, hour = F.day("timestamp"), F.hour("timestamp")
+    spots = analytics.hotspots(analytics.grid_baseline(hourly))
+    alerts = analytics.activity_alerts(spots, RUN_AT).withColumn("baseline", F.lit(0.0))
+    spots = spots.withColumn("baseline_activity", F.when(hour >= 16, F.col("baseline_activity")))
+    daily = aggregate.daily_traffic_summary(hourly)
+    daily = daily.withColumn(
+        "daily_activity", F.when(F.day("date") == 9, -1 - F.col("daily_activity")).otherwise(F.col("daily_activity"))
+    )
+    twice = F.explode(F.when(day == 8, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1))))
+    damaged = (
+        hourly.where(day != 10)
+        .withColumn("copy", twice)
+        .withColumns(
+            {
+                "grid_id": F.when(day == 3, F.concat(F.lit("x"), "grid_id")).otherwise(F.col("grid_id")),
+                "sms_in": F.when(day != 4, F.col("sms_in")),
+                "call_in": F.when(day == 5, -1 - F.col("call_in")).otherwise(F.col("call_in")),
+                "internet_activity": F.when(day == 6, F.lit(float("inf"))).otherwise(F.col("internet_activity")),
+                "timestamp": F.when((day != 7) | (hour != 0), F.col("timestamp")),
+            }
+        )
+    )
+    lookup = _lookup(spark, sf_dir).withColumn("grid_id", F.concat(F.lit("z"), "grid_id"))
+    scores = hourly.select(F.lit(2.0).alias("risk_score"))
+    compared = gate2.reconcile(valid, damaged)
+    return present(gate2.gate2_checks(damaged, daily, spots, alerts, lookup, compared, scores))
+
+
+FULL_DAYS = (11, 14)
+
+
+def _full_days(spark, sf_dir):
+    """Raw rows of four days in which every cell has every hour: its whole activity as internet."""
+    spine = _spine(spark, sf_dir).where(F.day("timestamp").between(*FULL_DAYS))
+    values = {"datetime": F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss"), "CellID": F.col("grid_id")}
+    values |= {"countrycode": F.lit("39")} | {m: F.lit("0") for m in RAW_COLUMNS[3:7]}
+    values |= {"internet": F.round("total_activity", 6).cast("decimal(20,6)").cast("string")}
+    name = F.concat(F.lit(landing.NAME_PREFIX), F.date_format("timestamp", "yyyy-MM-dd"), F.lit(".csv"))
+    return spine.select(*[v.alias(c) for c, v in values.items()], name.alias("_source_file"))
+
+
+def _published(spark, sf_dir):
+    """A run of the whole pipeline over those days, file gate first; returns where, and what it says."""
+    out = scratch_path(prepare(spark), "published")
+    rows = _full_days(spark, sf_dir)
+    write_landing(rows, f"{out}/landing", plain=True)
+    reference = geojson_of(spark, sf_dir)
+    result = run_landing(
+        spark, f"{out}/landing", out, reference, "run-1", RUN_AT, multi_line_reference=False
+    )
+    return out, reference, rows, result
+
+
+def q_published_counts(spark, sf_dir):
+    out, _, _, _ = _published(spark, sf_dir)
+    tables = (
+        "checked_activity",
+        "hourly_grid_summary",
+        "daily_traffic_summary",
+        "daily_grid_summary",
+        "hotspots",
+        "activity_alerts",
+    )
+    counts = None
+    for table in tables:
+        rows = publish.read_published(spark, out, table).groupBy("date").agg(F.count("*").alias("row_count"))
+        rows = rows.select(F.lit(table).alias("table_name"), "date", "row_count")
+        counts = rows if counts is None else counts.unionByName(rows)
+    return counts
+
+
+def q_published_after_refusal(spark, sf_dir):
+    """What readers see after the same run id has come again with half a day and was refused."""
+    out, reference, rows, _ = _published(spark, sf_dir)
+    half = rows.where(F.col("datetime").like(f"%-{FULL_DAYS[1]} 0%"))
+    try:
+        run_rows(
+            spark, half, out, reference, "run-1", RUN_AT, multi_line_reference=False, gather_input=True
+        )
+        raise AssertionError("half a day was published")
+    except publish.PublicationRefused:
+        seen = publish.read_published(spark, out, "hourly_grid_summary")
+    return present(
+        seen.groupBy("date").agg(
+            F.count("*").alias("row_count"), F.sum("total_activity").alias("total_activity")
+        )
+    )
+
+
 # ---------------------------------------------------------------- risk and streams
 
 
@@ -236,11 +340,13 @@ def _reported(report):
 
 
 def q_risk_scores(spark, sf_dir):
+    return present(risk.risk_scores(risk.PUBLISHED, _features(prepare(spark), sf_dir), RUN_AT))
+
+
+def q_risk_evaluation(spark, sf_dir):
     # Training passes over the features many times: keep them as a table.
-    path = scratch_path(prepare(spark), "features")
-    _features(spark, sf_dir).write.parquet(path)
-    features = spark.read.parquet(path)
-    return risk.risk_scores(risk.train_risk_model(features), features, RUN_AT)
+    features = stored(_features(prepare(spark), sf_dir), "features")
+    return risk.risk_evaluation(risk.train_risk_model(features), features)
 
 
 def q_gate2_risk(spark, sf_dir):
@@ -259,11 +365,12 @@ def q_stream_new_files(spark, sf_dir):
 
 
 def q_stream_hourly(spark, sf_dir):
-    folder = landing_of(prepare(spark), sf_dir, plain=True)
+    """One day is sent twice; the second delivery adds nothing."""
+    folder = landing_of(prepare(spark), sf_dir, plain=True, resent=True)
     out = scratch_path(spark, "stream")
-    return present(
-        incremental.hourly_from_landing(spark, folder, f"{out}/sums", f"{out}/state", max_files=20)
-    )
+    incremental.hourly_from_landing(spark, folder, out, f"{out}/state", max_files=20)
+    incremental.compact_sums(spark, f"{out}/sums")
+    return present(incremental.read_hourly_sums(spark, f"{out}/sums"))
 
 
 def q_stream_deduplicated(spark, sf_dir):
@@ -277,9 +384,9 @@ def q_stream_deduplicated(spark, sf_dir):
 # ---------------------------------------------------------------- registry
 
 
-def entry(spark: SparkSession) -> DataFrame:
+def entry(spark: SparkSession, sf_dir: str = SMALL) -> DataFrame:
     """The network dashboard: parse, reject, aggregate twice."""
-    return present(aggregate.dashboard_summary(_hourly(spark, SMALL)))
+    return present(aggregate.dashboard_summary(_hourly(spark, sf_dir)))
 
 
 def activity_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -330,6 +437,11 @@ def activity_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "activity_alerts": lambda s, d: present(_alerts(s, d)),
         "risk_features": lambda s, d: present(_features(s, d)),
         "risk_scores": q_risk_scores,
+        "risk_evaluation": q_risk_evaluation,
+        "dashboard_csv": q_dashboard_csv,
+        "gate2_damaged": q_gate2_damaged,
+        "published_counts": q_published_counts,
+        "published_after_refusal": q_published_after_refusal,
         "network_kpis": _reported(reports.network_kpis),
         "grid_breakdown": lambda s, d: present(reports.grid_breakdown(_hourly(s, d))),
         "alerts_page": lambda s, d: present(reports.alerts_page(_alerts(s, d), page=2, size=25, alert_type="SPIKE")),
@@ -337,7 +449,9 @@ def activity_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             _geometry_text(reports.grid_severity(_alerts(s, d), _lookup(s, d)))
         ),
         "alert_evidence": _reported(lambda hourly, alerts: reports.alert_evidence(alerts, hourly)),
-        "compare_grids": lambda s, d: present(reports.compare_busiest(_hourly(s, d))),
+        "compare_grids": lambda s, d: present(
+            reports.compare_busiest(_stored(s, _hourly(prepare(s), d), "hourly"))
+        ),
         "date_comparison": lambda s, d: present(reports.date_comparison(_hourly(s, d))),
         "stream_new_files": q_stream_new_files,
         "stream_hourly": q_stream_hourly,
@@ -353,7 +467,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    """SQL for every query that SQL can express; not for ``risk_scores``, which trains a model."""
+    """SQL for every query that SQL can express; not for ``risk_evaluation``, which trains a model."""
     found = all_queries()
     if corpus_queries is not None:
         found |= corpus_queries.SQL

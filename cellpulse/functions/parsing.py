@@ -19,8 +19,9 @@ def timestamp_of(text: Column, formats: Sequence[str] | None = None) -> Column:
 
 
 def measure_of(text: Column) -> Column:
-    """Double or null; the text ``NaN`` counts as missing, so that it cannot poison sums."""
-    return F.nanvl(text.try_cast("double"), F.lit(None).cast("double"))
+    """Double or null; ``NaN`` and infinite values count as missing, so that they cannot poison sums."""
+    value = text.try_cast("double")
+    return F.when(F.abs(value) < F.lit(float("inf")), value)  # NaN is above every number
 
 
 def field_count(line: Column) -> Column:

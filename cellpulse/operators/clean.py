@@ -27,7 +27,7 @@ def rename_columns(raw: DataFrame) -> DataFrame:
     renamed = raw.withColumnsRenamed(RENAMES)
     missing = [c for c in REQUIRED_COLUMNS if c not in renamed.columns]
     if missing:
-        raise ValueError(f"Missing required columns: {missing}")
+        raise ValueError(f"the input lacks {', '.join(missing)}")
     return renamed
 
 

@@ -21,21 +21,20 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cellpulse.functions.parsing import field_count, measure_of, timestamp_of
-from cellpulse.operators.sizing import BROADCAST_LIMIT_BYTES, text_bytes
 from cellpulse.schemas import RAW_COLUMNS, RAW_MEASURES, SOURCE_COLUMN
-from cellpulse.session import shared_folder
+from cellpulse.session import stored
 from cellpulse.sources.landing import (
     CORRUPT,
+    Listing,
     aligned_rows,
     delivery_date,
     delivery_name,
     detect_files,
     first_line_flags,
     header_lines,
-    landing_glob,
-    read_raw,
-    require_files,
+    listing_of,
     scan_parts,
+    text_faults,
     usual_layout,
 )
 
@@ -57,6 +56,8 @@ NON_NUMERIC = "Non-numeric values found in {}: "
 # Texts of the checks that only strict mode has, and of warnings.
 EMPTY_FILE = UNREADABLE + "No columns to parse from file"
 TOO_WIDE = UNREADABLE + "rows with too many fields: "
+BAD_BYTES = UNREADABLE + "rows with bytes that are no text: "
+OPEN_QUOTE = UNREADABLE + "rows with an open quote: "
 NO_DATE = "File name does not carry a date"
 OTHER_DATE = "Rows of another date than the file name: "
 OFF_HOUR = "Timestamps off the hour: "
@@ -65,9 +66,10 @@ DUPLICATES = "Duplicate source rows: "
 EXTRA_COLUMNS = "Extra column(s): "
 OTHER_ORDER = "Columns are in another order"
 
+UNREADABLE_COUNTERS = ("too_wide", "bad_bytes", "open_quote")
 COUNTERS = (
     "lines",
-    "too_wide",
+    *UNREADABLE_COUNTERS,
     *[f"missing_{m}" for m in RAW_MEASURES],
     *[f"negative_{m}" for m in RAW_MEASURES],
 )
@@ -81,7 +83,7 @@ def _profile(rows: DataFrame, formats: Sequence[str] | None) -> DataFrame:
     """Counts per part and timestamp; all buffers are longs, partial sums run before the shuffle."""
     values = {f"value_{m}": measure_of(F.col(m)) for m in RAW_MEASURES}
     typed = rows.withColumns({"ts": timestamp_of(F.col("datetime"), formats), **values})
-    counts = [F.count("*").alias("lines"), F.count_if("too_wide").alias("too_wide")]
+    counts = [F.count("*").alias("lines"), *[F.count_if(c).alias(c) for c in UNREADABLE_COUNTERS]]
     for m in RAW_MEASURES:
         counts.append(F.count_if(F.col(f"value_{m}").isNull()).alias(f"missing_{m}"))
     for m in RAW_MEASURES:
@@ -91,18 +93,18 @@ def _profile(rows: DataFrame, formats: Sequence[str] | None) -> DataFrame:
     return typed.groupBy("part", "ts").agg(*counts)
 
 
-def _profile_usual(spark: SparkSession, paths, formats) -> DataFrame:
-    """Profile of all parts, read as if they had the usual layout. Header lines are among the rows."""
+def _usual_rows(spark: SparkSession, paths) -> DataFrame:
+    """Rows of all parts, read as if they had the usual layout. Header lines are among them."""
     scan = scan_parts(spark, paths, RAW_COLUMNS, header=False)
-    marked = scan.withColumns(
+    return scan.withColumns(
         {
             "is_header": _all([F.col(n).eqNullSafe(F.lit(n)) for n in RAW_COLUMNS]),
             "too_wide": F.when(F.col(CORRUPT).isNull(), F.lit(False)).otherwise(
                 field_count(F.col(CORRUPT)) > len(RAW_COLUMNS)
             ),
+            **text_faults(RAW_COLUMNS),
         }
-    )
-    return _profile(marked, formats).checkpoint()
+    ).drop(CORRUPT)
 
 
 @dataclass(frozen=True)
@@ -110,51 +112,83 @@ class Profile:
     """What one pass over the files tells about them.
 
     ``counts`` is one row per part and timestamp, ``layouts`` one row per part
-    with its column names.
+    with its column names. ``rows``, if kept, are the rows that were counted.
     """
 
+    listing: Listing
     counts: DataFrame
     layouts: DataFrame
+    rows: DataFrame | None
 
 
 def profile_deliveries(
-    spark: SparkSession, folder: str, formats: Sequence[str] | None = None
+    spark: SparkSession,
+    source: str | Listing,
+    formats: Sequence[str] | None = None,
+    keep_rows: bool = False,
 ) -> Profile:
     """Profile of all non-empty parts.
 
     The usual header is recognised during the scan itself; only parts with
-    another first line are read once more, by name.
+    another first line are read once more, by name. With ``keep_rows`` the scan
+    writes what it reads as columns, and everything after it reads those: the
+    text is parsed once.
     """
-    shared_folder(spark)
-    require_files(spark, folder)
-    first = _profile_usual(spark, landing_glob(folder), formats)
+    listing = listing_of(spark, source)
+    if not listing.paths:
+        return Profile(listing, _nothing(spark), _no_layouts(spark), _no_rows(spark))
+    scanned = _usual_rows(spark, listing.paths)
+    if keep_rows:
+        scanned = stored(scanned, "scanned")
+    first = stored(_profile(scanned, formats), "profile")
     per_part = first.groupBy("part").agg(
         F.min("first_line").alias("first_line"), F.min("first_header").alias("first_header")
     )
-    parts = per_part.select(
-        "part", F.col("first_line").eqNullSafe(F.col("first_header")).alias("usual")
-    )
+    usual = F.col("first_line").eqNullSafe(F.col("first_header"))
+    parts = stored(per_part.select("part", "first_header", usual.alias("usual")), "parts")
     # A usual part counts its own header as one line with a bad time and five missing measures.
     is_header_group = F.col("first_header").isNotNull() & F.col("ts").isNull()
     header_adjusted = {
         name: F.col(name) - F.when(is_header_group, 1).otherwise(0)
         for name in ("lines", *[f"missing_{m}" for m in RAW_MEASURES])
     }
+    good = parts.where("usual").select(F.col("part").alias("own"), F.col("first_header").alias("header_line"))
     counts = (
-        first.join(parts.where("usual"), "part", "left_semi")
+        first.join(good, F.col("part") == F.col("own"), "left_semi")
         .withColumns(header_adjusted)
         .select("part", "ts", *COUNTERS)
         .where("lines > 0")
     )
-    layouts = parts.where("usual").select("part", usual_layout().alias("header"))
-    # Paths only, at most as many as the file listing of a scan holds on the driver.
+    layouts = good.select(F.col("own").alias("part"), usual_layout().alias("header"))
+    columns = [*RAW_COLUMNS, "part"]
+    rows = None
+    if keep_rows:
+        rows = scanned.join(good, F.col("part") == F.col("own")).where("line_id != header_line").select(columns)
+    # Paths only, at most as many as the listing holds.
     unusual = [r["part"] for r in parts.where("not usual").select("part").collect()]
     if unusual:
-        found = header_lines(spark, unusual).checkpoint()
-        rows = aligned_rows(spark, unusual, found)
-        counts = counts.unionByName(_profile(rows, formats).select("part", "ts", *COUNTERS).checkpoint())
+        found = stored(header_lines(spark, unusual), "layouts")
+        aligned = aligned_rows(spark, unusual, found)
+        if keep_rows:
+            aligned = stored(aligned, "aligned")
+            rows = rows.unionByName(aligned.select(columns))
+        again = stored(_profile(aligned, formats).select("part", "ts", *COUNTERS), "profile")
+        counts = counts.unionByName(again)
         layouts = layouts.unionByName(found)
-    return Profile(counts, layouts)
+    return Profile(listing, counts, layouts, rows)
+
+
+def _nothing(spark: SparkSession) -> DataFrame:
+    counters = ", ".join(f"{c} long" for c in COUNTERS)
+    return spark.createDataFrame([], f"part string, ts timestamp, {counters}")
+
+
+def _no_layouts(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame([], "part string, header array<string>")
+
+
+def _no_rows(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame([], ", ".join(f"{c} string" for c in (*RAW_COLUMNS, "part")))
 
 
 def schema_check(layouts: DataFrame) -> DataFrame:
@@ -211,35 +245,25 @@ def cadence_check(profile: DataFrame) -> DataFrame:
     )
 
 
-def duplicate_check(rows: DataFrame, limit: int = BROADCAST_LIMIT_BYTES) -> DataFrame:
+def duplicate_check(rows: DataFrame, path: str = SOURCE_COLUMN) -> DataFrame:
     """Per delivery: rows beyond the first at the source grain (time, cell, country).
 
     Nearly all rows of a sound file are unique, so a first pass shuffles only two
-    hashes of the key, twelve bytes a row. If no pair of hashes repeats, there is
-    no duplicate. Else the rows with a repeated pair are counted by their full
-    key, which makes the result exact. Should the repeated pairs themselves be
-    many, all rows are counted by full key.
+    hashes of the key, twelve bytes a row. The rows with a repeated pair of
+    hashes are then counted by their full key, which makes the result exact;
+    they find the pairs by a join that adaptive execution plans by their size.
 
     Both counts combine before their shuffle, so a key that fills a third of a
     file crosses the network as one row per task.
     """
-    shared_folder(rows.sparkSession)
     keys = ["filename", "datetime", "CellID", "countrycode"]
-    named = rows.select(delivery_name(F.col(SOURCE_COLUMN)).alias("filename"), *keys[1:])
+    named = rows.select(delivery_name(F.col(path)).alias("filename"), *keys[1:])
     hashed = named.withColumns({"wide": F.xxhash64(*keys), "narrow": F.hash(*keys)})
-    repeated = (
-        hashed.groupBy("wide", "narrow")
-        .agg(F.count("*").alias("n"))
-        .where("n > 1")
-        .select("wide", "narrow")
-        .checkpoint()
-    )
-    size = text_bytes(repeated)
-    if size == 0:
-        return rows.sparkSession.createDataFrame([], "filename string, duplicate_rows bigint")
-    suspects = hashed.join(F.broadcast(repeated), ["wide", "narrow"], "left_semi") if size <= limit else named
+    repeated = hashed.groupBy("wide", "narrow").agg(F.count("*").alias("n")).where("n > 1")
+    repeated = stored(repeated.select("wide", "narrow"), "repeated")
     return (
-        suspects.groupBy(*keys)
+        hashed.join(repeated, ["wide", "narrow"], "left_semi")
+        .groupBy(*keys)
         .agg(F.count("*").alias("copies"))
         .where("copies > 1")
         .groupBy("filename")
@@ -293,7 +317,8 @@ def verdicts(
     facts = facts.withColumns({c: F.coalesce(F.col(c), F.lit(0)) for c in zeros})
     facts = facts.withColumn("file_date", delivery_date(F.col("filename")))
 
-    unreadable = (F.col("bytes") == 0) | (F.col("too_wide") > 0)
+    broken = F.greatest(*UNREADABLE_COUNTERS) > 0
+    unreadable = (F.col("bytes") == 0) | broken
     lacks = F.size("missing_columns") > 0
     readable = ~unreadable & ~F.coalesce(lacks, F.lit(False))
     empty = F.col("lines") == 0
@@ -303,6 +328,8 @@ def verdicts(
     structure = [
         (F.col("bytes") == 0, F.lit(EMPTY_FILE)),
         (F.col("too_wide") > 0, _numbered(TOO_WIDE, "too_wide")),
+        (F.col("bad_bytes") > 0, _numbered(BAD_BYTES, "bad_bytes")),
+        (F.col("open_quote") > 0, _numbered(OPEN_QUOTE, "open_quote")),
         (~unreadable & lacks, F.concat(F.lit(MISSING_COLUMNS), F.array_join("missing_columns", ", "))),
         (readable & empty, F.lit(ZERO_ROWS)),
         (judged & ~times_ok, _numbered(MALFORMED_TIMES, "bad_time")),
@@ -357,21 +384,16 @@ def verdicts(
 
 def judge_landing(
     spark: SparkSession,
-    folder: str,
+    source: str | Listing,
     mode: str = "strict",
     formats: Sequence[str] | None = None,
     expected_hours: int = HOURS_PER_DAY,
+    keep_rows: bool = False,
 ) -> tuple[DataFrame, Profile]:
     """Verdicts on all deliveries of a landing folder, and the profile they rest on."""
-    profile = profile_deliveries(spark, folder, formats)
-    duplicates = None
-    if mode == "strict":
-        duplicates = duplicate_check(profiled_rows(spark, folder, profile))
-    files = detect_files(spark, folder)
+    strict = mode == "strict"
+    profile = profile_deliveries(spark, source, formats, keep_rows or strict)
+    duplicates = duplicate_check(profile.rows, "part") if strict else None
+    files = detect_files(spark, profile.listing)
     found = verdicts(files, profile.counts, profile.layouts, duplicates, mode, expected_hours)
     return found, profile
-
-
-def profiled_rows(spark: SparkSession, folder: str, profile: Profile) -> DataFrame:
-    """The rows of a profiled folder; its layouts are known and not read again."""
-    return read_raw(spark, folder, profile.layouts)

@@ -13,11 +13,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cellpulse.functions.measures import percent
-from cellpulse.operators.sizing import broadcast_if_small
 from cellpulse.schemas import MEASURES
 
 EQUAL, AT_LEAST, AT_MOST = "equal", "at least", "at most"
 GRID_ID_PATTERN = "^[0-9]+$"
+#: Limits in percent: reference cells that are active, active cells that the
+#: reference lacks, and grid-hours that have a baseline.
+MIN_REPRESENTED, MAX_UNKNOWN, MIN_COMPUTABLE = 50.0, 50.0, 50.0
 
 
 def _as_rows(facts: DataFrame, checks: list[tuple[str, Column, str, Column]]) -> DataFrame:
@@ -49,7 +51,10 @@ def hourly_checks(hourly: DataFrame, start: date | None = None, end: date | None
     for m in MEASURES:
         any_null = any_null | F.col(m).isNull()
         any_negative = any_negative | F.coalesce(F.col(m) < 0, F.lit(False))
-        any_nan = any_nan | F.coalesce(F.isnan(m), F.lit(False))
+    derived = ("total_sms", "total_calls", "total_activity", "internet_share")
+    for m in (*MEASURES, *(c for c in derived if c in hourly.columns)):
+        # Neither NaN nor infinite values are below infinity.
+        any_nan = any_nan | ~F.coalesce(F.abs(m) < F.lit(float("inf")), F.lit(True))
     bad_id = F.col("grid_id").isNull() | ~F.col("grid_id").rlike(GRID_ID_PATTERN)
     cells = hourly.groupBy("timestamp", "grid_id").agg(
         F.count("*").alias("n"),
@@ -80,7 +85,7 @@ def hourly_checks(hourly: DataFrame, start: date | None = None, end: date | None
         (F.lit(start).cast("date") if start else F.min("date")).alias("first_date"),
         (F.lit(end).cast("date") if end else F.max("date")).alias("last_date"),
         F.count_if(after & before).alias("dates"),
-        F.coalesce(F.sum("hours"), F.lit(0)).alias("hours"),
+        F.coalesce(F.sum(F.when(after & before, F.least("hours", F.lit(24)))), F.lit(0)).alias("hours"),
     )
     wanted = F.datediff("last_date", "first_date") + 1
     zero = F.lit(0)
@@ -100,7 +105,10 @@ def hourly_checks(hourly: DataFrame, start: date | None = None, end: date | None
 
 
 def grid_checks(
-    hourly: DataFrame, lookup: DataFrame, min_represented: float = 0.0, max_unknown: float = 100.0
+    hourly: DataFrame,
+    lookup: DataFrame,
+    min_represented: float = MIN_REPRESENTED,
+    max_unknown: float = MAX_UNKNOWN,
 ) -> DataFrame:
     """Share of reference cells that are active, and of active cells that are not in the reference (percent)."""
     active = hourly.select("grid_id", F.lit(1).alias("is_active")).distinct()
@@ -129,7 +137,7 @@ def daily_check(daily: DataFrame) -> DataFrame:
     return _as_rows(facts, [("daily_totals_non_negative", F.col("negative"), EQUAL, F.lit(0))])
 
 
-def baseline_checks(spots: DataFrame, alerts: DataFrame, min_computable: float = 0.0) -> DataFrame:
+def baseline_checks(spots: DataFrame, alerts: DataFrame, min_computable: float = MIN_COMPUTABLE) -> DataFrame:
     """Share of grid-hours with a baseline (percent), and alerts whose denominator is not positive."""
     computable = spots.agg(
         F.count("*").alias("n"), F.count("baseline_activity").alias("with_baseline")
@@ -171,9 +179,9 @@ def reconcile(clean: DataFrame, hourly: DataFrame, tolerance: float = 1e-9) -> D
         ]
         return facts.select(F.inline(F.array(*entries)))
 
-    # Five rows on either side.
+    # Five rows on either side, one per measure.
     both = tall(before, "before", "clean_total").join(
-        broadcast_if_small(tall(after, "after", "hourly_total")), "measure"
+        F.broadcast(tall(after, "after", "hourly_total")), "measure"
     )
     gap = F.abs(F.col("clean_total") - F.col("hourly_total"))
     scale = F.greatest(F.lit(1.0), F.abs("clean_total"))
@@ -188,19 +196,18 @@ def reconcile_check(compared: DataFrame) -> DataFrame:
 def country_reconcile(clean: DataFrame, hourly: DataFrame) -> DataFrame:
     """Total activity and rows at each stage: source rows, country rows, grid-hours."""
     country = clean.groupBy("timestamp", "grid_id", "country_code").agg(
-        F.sum("total_activity").alias("total_activity")
+        F.sum("total_activity").alias("total_activity"), F.count("*").alias("n")
     )
-
-    def stage(df: DataFrame, number: int, name: str) -> DataFrame:
-        return df.agg(
-            F.count("*").alias("row_count"),
-            F.coalesce(F.sum("total_activity"), F.lit(0.0)).alias("total_activity"),
-        ).select(F.lit(number).alias("stage"), F.lit(name).alias("grain"), "row_count", "total_activity")
-
-    return (
-        stage(clean, 1, "source row")
-        .unionByName(stage(country, 2, "grid, hour and country"))
-        .unionByName(stage(hourly, 3, "grid and hour"))
+    total = lambda: F.coalesce(F.sum("total_activity"), F.lit(0.0))
+    rows = lambda number, grain, n: F.struct(
+        F.lit(number).alias("stage"), F.lit(grain).alias("grain"), n.alias("row_count"), F.col("t").alias("total_activity")
+    )
+    # Source rows are counted on the way to the country rows, so the clean table is read once.
+    first = country.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("source"), F.count("*").alias("rows"), total().alias("t"))
+    both = F.array(rows(1, "source row", F.col("source")), rows(2, "grid, hour and country", F.col("rows")))
+    last = hourly.agg(F.count("*").alias("rows"), total().alias("t"))
+    return first.select(F.inline(both)).unionByName(
+        last.select(F.inline(F.array(rows(3, "grid and hour", F.col("rows")))))
     )
 
 
@@ -214,9 +221,9 @@ def gate2_checks(
     scores: DataFrame | None = None,
     start: date | None = None,
     end: date | None = None,
-    min_represented: float = 0.0,
-    max_unknown: float = 100.0,
-    min_computable: float = 0.0,
+    min_represented: float = MIN_REPRESENTED,
+    max_unknown: float = MAX_UNKNOWN,
+    min_computable: float = MIN_COMPUTABLE,
 ) -> DataFrame:
     """All checks as rows. Publish only if every row has passed."""
     found = hourly_checks(hourly, start, end).unionByName(daily_check(daily))

@@ -6,27 +6,32 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cellpulse.functions.measures import percent
-from cellpulse.operators.sizing import broadcast_if_small
 
 
 def enrich_with_geometry(activity: DataFrame, lookup: DataFrame) -> DataFrame:
     """Left join on grid_id. The lookup is unique per id, so the row count stays the same."""
-    return activity.join(broadcast_if_small(lookup), "grid_id", "left")
+    return activity.join(lookup.select("grid_id", "geometry"), "grid_id", "left")
 
 
-def unmatched_grids(activity: DataFrame, lookup: DataFrame) -> DataFrame:
-    """Active cells without a geometry, and why: no feature, or a feature without one."""
-    cells = activity.select("grid_id").distinct()
-    known = lookup.select("grid_id", F.col("geometry").isNull().alias("no_geometry"))
-    joined = cells.join(broadcast_if_small(known), "grid_id", "left")
-    return joined.where(F.coalesce("no_geometry", F.lit(True))).select(
-        "grid_id",
-        F.when(F.col("no_geometry").isNull(), "no feature")
-        .otherwise("feature without geometry")
-        .alias("reason"),
+def _cause() -> Column:
+    """Why a cell that was looked up has no area; null if it has one."""
+    return (
+        F.when(F.col("no_area").isNull(), "no feature")
+        .when(F.col("other_kind").isNotNull(), "geometry of another kind")
+        .when(F.col("no_area"), "feature without geometry")
     )
 
 
+def _looked_up(activity: DataFrame, lookup: DataFrame) -> DataFrame:
+    known = lookup.select("grid_id", "other_kind", F.col("geometry").isNull().alias("no_area"))
+    return activity.select("grid_id").distinct().join(known, "grid_id", "left")
+
+
+def unmatched_grids(activity: DataFrame, lookup: DataFrame) -> DataFrame:
+    """Active cells without an area, and why: no feature, one without geometry, or one of another kind."""
+    return _looked_up(activity, lookup).select("grid_id", _cause().alias("reason")).where("reason is not null")
+
+
 def silent_grids(activity: DataFrame, lookup: DataFrame) -> DataFrame:
     """Cells of the lookup that have no activity at all."""
     active = activity.select("grid_id").distinct()
@@ -35,14 +40,14 @@ def silent_grids(activity: DataFrame, lookup: DataFrame) -> DataFrame:
 
 def geo_coverage(activity: DataFrame, lookup: DataFrame) -> DataFrame:
     """One row: active cells, cells without geometry by cause, and coverage in percent."""
-    cells = activity.select("grid_id").distinct()
-    known = lookup.select("grid_id", F.col("geometry").isNull().alias("no_geometry"))
-    counts = cells.join(broadcast_if_small(known), "grid_id", "left").agg(
+    cause = _cause()
+    counts = _looked_up(activity, lookup).agg(
         F.count("*").alias("activity_grids"),
-        F.count_if(F.col("no_geometry").isNull()).alias("grids_without_feature"),
-        F.count_if("no_geometry").alias("grids_without_geometry"),
+        F.count_if(cause == "no feature").alias("grids_without_feature"),
+        F.count_if(cause == "feature without geometry").alias("grids_without_geometry"),
+        F.count_if(cause == "geometry of another kind").alias("grids_of_other_kind"),
     )
-    missing = F.col("grids_without_feature") + F.col("grids_without_geometry")
+    missing = F.col("grids_without_feature") + F.col("grids_without_geometry") + F.col("grids_of_other_kind")
     return counts.select(
         "*",
         missing.alias("missing_geometry_grids"),
@@ -50,47 +55,50 @@ def geo_coverage(activity: DataFrame, lookup: DataFrame) -> DataFrame:
     )
 
 
-def _ring_sum(terms: Column, field: str) -> Column:
-    return F.aggregate(terms, F.lit(0.0), lambda acc, t: acc + t[field])
+def _ring_moments(ring: Column) -> Column:
+    """Twice the area of a ring, and six times its first moments, as positive for either direction."""
+    # Each point with the next, the last with the first: in a closed ring that edge adds nothing.
+    following = F.concat(F.slice(ring, F.lit(2), F.size(ring)), F.slice(ring, 1, 1))
+
+    def edge(a: Column, b: Column) -> Column:
+        cross = a[0] * b[1] - b[0] * a[1]
+        return F.struct(cross.alias("area"), (cross * (a[0] + b[0])).alias("x"), (cross * (a[1] + b[1])).alias("y"))
+
+    def add(total: Column, e: Column) -> Column:
+        return F.struct(*[(total[c] + e[c]).alias(c) for c in ("area", "x", "y")])
+
+    zero = F.struct(*[F.lit(0.0).alias(c) for c in ("area", "x", "y")])
+    positive = lambda m: F.struct(*[(m[c] * F.signum(m["area"])).alias(c) for c in ("area", "x", "y")])
+    return F.aggregate(F.zip_with(ring, following, edge), zero, add, positive)
 
 
 def grid_centroids(lookup: DataFrame) -> DataFrame:
-    """Bounding box of all rings, and area centroid of the outer ring, per cell with a polygon.
+    """Bounding box of all rings, and area centroid of the outer rings, per cell with an area.
 
-    The centroid weighs each edge of the ring by its signed cross product; for a
-    ring without area it is the mean of the points.
+    Polygons of one cell weigh by their areas, whatever the direction of their
+    rings; without any area the centroid is the mean of the points.
     """
-    shapes = lookup.where(F.col("geometry").isNotNull() & (F.size("geometry.coordinates") > 0))
-    points = F.flatten("geometry.coordinates")
-    xs = F.transform(points, lambda p: p[0])
-    ys = F.transform(points, lambda p: p[1])
-    ring = F.col("ring")
-    # Each point with the next, the last with the first: in a closed ring that edge adds nothing.
-    following = F.concat(F.slice(ring, F.lit(2), F.size(ring)), F.slice(ring, 1, 1))
-    edges = F.zip_with(
-        ring,
-        following,
-        lambda a, b: F.struct(
-            (a[0] * b[1] - b[0] * a[1]).alias("cross"),
-            ((a[0] + b[0]) * (a[0] * b[1] - b[0] * a[1])).alias("x"),
-            ((a[1] + b[1]) * (a[0] * b[1] - b[0] * a[1])).alias("y"),
-        ),
-    )
+    shapes = lookup.where(F.size(F.flatten(F.flatten("geometry.coordinates"))) > 0)
+    points = F.flatten(F.flatten("geometry.coordinates"))
+    outer = F.transform("geometry.coordinates", lambda polygon: F.get(polygon, F.lit(0)))
+    moments = F.transform(F.filter("outer", lambda r: r.isNotNull()), _ring_moments)
+    total = lambda c: F.aggregate("moments", F.lit(0.0), lambda t, m: t + m[c])
+    ring_points = F.flatten(F.filter("outer", lambda r: r.isNotNull()))
+    mean = lambda k: F.aggregate(ring_points, F.lit(0.0), lambda t, p: t + p[k]) / F.size(ring_points)
+    along = lambda k: F.transform(points, lambda p: p[k])
     boxed = shapes.select(
         "grid_id",
-        F.array_min(xs).alias("min_x"),
-        F.array_min(ys).alias("min_y"),
-        F.array_max(xs).alias("max_x"),
-        F.array_max(ys).alias("max_y"),
-        F.get("geometry.coordinates", F.lit(0)).alias("ring"),
-    ).withColumn("edges", edges)
-    area3 = _ring_sum(F.col("edges"), "cross") * 3.0
-    mean_x = F.aggregate(ring, F.lit(0.0), lambda acc, p: acc + p[0]) / F.size(ring)
-    mean_y = F.aggregate(ring, F.lit(0.0), lambda acc, p: acc + p[1]) / F.size(ring)
+        F.array_min(along(0)).alias("min_x"),
+        F.array_min(along(1)).alias("min_y"),
+        F.array_max(along(0)).alias("max_x"),
+        F.array_max(along(1)).alias("max_y"),
+        outer.alias("outer"),
+    ).withColumn("moments", moments)
+    area3 = total("area") * 3.0
     return boxed.select(
         "grid_id",
-        F.when(area3 != 0, _ring_sum(F.col("edges"), "x") / area3).otherwise(mean_x).alias("centroid_x"),
-        F.when(area3 != 0, _ring_sum(F.col("edges"), "y") / area3).otherwise(mean_y).alias("centroid_y"),
+        F.when(area3 != 0, total("x") / area3).otherwise(mean(0)).alias("centroid_x"),
+        F.when(area3 != 0, total("y") / area3).otherwise(mean(1)).alias("centroid_y"),
         "min_x",
         "min_y",
         "max_x",

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from cellpulse.functions.measures import safe_ratio, settled
 from cellpulse.operators.aggregate import top_grids
-from cellpulse.operators.sizing import broadcast_if_small
 from cellpulse.sources.landing import delivery_date
 
 DAY_SECONDS = 86_400
@@ -94,7 +93,7 @@ def grid_severity(alerts: DataFrame, lookup: DataFrame) -> DataFrame:
     return (
         worst.withColumn("worst_level", name)
         .drop("severity")
-        .join(broadcast_if_small(lookup), "grid_id", "left")
+        .join(lookup.select("grid_id", "geometry"), "grid_id", "left")
     )
 
 

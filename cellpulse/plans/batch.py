@@ -14,6 +14,7 @@ from cellpulse.operators.gate1 import ACCEPTED
 from cellpulse.plans.ingest import ingest
 from cellpulse.plans.publish import (
     is_published,
+    new_attempt,
     publish,
     read_published,
     read_staged,
@@ -124,19 +125,23 @@ def run_rows(
     multi_line_reference: bool = True,
     gather_input: bool = False,
     history_days: int = 0,
+    min_represented: float = gate2.MIN_REPRESENTED,
+    max_unknown: float = gate2.MAX_UNKNOWN,
+    min_computable: float = gate2.MIN_COMPUTABLE,
 ) -> BatchResult:
     """All stages over raw rows; raises ``PublicationRefused`` if a check fails.
 
     ``history_days`` lets the baseline use that many published days around the
-    days of this run, which a run over a single day needs.
+    days of this run, which a run over a single day needs. The last three are
+    limits of checks, in percent; see ``gate2``.
 
     The input is parsed once. Everything after the first write reads columns of
     the staged tables. The caller owns the session; exceptions propagate.
     """
-    began = time.monotonic()
+    began, attempt = time.monotonic(), new_attempt()
 
     def path_of(table: str) -> str:
-        return run_path(output_folder, table, run_id)
+        return run_path(output_folder, table, run_id, attempt)
 
     lookup = grid_lookup(read_geojson(spark, reference_path, multi_line_reference))
     lookup.write.mode("overwrite").parquet(path_of("grid_lookup"))
@@ -170,6 +175,9 @@ def run_rows(
             compared=gate2.reconcile(valid, hourly),
             start=start,
             end=end,
+            min_represented=min_represented,
+            max_unknown=max_unknown,
+            min_computable=min_computable,
         )
         .unionByName(delivered_dates_check(checked))
         .unionByName(readback_check("checked_rows_readback", checked, rows_in))
@@ -195,7 +203,7 @@ def run_rows(
     }
 
     require_passed(checks)
-    publish(spark, output_folder, run_id, stored, checked, run_at)
+    publish(spark, output_folder, run_id, attempt, stored, checked, run_at)
     metrics["duration_seconds"] = time.monotonic() - began
     unpartitioned = ("dashboard_summary", "top_grids_geo", "grid_lookup", "gate2_checks")
     return BatchResult(run_id, metrics, checks.collect(), {t: path_of(t) for t in unpartitioned})

@@ -7,10 +7,10 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellpulse.operators.gate1 import judge_landing, profiled_rows
-from cellpulse.operators.sizing import broadcast_if_small
-from cellpulse.plans.publish import run_path
+from cellpulse.operators.gate1 import judge_landing
+from cellpulse.plans.publish import new_attempt, run_path
 from cellpulse.schemas import LOG_SCHEMA, SOURCE_COLUMN
+from cellpulse.session import stored
 from cellpulse.sources.landing import delivery_name
 
 LOG = "ingestion_log"
@@ -41,7 +41,7 @@ def route_rows(raw: DataFrame, verdicts: DataFrame) -> DataFrame:
     """Every row with the verdict of its delivery; the landing files stay where they are."""
     judged = verdicts.select("filename", "status", "reason")
     named = raw.withColumn("filename", delivery_name(F.col(SOURCE_COLUMN)))
-    return named.join(broadcast_if_small(judged), "filename")
+    return named.join(judged, "filename")
 
 
 def ingest(
@@ -54,13 +54,13 @@ def ingest(
 ) -> DataFrame:
     """Judge a landing folder; write raw and rejected rows as text; append the log.
 
-    Returns the routed rows. They are stored by ``status``, so reading the
-    accepted ones touches their folder only.
+    Returns the routed rows, which are the very rows that were judged. They are
+    stored by ``status``, so reading the accepted ones touches their folder only.
     """
-    verdicts, profile = judge_landing(spark, landing, mode)
-    verdicts = verdicts.checkpoint()
-    path = run_path(output, ROUTED, run_id)
-    routed = route_rows(profiled_rows(spark, landing, profile), verdicts)
-    routed.write.mode("overwrite").partitionBy("status").parquet(path)
+    verdicts, profile = judge_landing(spark, landing, mode, keep_rows=True)
+    verdicts = stored(verdicts, "verdicts")
+    path = run_path(output, ROUTED, run_id, new_attempt())
+    routed = route_rows(profile.rows.withColumnRenamed("part", SOURCE_COLUMN), verdicts)
+    routed.write.mode("error").partitionBy("status").parquet(path)
     append_log(log_records(verdicts, processed_at), output)
-    return spark.read.parquet(path)
+    return spark.read.schema(routed.schema).parquet(path)

@@ -1,15 +1,19 @@
 """Stage, check, publish.
 
-A run writes its tables below ``<table>/run_id=<run>`` and nothing there is
-visible to readers. Publishing appends rows to a manifest, one per table and
-date; a reader takes for each date the newest run in the manifest. So a failed
-run leaves the published data as it was, no data is copied, and a date that is
-delivered again replaces only itself.
+A run writes its tables below ``<table>/run_id=<run>/attempt=<attempt>`` and
+nothing there is visible to readers. Every attempt has folders of its own, so a
+retry under the same run id touches nothing that is published. Publishing
+appends rows to a manifest, one per table and date; a reader takes for each
+date the newest attempt in the manifest. So a failed run leaves the published
+data as it was, no data is copied, and a date that is delivered again replaces
+only itself.
 """
 
 from __future__ import annotations
 
 import json
+import time
+import uuid
 from datetime import datetime
 
 from pyspark.errors import AnalysisException
@@ -22,6 +26,7 @@ MANIFEST_SCHEMA = T.StructType(
         T.StructField("table", T.StringType()),
         T.StructField("date", T.DateType()),
         T.StructField("run_id", T.StringType()),
+        T.StructField("attempt", T.StringType()),
         T.StructField("has_rows", T.BooleanType()),
         T.StructField("schema", T.StringType()),
         T.StructField("published_at", T.TimestampType()),
@@ -37,8 +42,13 @@ class PublicationRefused(RuntimeError):
         self.failed = failed
 
 
-def run_path(output: str, table: str, run_id: str) -> str:
-    return f"{output.rstrip('/')}/{table}/run_id={run_id}"
+def new_attempt() -> str:
+    """A name that no other attempt has; later attempts come later in order."""
+    return f"{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
+
+
+def run_path(output: str, table: str, run_id: str, attempt: str) -> str:
+    return f"{output.rstrip('/')}/{table}/run_id={run_id}/attempt={attempt}"
 
 
 def manifest_path(output: str) -> str:
@@ -62,14 +72,12 @@ def read_staged(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def write_dashboard_csv(summary: DataFrame, path: str, rows_per_file: int = 1_000_000) -> None:
+def write_dashboard_csv(summary: DataFrame, path: str, files: int = 1) -> None:
     """Network rollup as CSV with header, in time order.
 
-    One row per hour: a century of hours fits one file, and one file it is.
-    Should timestamps be finer, the rows are range-partitioned into more files,
-    so that no task has to hold more than about ``rows_per_file``.
+    One row per hour: a century of hours fits one file. With more ``files`` each
+    holds a range of times.
     """
-    files = max(1, -(-summary.count() // rows_per_file))
     ordered = (
         summary.repartition(1) if files == 1 else summary.repartitionByRange(files, "timestamp")
     )
@@ -87,6 +95,7 @@ def publish(
     spark: SparkSession,
     output: str,
     run_id: str,
+    attempt: str,
     tables: dict[str, DataFrame],
     dates: DataFrame,
     published_at: datetime,
@@ -105,6 +114,7 @@ def publish(
             F.lit(name).alias("table"),
             run_dates["date"],
             F.lit(run_id).alias("run_id"),
+            F.lit(attempt).alias("attempt"),
             F.col("filled").isNotNull().alias("has_rows"),
             F.lit(staged.schema.json()).alias("schema"),
             F.lit(published_at).cast("timestamp").alias("published_at"),
@@ -114,8 +124,8 @@ def publish(
 
 
 def current_runs(spark: SparkSession, output: str, table: str) -> DataFrame:
-    """What is published, one row per date; of two runs at one time the later id wins."""
-    newest = F.max(F.struct("published_at", "run_id", "has_rows", "schema"))
+    """What is published, one row per date; of two runs at one time the later attempt wins."""
+    newest = F.max(F.struct("published_at", "attempt", "run_id", "has_rows", "schema"))
     return (
         spark.read.schema(MANIFEST_SCHEMA)
         .parquet(manifest_path(output))
@@ -136,16 +146,17 @@ def read_published(spark: SparkSession, output: str, table: str) -> DataFrame:
     current = current_runs(spark, output, table).collect()  # one row per date
     if not current:
         raise LookupError(f"{table} has not been published in {output}")
-    last = max(current, key=lambda row: (row["published_at"], row["run_id"]))
+    last = max(current, key=lambda row: (row["published_at"], row["attempt"]))
     schema = T.StructType.fromJson(json.loads(last["schema"])).add("run_id", T.StringType())
     paths = [
-        f"{base}/run_id={row['run_id']}/date={row['date'] or '__HIVE_DEFAULT_PARTITION__'}"
+        f"{base}/run_id={row['run_id']}/attempt={row['attempt']}/date={row['date'] or '__HIVE_DEFAULT_PARTITION__'}"
         for row in current
         if row["has_rows"]
     ]
     if not paths:
         return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).option("basePath", base).parquet(*paths)
+    found = spark.read.schema(schema).option("basePath", base).parquet(*paths)
+    return found.select(*schema.names)
 
 
 def is_published(spark: SparkSession, output: str, table: str) -> bool:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from cellpulse.operators import analytics, gate2, risk
 from cellpulse.plans.batch import HOURLY
-from cellpulse.plans.publish import publish, read_published, require_passed, run_path, write_by_date
+from cellpulse.plans.publish import new_attempt, publish, read_published, require_passed, run_path, write_by_date
 
 SCORES = "risk_scores"
 
@@ -21,12 +21,13 @@ def run_risk(
 
     Training passes over the features several times, so they are stored first.
     """
+    attempt = new_attempt()
     spine = analytics.hourly_spine(read_published(spark, output, HOURLY))
     dated = risk.risk_features(spine).withColumn("date", F.to_date("timestamp"))
-    features = write_by_date(dated, run_path(output, "risk_features", run_id))
+    features = write_by_date(dated, run_path(output, "risk_features", run_id, attempt))
     model = risk.train_risk_model(features)
     scores = risk.risk_scores(model, features, run_at, version).withColumn("date", F.to_date("timestamp"))
-    stored = write_by_date(scores, run_path(output, SCORES, run_id))
+    stored = write_by_date(scores, run_path(output, SCORES, run_id, attempt))
     require_passed(gate2.risk_check(stored))
-    publish(spark, output, run_id, {SCORES: stored}, stored, run_at)
+    publish(spark, output, run_id, attempt, {SCORES: stored}, stored, run_at)
     return stored

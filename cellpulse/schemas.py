@@ -56,32 +56,12 @@ def text_schema(names) -> T.StructType:
 
 RAW_SCHEMA = text_schema(RAW_COLUMNS)
 
-GEOMETRY_TYPE = T.StructType(
-    [
-        T.StructField("type", T.StringType()),
-        T.StructField("coordinates", T.ArrayType(T.ArrayType(T.ArrayType(T.DoubleType())))),
-    ]
-)
+# A geometry that covers an area: its kind, and polygons of rings of points.
+AREA_TYPE = "struct<type: string, coordinates: array<array<array<array<double>>>>>"
 
-GEOJSON_SCHEMA = T.StructType(
-    [
-        T.StructField("type", T.StringType()),
-        T.StructField(
-            "features",
-            T.ArrayType(
-                T.StructType(
-                    [
-                        T.StructField("type", T.StringType()),
-                        T.StructField(
-                            "properties",
-                            T.StructType([T.StructField("cellId", T.StringType())]),
-                        ),
-                        T.StructField("geometry", GEOMETRY_TYPE),
-                    ]
-                )
-            ),
-        ),
-    ]
+# How deep the coordinates are nested depends on the kind, so a geometry is read as text first.
+FEATURE_COLLECTION = (
+    "type string, features array<struct<type: string, properties: struct<cellId: string>, geometry: string>>"
 )
 
 LOG_SCHEMA = T.StructType(

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellpulse.schemas import GEOMETRY_TYPE, RAW_COLUMNS
+from cellpulse.schemas import RAW_COLUMNS
 from cellpulse.session import scratch_path
 from cellpulse.sources.landing import NAME_PREFIX
 
@@ -30,10 +30,15 @@ K_BAD_TIME, BAD_TIME_DAYS = 13, (1, 5)
 K_NEGATIVE, NEGATIVE_DAYS = 89, (6, 10)
 K_NOT_A_NUMBER_TEXT = 83
 K_NAN_TEXT = 79
+K_INFINITY_TEXT = 71
 SHORT_DAY = 27  # hour 5 is recorded as hour 6: 23 distinct times
 LATE_DAY = 28  # hour 0 is recorded under the day before
 REORDERED_DAY = 29  # columns in another order, one more column
 NARROW_DAY = 30  # no internet column
+RESENT_DAY = 2  # sent again under another name, where a landing asks for it
+
+# Nations of suppliers whose cells are special.
+NATION_NO_ID, NATION_TWICE, NATION_TWO_AREAS, NATION_POINT = 7, 3, 5, 11
 
 _landings: dict[tuple[str, str], str] = {}
 
@@ -63,6 +68,7 @@ def activity_rows(events: DataFrame) -> DataFrame:
     value = (
         F.when(k == K_NOT_A_NUMBER_TEXT, "abc")
         .when(k == K_NAN_TEXT, "NaN")
+        .when(k == K_INFINITY_TEXT, "Infinity")
         .when(negative, (-F.col("value")).cast("string"))
         .otherwise(F.col("value").cast("string"))
     )
@@ -113,36 +119,47 @@ def write_landing(rows: DataFrame, folder: str, plain: bool = False) -> None:
         )
 
 
-def landing_of(spark: SparkSession, sf_dir: str, plain: bool = False) -> str:
+def landing_of(spark: SparkSession, sf_dir: str, plain: bool = False, resent: bool = False) -> str:
     """Landing folder with the deliveries of an event table, written once per session."""
-    key = (spark.sparkContext.applicationId, f"{sf_dir}#{'plain' if plain else 'mixed'}")
+    key = (spark.sparkContext.applicationId, f"{sf_dir}#{'plain' if plain else 'mixed'}{'+' * resent}")
     if key not in _landings:
         folder = scratch_path(spark, "landing")
-        write_landing(read_activity(spark, sf_dir), folder, plain)
+        rows = read_activity(spark, sf_dir)
+        if resent:
+            again = rows.where(F.col("_source_file").endswith(f"-{RESENT_DAY:02d}.csv"))
+            renamed = F.concat(F.lit(NAME_PREFIX), F.lit(f"again-{RESENT_DAY:02d}.csv"))
+            rows = rows.unionByName(again.withColumn("_source_file", renamed))
+        write_landing(rows, folder, plain)
         _landings[key] = folder
     return _landings[key]
 
 
 def cell_collections(suppliers: DataFrame) -> DataFrame:
-    """Feature collections, one per supplier: a unit square each.
+    """Feature collections as lines of text, one per supplier: a unit square each.
 
-    A few have no id, no geometry, or the same feature twice.
+    Some have two squares, a point, no id, no geometry, or the same feature twice.
     """
-    x = F.col("s_suppkey").cast("double")
-    y = F.col("s_nationkey").cast("double")
+    x, y, nation = F.col("s_suppkey").cast("double"), F.col("s_nationkey").cast("double"), F.col("s_nationkey")
     corners = [(0, 0), (1, 0), (1, 1), (0, 1), (0, 0)]
-    ring = F.array(*[F.array(x + dx, y + dy) for dx, dy in corners])
-    geometry = F.struct(F.lit("Polygon").alias("type"), F.array(ring).alias("coordinates")).cast(GEOMETRY_TYPE)
-    feature = F.struct(
-        F.lit("Feature").alias("type"),
-        F.struct(F.when(F.col("s_nationkey") != 7, F.col("s_suppkey").cast("string")).alias("cellId")).alias(
-            "properties"
-        ),
-        F.when(F.col("s_acctbal") >= 0, geometry).alias("geometry"),
+
+    def polygon(offset: float) -> Column:
+        return F.array(F.array(*[F.array(x + offset + dx, y + dy) for dx, dy in corners]))
+
+    def shape(kind: str, coordinates: Column) -> Column:
+        return F.to_json(F.struct(F.lit(kind).alias("type"), coordinates.alias("coordinates")))
+
+    geometry = (
+        F.when(F.col("s_acctbal") < 0, F.lit("null"))
+        .when(nation == NATION_TWO_AREAS, shape("MultiPolygon", F.array(polygon(0.0), polygon(2.0))))
+        .when(nation == NATION_POINT, shape("Point", F.array(x, y)))
+        .otherwise(shape("Polygon", polygon(0.0)))
     )
-    copies = F.when(F.col("s_nationkey") == 3, 2).otherwise(1)
+    properties = F.when(nation != NATION_NO_ID, F.concat(F.lit('{"cellId":'), F.col("s_suppkey"), F.lit("}"))).otherwise("{}")
+    feature = F.concat(F.lit('{"type":"Feature","properties":'), properties, F.lit(',"geometry":'), geometry, F.lit("}"))
+    copies = F.when(nation == NATION_TWICE, 2).otherwise(1)
+    features = F.array_join(F.array_repeat(feature, copies), ",")
     return suppliers.select(
-        F.lit("FeatureCollection").alias("type"), F.array_repeat(feature, copies).alias("features")
+        F.concat(F.lit('{"type":"FeatureCollection","features":['), features, F.lit("]}")).alias("value")
     )
 
 
@@ -155,6 +172,6 @@ def geojson_of(spark: SparkSession, sf_dir: str) -> str:
     key = (spark.sparkContext.applicationId, sf_dir + "#cells")
     if key not in _landings:
         folder = scratch_path(spark, "cells")
-        read_cells(spark, sf_dir).write.json(folder)
+        read_cells(spark, sf_dir).write.text(folder)
         _landings[key] = folder
     return _landings[key]

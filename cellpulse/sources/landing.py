@@ -10,6 +10,8 @@ from __future__ import annotations
 
 import re
 from collections.abc import Sequence
+from dataclasses import dataclass
+from datetime import datetime
 from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
@@ -17,8 +19,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cellpulse.functions.parsing import field_count
-from cellpulse.operators.sizing import broadcast_if_small
 from cellpulse.schemas import RAW_COLUMNS, RAW_SCHEMA, SOURCE_COLUMN, text_schema
+from cellpulse.session import stored
 
 # The file name pattern.
 NAME_PREFIX = "sms-call-internet-mi-"
@@ -55,32 +57,66 @@ def delivery_date(filename: Column) -> Column:
     return F.to_date(F.try_to_timestamp(F.nullif(text, F.lit("")), F.lit("yyyy-MM-dd")))
 
 
-def listed_paths(spark: SparkSession, folder: str) -> list[str]:
-    """Paths of all candidate parts, as the file listing of a scan holds them on the driver anyway."""
-    uris = spark.read.format("binaryFile").load(landing_glob(folder)).inputFiles()
-    return sorted(re.sub("^file:/+", "file:/", unquote(uri)) for uri in uris)
+def plain_path(path: str) -> str:
+    """A path as the file listing spells it; scans put more slashes behind ``file:``."""
+    return re.sub("^file:/+", "file:/", path)
 
 
-def detect_files(spark: SparkSession, folder: str) -> DataFrame:
-    """Candidate parts with their size and time, also the empty ones, which a scan skips.
+@dataclass(frozen=True)
+class Listing:
+    """The parts of a landing folder at one moment: path, length and time of each.
 
-    Only the file listing is read: the content column is never selected.
+    Everything that a run does with the folder goes by one listing, so a part
+    that arrives in between belongs to the next run. A scan holds the same list
+    on the driver anyway.
     """
-    files = spark.createDataFrame([(p,) for p in listed_paths(spark, folder)], "path string")
-    scanned = spark.read.format("binaryFile").load(landing_glob(folder))
-    sized = scanned.select("path", "length", F.col("modificationTime").alias("modified_at"))
-    return files.join(sized, "path", "left").select(
-        delivery_name(F.col("path")).alias("filename"),
-        "path",
-        F.coalesce("length", F.lit(0)).alias("length"),
-        "modified_at",
-    )
+
+    folder: str
+    parts: tuple[tuple[str, int, datetime | None], ...]
+
+    @property
+    def paths(self) -> list[str]:
+        """Parts that have content."""
+        return [path for path, length, _ in self.parts if length > 0]
 
 
-def detect_deliveries(spark: SparkSession, folder: str) -> DataFrame:
+def freeze_listing(spark: SparkSession, folder: str) -> Listing:
+    """List a landing folder; fails early when it is missing or holds no daily file.
+
+    Empty parts are listed too, although a scan skips them. No content is read.
+    """
+    try:
+        scan = spark.read.format("binaryFile").load(landing_glob(folder))
+        uris = scan.inputFiles()
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        uris = []
+    if not uris:
+        raise FileNotFoundError(f"no {NAME_PREFIX}*.csv below {folder}")
+    sized = {r["path"]: r for r in scan.select("path", "length", "modificationTime").collect()}
+    parts = []
+    for path in sorted(plain_path(unquote(uri)) for uri in uris):
+        row = sized.get(path)
+        parts.append((path, row["length"] if row else 0, row["modificationTime"] if row else None))
+    return Listing(folder, tuple(parts))
+
+
+def listing_of(spark: SparkSession, source: str | Listing) -> Listing:
+    return source if isinstance(source, Listing) else freeze_listing(spark, source)
+
+
+def detect_files(spark: SparkSession, source: str | Listing) -> DataFrame:
+    """Listed parts with their size and time."""
+    parts = list(listing_of(spark, source).parts)
+    files = spark.createDataFrame(parts, "path string, length long, modified_at timestamp")
+    return files.select(delivery_name(F.col("path")).alias("filename"), "path", "length", "modified_at")
+
+
+def detect_deliveries(spark: SparkSession, source: str | Listing) -> DataFrame:
     """One row per delivery, in name order."""
     return (
-        detect_files(spark, folder)
+        detect_files(spark, source)
         .groupBy("filename")
         .agg(
             F.count("*").alias("parts"),
@@ -92,18 +128,6 @@ def detect_deliveries(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def require_files(spark: SparkSession, folder: str) -> None:
-    """Fail early when the folder is missing or holds no daily file."""
-    try:
-        found = listed_paths(spark, folder)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        found = []
-    if not found:
-        raise FileNotFoundError(f"no {NAME_PREFIX}*.csv below {folder}")
-
-
 def scan_parts(spark: SparkSession, paths, names: Sequence[str], header: bool) -> DataFrame:
     """Positional text scan of whole parts, one string column per field.
 
@@ -127,6 +151,16 @@ def scan_parts(spark: SparkSession, paths, names: Sequence[str], header: bool) -
     )
 
 
+def text_faults(columns: Sequence[str]) -> dict[str, Column]:
+    """Faults of the text itself: a byte that is no UTF-8, replaced on reading, and a quote that is never closed.
+
+    The reader closes a quote that is opened in the last field, so that one is not found.
+    """
+    line = F.coalesce(F.col(CORRUPT), F.concat_ws(",", *columns))
+    quotes = F.length(line) - F.length(F.replace(line, F.lit('"'), F.lit("")))
+    return {"bad_bytes": F.contains(line, F.lit("\uFFFD")), "open_quote": quotes % 2 == 1}
+
+
 def first_line_flags() -> dict[str, Column]:
     """Aggregates that tell whether the first line of a part is the usual header.
 
@@ -141,7 +175,7 @@ def first_line_flags() -> dict[str, Column]:
 
 
 def header_lines(spark: SparkSession, paths) -> DataFrame:
-    """(part, header): the column names of each given part, read from its first line."""
+    """(part, header): the column names of each given part, its first line read by the rules of CSV."""
     lines = (
         spark.read.text(paths)
         .select(
@@ -152,11 +186,16 @@ def header_lines(spark: SparkSession, paths) -> DataFrame:
         )
         .where((F.col("block_start") == 0) & (F.trim("value") != ""))
     )
-    names = F.transform(
-        F.split(F.min_by("value", "line_id"), ","),
-        lambda name: F.regexp_replace(name, r'^\uFEFF|^"|"$|\r$', ""),
-    )
-    return lines.groupBy("part").agg(names.alias("header"))
+    bare = F.regexp_replace(F.min_by("value", "line_id"), "^\\uFEFF|\r$", "")
+    first = stored(lines.groupBy("part").agg(bare.alias("line")), "headers")
+    first = first.withColumn("n", field_count(F.col("line")))
+    width = first.agg(F.max("n")).first()[0] or 0
+    if not width:
+        return first.select("part", F.array().cast("array<string>").alias("header"))
+    slots = [f"field_{i}" for i in range(width)]
+    fields = F.from_csv("line", ", ".join(f"{s} string" for s in slots))
+    named = F.array(*[F.coalesce(F.col(f"fields.{s}"), F.lit("")) for s in slots])
+    return first.withColumn("fields", fields).select("part", F.slice(named, F.lit(1), F.col("n")).alias("header"))
 
 
 def unusual_parts(spark: SparkSession, paths) -> list[str]:
@@ -193,7 +232,7 @@ def aligned_rows(spark: SparkSession, parts: list[str], layouts: DataFrame) -> D
     width = layouts.agg(F.max(F.size("header")).alias("w")).first()["w"]
     slots = [f"field_{i}" for i in range(width)]
     scan = scan_parts(spark, parts, slots, header=True)
-    rows = scan.join(broadcast_if_small(layouts), "part")
+    rows = scan.join(layouts, "part")
     fields = F.when(F.col(CORRUPT).isNull(), F.lit(width)).otherwise(field_count(F.col(CORRUPT)))
     values = F.array(*slots)
     by_name = [
@@ -208,6 +247,7 @@ def aligned_rows(spark: SparkSession, parts: list[str], layouts: DataFrame) -> D
         "part",
         "header",
         (fields > F.size("header")).alias("too_wide"),
+        *[c.alias(n) for n, c in text_faults(slots).items()],
     )
 
 
@@ -216,33 +256,23 @@ def usual_layout() -> Column:
     return F.array(*[F.lit(n) for n in RAW_COLUMNS])
 
 
-def read_raw(spark: SparkSession, folder: str, layouts: DataFrame | None = None) -> DataFrame:
+def read_raw(spark: SparkSession, source: str | Listing) -> DataFrame:
     """All activity rows as text, tagged with the source part, aligned by column name.
 
     Parts with the usual columns go through Spark's CSV reader as they are.
-    Parts with another layout are aligned by name and added. ``layouts`` has the
-    column names per part when the file gate has already found them; it saves a
-    pass over the text.
+    Parts with another layout are found by a pass over the text and aligned by
+    name; the file gate keeps the rows it has read instead.
     """
-    paths = landing_glob(folder)
-    if layouts is None:
-        require_files(spark, folder)
-        candidates = unusual_parts(spark, paths)
-        layouts = header_lines(spark, candidates) if candidates else None
-    rows = (
-        spark.read.schema(RAW_SCHEMA)
-        .option("header", True)
-        .csv(paths)
-        .select("*", source_part().alias(SOURCE_COLUMN))
-    )
-    if layouts is None:
+    paths = listing_of(spark, source).paths
+    odd = unusual_parts(spark, paths)
+    usual = sorted(set(paths) - set(map(plain_path, odd)))
+    rows = None
+    if usual or not odd:
+        scan = spark.read.schema(RAW_SCHEMA).option("header", True)
+        frame = scan.csv(usual) if usual else spark.createDataFrame([], RAW_SCHEMA)
+        rows = frame.select("*", source_part().alias(SOURCE_COLUMN))
+    if not odd:
         return rows
-    odd = layouts.where(F.col("header") != usual_layout())
-    odd_paths = [row["part"] for row in odd.select("part").collect()]
-    if not odd_paths:
-        return rows
-    named = broadcast_if_small(odd.select(F.col("part").alias(SOURCE_COLUMN)))
-    aligned = aligned_rows(spark, odd_paths, odd)
-    return rows.join(named, SOURCE_COLUMN, "left_anti").unionByName(
-        aligned.select(*RAW_COLUMNS, F.col("part").alias(SOURCE_COLUMN))
-    )
+    aligned = aligned_rows(spark, odd, header_lines(spark, odd))
+    aligned = aligned.select(*RAW_COLUMNS, F.col("part").alias(SOURCE_COLUMN))
+    return aligned if rows is None else rows.unionByName(aligned)

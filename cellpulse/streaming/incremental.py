@@ -11,6 +11,7 @@ from cellpulse.operators.aggregate import hourly_grid_summary
 from cellpulse.operators.clean import clean_activity
 from cellpulse.plans.publish import write_by_date
 from cellpulse.schemas import MEASURES, RAW_SCHEMA, SOURCE_COLUMN
+from cellpulse.session import stored
 from cellpulse.sources.landing import landing_glob, source_part
 
 GRAIN = ("timestamp", "grid_id", "country_code")
@@ -43,13 +44,16 @@ def copy_new_rows(raw: DataFrame, path: str, checkpoint: str) -> None:
     query.awaitTermination()
 
 
-def append_first_deliveries(clean: DataFrame, path: str, checkpoint: str) -> None:
+def append_first_deliveries(clean: DataFrame, path: str, checkpoint: str, sums: str | None = None) -> None:
     """Store each (time, cell, country) once, however often and however late it is delivered again.
 
     Copies inside a micro-batch are merged by an aggregation, which combines
     them before its shuffle, so a group of copies never meets in one task. Rows
     stored by earlier batches are found by a join with the dates of this batch
     only. Each batch overwrites its own folder, so a restart repeats no row.
+
+    With ``sums`` the rows that a batch has added are summed per cell and hour
+    there. Sums add up across batches, so no state is kept and no row is too late.
     """
     spark = clean.sparkSession
     others = [c for c in clean.columns if c not in (*GRAIN, "date")]
@@ -57,18 +61,22 @@ def append_first_deliveries(clean: DataFrame, path: str, checkpoint: str) -> Non
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         first = batch.groupBy(*GRAIN).agg(F.min(F.struct(*others)).alias("row"))
-        rows = first.select(*GRAIN, "row.*", F.to_date("timestamp").alias("date"))
+        rows = stored(first.select(*GRAIN, "row.*", F.to_date("timestamp").alias("date")), "first")
         if batch_id > 0:
-            dates = [r["date"] for r in batch.select("date").distinct().collect()]
-            stored = (
+            dates = [r["date"] for r in rows.select("date").distinct().collect()]  # a day or a few
+            before = (
                 spark.read.schema(schema)
                 .parquet(path)
                 .where(F.col("date").isin(dates) & (F.col("batch_id") < batch_id))
             )
             # The country code may be null, and null is a value of the grain here.
-            same = [F.equal_null(rows[c], stored[c]) for c in GRAIN]
-            rows = rows.join(stored, same, "left_anti")
-        rows.write.mode("overwrite").partitionBy("date").parquet(f"{path}/batch_id={batch_id}")
+            same = [F.equal_null(rows[c], before[c]) for c in GRAIN]
+            rows = rows.join(before, same, "left_anti")
+        own = f"{path}/batch_id={batch_id}"
+        rows.write.mode("overwrite").partitionBy("date").parquet(own)
+        if sums:
+            added = spark.read.schema(rows.schema).parquet(own)
+            write_by_date(_summed(added), f"{sums}/level=0/batch_id={batch_id}")
 
     query = (
         clean.writeStream.foreachBatch(write_batch)
@@ -79,6 +87,12 @@ def append_first_deliveries(clean: DataFrame, path: str, checkpoint: str) -> Non
     query.awaitTermination()
 
 
+def _summed(rows: DataFrame) -> DataFrame:
+    hour = F.date_trunc("hour", "timestamp").alias("timestamp")
+    sums = rows.groupBy(hour, "grid_id").agg(*[F.sum(m).alias(m) for m in MEASURES])
+    return sums.withColumn("date", F.to_date("timestamp"))
+
+
 def windowed_totals(clean: DataFrame, delay: str = "2 days") -> DataFrame:
     """Hourly totals per cell as a stateful stream; an hour is final ``delay`` after it."""
     summed = (
@@ -89,28 +103,32 @@ def windowed_totals(clean: DataFrame, delay: str = "2 days") -> DataFrame:
     return summed.select(F.col("window.start").alias("timestamp"), "grid_id", *MEASURES)
 
 
-def append_hourly_sums(clean: DataFrame, path: str, checkpoint: str) -> None:
-    """Write the sums of each micro-batch per cell and hour, then stop.
+SUMS_SCHEMA = (
+    "timestamp timestamp, grid_id string, "
+    + ", ".join(f"{m} double" for m in MEASURES)
+    + ", level int, batch_id bigint, date date"
+)
 
-    Sums add up across batches, so no state is kept and no row is too late. They
-    are stored by date, so a reader of some dates opens only those.
-    Each batch owns one folder and overwrites it when it is run again, so a
-    restart after a lost executor or driver cannot count a row twice.
-    """
 
-    def write_batch(batch: DataFrame, batch_id: int) -> None:
-        sums = batch.groupBy(F.date_trunc("hour", "timestamp").alias("timestamp"), "grid_id").agg(
-            *[F.sum(m).alias(m) for m in MEASURES]
-        )
-        write_by_date(sums.withColumn("date", F.to_date("timestamp")), f"{path}/batch_id={batch_id}")
+def _stored_sums(spark: SparkSession, path: str) -> DataFrame:
+    """Sums that count: those of the last compaction, and of the batches after it."""
+    found = spark.read.schema(SUMS_SCHEMA).parquet(path)
+    last = found.where("level = 1").agg(F.max("batch_id")).first()[0]  # from folder names and footers
+    if last is None:
+        return found.where("level = 0")
+    return found.where((F.col("level") == 1) & (F.col("batch_id") == last) | (F.col("level") == 0) & (F.col("batch_id") > last))
 
-    query = (
-        clean.writeStream.foreachBatch(write_batch)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
+
+def compact_sums(spark: SparkSession, path: str) -> int | None:
+    """Merge the sums of all batches so far into one folder by date; returns the last batch in it.
+
+    Readers go by the newest compaction, so nothing that is read is overwritten.
+    """
+    now = _stored_sums(spark, path)
+    last = now.agg(F.max("batch_id")).first()[0]
+    if last is not None:
+        write_by_date(_summed(now), f"{path}/level=1/batch_id={last}")
+    return last
 
 
 def read_hourly_sums(spark: SparkSession, path: str, dates: list[date] | None = None) -> DataFrame:
@@ -118,13 +136,18 @@ def read_hourly_sums(spark: SparkSession, path: str, dates: list[date] | None =
 
     Summing once more is the same aggregation as the first one.
     """
-    sums = spark.read.parquet(path)
+    sums = _stored_sums(spark, path)
     return hourly_grid_summary(sums if dates is None else sums.where(F.col("date").isin(dates)))
 
 
 def hourly_from_landing(
     spark: SparkSession, folder: str, path: str, checkpoint: str, max_files: int | None = None
 ) -> DataFrame:
-    """Bring the hourly sums up to date with a landing folder, and return the hourly table."""
-    append_hourly_sums(clean_activity(stream_raw(spark, folder, max_files)), path, checkpoint)
-    return read_hourly_sums(spark, path)
+    """Bring the hourly sums up to date with a landing folder, and return the hourly table.
+
+    What has been delivered before, under whatever name, adds nothing. First
+    deliveries lie below ``path/rows``, their sums below ``path/sums``.
+    """
+    rows = clean_activity(stream_raw(spark, folder, max_files))
+    append_first_deliveries(rows, f"{path}/rows", checkpoint, f"{path}/sums")
+    return read_hourly_sums(spark, f"{path}/sums")

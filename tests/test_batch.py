@@ -7,7 +7,7 @@ from data import day_lines, feature, square, write_day, write_geojson
 from pyspark.sql import functions as F
 
 from cellpulse.operators import gate2
-from cellpulse.plans import batch, publish, score
+from cellpulse.plans import batch, ingest, publish, score
 
 AT = datetime(2024, 1, 1)
 
@@ -71,7 +71,8 @@ def test_a_later_day_replaces_only_itself(spark, zones, tmp_path):
     source, out, reference = zones
     batch.run_batch(spark, source, out, reference, "r1", AT)
     write_day(tmp_path / "again", "2013-11-02", day_lines("2013-11-02", values="0,0,0,0,1"))
-    batch.run_batch(spark, str(tmp_path / "again"), out, reference, "r2", AT + timedelta(days=1))
+    options = {"history_days": 9, "min_computable": 0.0}
+    batch.run_batch(spark, str(tmp_path / "again"), out, reference, "r2", AT + timedelta(days=1), **options)
     hourly = publish.read_published(spark, out, "hourly_grid_summary")
     counts = {r["date"]: (r["run_id"], r["count"]) for r in hourly.groupBy("date", "run_id").count().collect()}
     assert counts[date(2013, 11, 2)] == ("r2", 24)
@@ -87,7 +88,8 @@ def test_rows_that_vanish_do_not_stay_published(spark, zones, tmp_path):
     days = [str(r["date"]) for r in alerts.select("date").distinct().collect()]
     for day in days:
         write_day(tmp_path / "quiet", day, day_lines(day))
-    batch.run_batch(spark, str(tmp_path / "quiet"), out, reference, "r2", AT + timedelta(days=1))
+    options = {"history_days": 9, "min_computable": 0.0}
+    batch.run_batch(spark, str(tmp_path / "quiet"), out, reference, "r2", AT + timedelta(days=1), **options)
     assert publish.read_published(spark, out, "activity_alerts").count() == 0
     with pytest.raises(LookupError):
         publish.read_published(spark, out, "other")
@@ -98,9 +100,12 @@ def test_failing_check_leaves_published_data_untouched(spark, zones, tmp_path):
     batch.run_batch(spark, source, out, reference, "r1", AT)
     before = rows_of(publish.read_published(spark, out, "hourly_grid_summary"))
     write_day(tmp_path / "part", "2013-11-02", day_lines("2013-11-02", hours=5))
-    with pytest.raises(publish.PublicationRefused) as refused:
-        batch.run_batch(spark, str(tmp_path / "part"), out, reference, "r2", AT + timedelta(days=1))
-    assert refused.value.failed == ["hourly_intervals_present"]
+    for run in ("r2", "r1"):  # also when the id of the published run comes again
+        with pytest.raises(publish.PublicationRefused) as refused:
+            batch.run_batch(
+                spark, str(tmp_path / "part"), out, reference, run, AT + timedelta(days=1), min_computable=0.0
+            )
+        assert refused.value.failed == ["hourly_intervals_present"]
     assert rows_of(publish.read_published(spark, out, "hourly_grid_summary")) == before
 
 
@@ -110,7 +115,9 @@ def test_stray_rows_of_another_date_stop_the_run(spark, zones, tmp_path):
     lines = [*day_lines("2013-11-05"), *day_lines("2013-11-04")]
     write_day(tmp_path / "late", "2013-11-05", lines)
     with pytest.raises(publish.PublicationRefused) as refused:
-        batch.run_batch(spark, str(tmp_path / "late"), out, reference, "r2", AT + timedelta(days=1))
+        batch.run_batch(
+            spark, str(tmp_path / "late"), out, reference, "r2", AT + timedelta(days=1), min_computable=0.0
+        )
     assert refused.value.failed == ["rows_of_delivered_dates"]
 
 
@@ -172,12 +179,12 @@ def test_reconcile_finds_a_lost_row(spark):
     assert {r["measure"] for r in compared.where(~F.col("passed")).collect()} == {"sms_in", "sms_out", "internet_activity"}
 
 
-def test_dashboard_with_many_rows_is_split_by_time(spark, tmp_path):
+def test_dashboard_in_several_files_is_split_by_time(spark, tmp_path):
     rows = [(datetime(2024, 1, 1) + timedelta(hours=h), 1.0) for h in range(100)]
     df = spark.createDataFrame(rows, "timestamp timestamp, total_activity double")
     publish.write_dashboard_csv(df, str(tmp_path / "one"))
     assert len(list((tmp_path / "one").glob("*.csv"))) == 1
-    publish.write_dashboard_csv(df, str(tmp_path / "many"), rows_per_file=30)
+    publish.write_dashboard_csv(df, str(tmp_path / "many"), files=4)
     files = sorted((tmp_path / "many").glob("*.csv"))
     assert len(files) > 1
     times = [line.split(",")[0] for f in files for line in f.read_text().splitlines()[1:]]
@@ -191,7 +198,9 @@ def test_single_days_use_published_history(spark, tmp_path):
         values = "10,10,10,10,10" if n == 2 else "1,1,1,1,1"
         write_day(tmp_path / day, day, day_lines(day, values=values))
         at = AT + timedelta(days=n)
-        batch.run_batch(spark, str(tmp_path / day), out, reference, f"r{n}", at, history_days=7)
+        # The first day has no other one to compare with.
+        options = {"history_days": 7, "min_computable": 0.0 if n == 0 else 50.0}
+        batch.run_batch(spark, str(tmp_path / day), out, reference, f"r{n}", at, **options)
     spots = publish.read_published(spark, out, "hotspots")
     third = spots.where("date = '2013-11-03'").collect()
     assert {(r["baseline_activity"], r["activity_ratio"], r["hotspot_flag"]) for r in third} == {(5.0, 10.0, True)}
@@ -209,3 +218,43 @@ def test_risk_scores_are_published(spark, zones):
     found = publish.read_published(spark, out, "risk_scores")
     assert found.count() == 2 * 4 * 24
     assert found.where("risk_score < 0 or risk_score > 1 or risk_score is null").count() == 0
+
+
+def test_limits_of_checks_hold_by_default(spark, zones, tmp_path):
+    """A single day without history has no baseline; cells that the reference lacks are too many."""
+    source, out, reference = zones
+    write_day(tmp_path / "one", "2013-11-02", day_lines("2013-11-02"))
+    with pytest.raises(publish.PublicationRefused) as refused:
+        batch.run_batch(spark, str(tmp_path / "one"), out, reference, "r1", AT)
+    assert refused.value.failed == ["baselines_computable"]
+    other = write_geojson(tmp_path / "other.geojson", [feature(77, square(0, 0))])
+    with pytest.raises(publish.PublicationRefused) as refused:
+        batch.run_batch(spark, source, out, other, "r1", AT)
+    assert refused.value.failed == ["grids_in_reference", "grids_represented"]
+
+
+def test_hours_count_inside_the_range_only(spark):
+    start = datetime(2024, 1, 1)
+    hours = [*range(24), *range(24, 36), *range(48, 72)]
+    rows = [(start + timedelta(hours=h), "1", 1.0, 1.0, 1.0, 1.0, 1.0) for h in hours]
+    checks = gate2.hourly_checks(hourly_rows(spark, rows), date(2024, 1, 1), date(2024, 1, 2)).collect()
+    found = {c["check_name"]: (c["passed"], c["observed"]) for c in checks}
+    assert found["hourly_intervals_present"] == (False, 36.0)
+
+
+def test_a_part_that_comes_late_belongs_to_the_next_run(spark, zones, tmp_path, monkeypatch):
+    source, out, reference = zones
+    judge = ingest.judge_landing
+
+    def judge_then_deliver(*args, **options):
+        found = judge(*args, **options)
+        write_day(tmp_path / "in", "2013-11-09", day_lines("2013-11-09", values="-1,1,1,1,1"))
+        return found
+
+    monkeypatch.setattr(ingest, "judge_landing", judge_then_deliver)
+    routed = ingest.ingest(spark, source, out, "r1", AT)
+    assert routed.where("filename like '%11-09%'").count() == 0
+    assert ingest.read_log(spark, out).where("filename like '%11-09%'").count() == 0
+    monkeypatch.undo()
+    again = ingest.ingest(spark, source, out, "r2", AT)
+    assert [r["status"] for r in again.where("filename like '%11-09%'").select("status").distinct().collect()] == ["REJECTED"]

@@ -3,7 +3,8 @@ from __future__ import annotations
 import pytest
 from data import feature, square, write_geojson
 
-from cellpulse.operators import geo, sizing
+from cellpulse.operators import geo
+from cellpulse.session import stored
 from cellpulse.sources.geojson import grid_lookup, read_geojson
 
 
@@ -32,7 +33,7 @@ def hourly(spark):
 def test_lookup_is_unique_and_prefers_a_geometry(lookup):
     rows = {r["grid_id"]: r["geometry"] for r in lookup.collect()}
     assert sorted(rows) == ["1", "2", "3", "4", "9"]
-    assert rows["2"] is None and rows["4"]["coordinates"][0][0] == [7.0, 7.0]
+    assert rows["2"] is None and rows["4"]["coordinates"][0][0][0] == [7.0, 7.0]
 
 
 def test_join_keeps_the_row_count(hourly, lookup):
@@ -81,11 +82,42 @@ def test_missing_reference(spark, tmp_path):
         read_geojson(spark, str(tmp_path / "none.geojson"))
 
 
-def test_lookup_beyond_the_limit_is_not_broadcast(spark, hourly, lookup, monkeypatch):
-    assert sizing.text_bytes(lookup) > 0
-    small = sizing.broadcast_if_small(lookup)
-    large = sizing.broadcast_if_small(lookup, limit=10)
-    assert "ResolvedHint" in small._jdf.queryExecution().analyzed().toString()
-    assert "ResolvedHint" not in large._jdf.queryExecution().analyzed().toString()
-    left = hourly.join(large, "grid_id", "left")
-    assert left.count() == hourly.count()
+def test_lookup_is_broadcast_by_its_size_on_disk(spark, hourly, lookup):
+    table = stored(lookup, "lookup")
+    join = lambda: geo.enrich_with_geometry(hourly, table)
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan(join())
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert "SortMergeJoin" in plan(join())
+        assert join().count() == hourly.count()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_kinds_of_geometry(spark, tmp_path):
+    two = {"type": "MultiPolygon", "coordinates": [square(0, 0)["coordinates"], square(2, 0)["coordinates"]]}
+    turned = {"type": "MultiPolygon", "coordinates": [square(0, 0)["coordinates"], [square(2, 0)["coordinates"][0][::-1]]]}
+    shapes = [
+        feature(1, two),
+        feature(2, {"type": "Point", "coordinates": [1.0, 2.0]}),
+        feature(3, {"type": "Point", "coordinates": [1.0, 2.0]}),
+        feature(3, square(5, 5)),
+        feature(4, {"type": "Polygon", "coordinates": "broken"}),
+        feature(5, turned),
+    ]
+    cells = grid_lookup(read_geojson(spark, write_geojson(tmp_path / "g.geojson", shapes)))
+    rows = {r["grid_id"]: r for r in cells.collect()}
+    assert rows["1"]["geometry"]["type"] == "MultiPolygon" and len(rows["1"]["geometry"]["coordinates"]) == 2
+    assert rows["1"]["geometry"]["coordinates"][1][0][0] == [2.0, 0.0]
+    assert rows["2"]["geometry"] is None and rows["2"]["other_kind"] == "Point"
+    assert rows["3"]["geometry"]["type"] == "Polygon" and rows["3"]["other_kind"] is None
+    assert rows["4"]["geometry"] is None
+    centers = {r["grid_id"]: (r["centroid_x"], r["centroid_y"], r["max_x"]) for r in geo.grid_centroids(cells).collect()}
+    assert centers["1"] == centers["5"] == (1.5, 0.5, 3.0) and "2" not in centers
+    active = spark.createDataFrame([("1",), ("2",), ("9",)], "grid_id string")
+    assert {r["grid_id"]: r["reason"] for r in geo.unmatched_grids(active, cells).collect()} == {
+        "2": "geometry of another kind",
+        "9": "no feature",
+    }
+    assert geo.geo_coverage(active, cells).first()["grids_of_other_kind"] == 1

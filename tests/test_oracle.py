@@ -22,7 +22,7 @@ def connection():
 
 
 def test_registry():
-    assert set(QUERIES) - set(SQL) == {"risk_scores"}
+    assert set(QUERIES) - set(SQL) == {"risk_evaluation"}
     assert not set(registry.oracle_sql()) - set(registry.queries())
 
 

@@ -7,6 +7,7 @@ from data import HEADER, day_lines, write_day
 from pyspark.sql import functions as F
 
 from cellpulse.operators import aggregate, clean
+from cellpulse.session import stored
 from cellpulse.sources import landing
 from cellpulse.streaming import incremental
 
@@ -39,16 +40,22 @@ def test_sums_equal_the_batch_result(spark, tmp_path):
     incremental.hourly_from_landing(spark, str(inbox), sums, state, max_files=1)
     for day in DAYS[:2]:
         put(inbox, day, values="0.1,0.2,,x,5")
-    # The same hour and cell again, under another name.
+    wanted = aggregate.hourly_grid_summary(clean.clean_activity(landing.read_raw(spark, str(inbox))))
+    wanted = stored(wanted, "wanted")
+    # The same hours and cell again, under another name: they add nothing.
     write_day(inbox, "extra", day_lines(DAYS[2], hours=2), name="sms-call-internet-mi-extra.csv")
     found = incremental.hourly_from_landing(spark, str(inbox), sums, state, max_files=1)
-    wanted = aggregate.hourly_grid_summary(clean.clean_activity(landing.read_raw(spark, str(inbox))))
     rounded = lambda df: df.select(*[F.round(c, 9).alias(c) if t == "double" else F.col(c) for c, t in df.dtypes])
     assert found.count() == wanted.count() == 96
     assert rounded(found).exceptAll(rounded(wanted)).count() == 0
     again = incremental.hourly_from_landing(spark, str(inbox), sums, state)
     assert rounded(again).exceptAll(rounded(wanted)).count() == 0
-    assert incremental.read_hourly_sums(spark, sums, [date(2013, 11, 1)]).count() == 24
+    assert incremental.read_hourly_sums(spark, f"{sums}/sums", [date(2013, 11, 1)]).count() == 24
+    assert incremental.compact_sums(spark, f"{sums}/sums") is not None
+    put(inbox, "2013-11-04")
+    later = incremental.hourly_from_landing(spark, str(inbox), sums, state)
+    assert rounded(later.where("date < '2013-11-04'")).exceptAll(rounded(wanted)).count() == 0
+    assert later.count() == 120
 
 
 def test_repeated_delivery_counts_once(spark, tmp_path):
