@@ -154,11 +154,16 @@ def scan_parts(spark: SparkSession, paths, names: Sequence[str], header: bool) -
 def text_faults(columns: Sequence[str]) -> dict[str, Column]:
     """Faults of the text itself: a byte that is no UTF-8, replaced on reading, and a quote that is never closed.
 
-    The reader closes a quote that is opened in the last field, so that one is not found.
+    A quote that stays open swallows the fields behind it, so its line is among
+    those that do not fit. The reader closes one that opens in the last field,
+    which is therefore not found.
     """
-    line = F.coalesce(F.col(CORRUPT), F.concat_ws(",", *columns))
+    line = F.col(CORRUPT)
     quotes = F.length(line) - F.length(F.replace(line, F.lit('"'), F.lit("")))
-    return {"bad_bytes": F.contains(line, F.lit("\uFFFD")), "open_quote": quotes % 2 == 1}
+    replaced = F.lit(False)
+    for name in (CORRUPT, *columns):
+        replaced = replaced | F.coalesce(F.contains(F.col(name), F.lit("\uFFFD")), F.lit(False))
+    return {"bad_bytes": replaced, "open_quote": F.coalesce(quotes % 2 == 1, F.lit(False))}
 
 
 def first_line_flags() -> dict[str, Column]:
