@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from cellpulse.llm.license_scan import MIN_COSINE, STOP_WORDS, TEMPLATES
+
 QUALITY_RULES = r"""
 with texts as (
   select row_number() over () as row_id, doc_id, source, coalesce(text, '') as text from documents
@@ -108,8 +110,93 @@ join ordered o on d.source is not distinct from o.source and d.h = o.h
 join goals g on d.source is not distinct from g.source
 """
 
+WARC = r"""
+with payloads as (
+  select page_id, coalesce(html, '') as html, octet_length(encode(coalesce(html, ''))) as n from pages
+), firsts as (
+  select html, max(page_id) as first from payloads where n >= 1000 group by html
+)
+select page_id, n::bigint as payload_bytes, sha1(html) as payload_digest,
+  case when first <> page_id then 'revisit' else 'response' end as record_type,
+  case when first <> page_id then first end as refers_to
+from payloads left join firsts using (html)
+"""
+
+
+def _listed(values) -> str:
+    return ", ".join(f"'{v}'" for v in values)
+
+
+LICENSE_SCAN = rf"""
+with files as (
+  select doc_id, coalesce(source, 'none') || '/' || coalesce(lang, 'none') as base, doc_id // 64 as folder, text
+  from documents
+), placed as (
+  select doc_id, text, base || case when doc_id % 4096 = 0 then '' else '/' || folder end as dir,
+    case when doc_id % 4096 = 0 then '/LICENSE-' || doc_id when doc_id % 64 = 0 then '/LICENSE' else '/' || doc_id || '.txt' end as name
+  from files
+), texts as (
+  select distinct dir || name as path, string_split(regexp_replace(text, '([.!?]) ', '\1' || chr(10), 'g'), chr(10)) as parts
+  from placed
+), numbered as (
+  select path, unnest(generate_series(1, len(parts))) as place, parts from texts
+), statements as (
+  select distinct path, place, parts[place] as statement from numbered
+), notes as (
+  select * from (values {", ".join(f"('{k}', '{v}')" for k, v in TEMPLATES.items())}) t(license, note)
+), note_terms as (
+  select license, term, count(*) as tf
+  from (select license, unnest(regexp_extract_all(lower(note), '[a-z0-9]+')) as term from notes)
+  where term not in ({_listed(STOP_WORDS)}) group by all
+), terms as (
+  select path, place, statement, term, count(*) as tf
+  from (select *, unnest(regexp_extract_all(lower(statement), '[a-z0-9]+')) as term from statements)
+  where term not in ({_listed(STOP_WORDS)}) group by all
+), near as (
+  select distinct path, place, statement from terms where term in (select term from note_terms)
+), tf as (
+  select * from terms semi join near using (path, place, statement)
+), df as (
+  select term, count(*) as df from tf group by term
+), size as (
+  select count(*) as n from near
+), vectors as (
+  select path, place, statement, term, tf * (ln((1 + n) / (1 + df)) + 1) as weight from tf join df using (term), size
+), note_vectors as (
+  select license, term, tf * (ln((1 + n) / (1 + coalesce(df, 0))) + 1) as weight
+  from note_terms left join df using (term), size
+), norms as (
+  select path, place, statement, sqrt(sum(weight * weight)) as norm from vectors group by all
+), note_norms as (
+  select license, sqrt(sum(weight * weight)) as norm from note_vectors group by all
+), dots as (
+  select path, place, statement, license, sum(v.weight * w.weight) as dot
+  from vectors v join note_vectors w using (term) group by all
+), cosines as (
+  select path, license, round(dot / norms.norm / note_norms.norm, 9) as cosine
+  from dots join norms using (path, place, statement) join note_norms using (license)
+), own as (
+  select path, license, cosine from cosines where cosine >= {MIN_COSINE}
+  qualify row_number() over (partition by path order by cosine desc, license) = 1
+), granted as (
+  select dir, license from (select distinct dir, dir || name as path from placed where name like '/LICENSE%')
+  join own using (path)
+  qualify row_number() over (partition by dir order by cosine desc, license, path) = 1
+), rows as (
+  select doc_id, dir || name as path, dir, regexp_replace(dir, '/[0-9]+$', '') as above from placed
+)
+select doc_id, path, coalesce(o.license, g.license, a.license) as license,
+  case when o.license is not null then 'stated' when coalesce(g.license, a.license) is not null then 'inherited' else 'none' end as origin,
+  round(o.cosine, 6) as cosine,
+  case when o.license is null then coalesce(g.dir, a.dir) end as inherited_from
+from rows left join own o using (path) left join granted g on g.dir = rows.dir
+  left join granted a on a.dir = rows.above and rows.above <> rows.dir
+"""
+
 ORACLES = {
     "op4_quality_rules": QUALITY_RULES,
+    "op5_license_scan": LICENSE_SCAN,
     "op7_chat_formatting": CHAT_FORMATTING,
+    "op9_warc": WARC,
     "op10_mixing": MIXING,
 }
