@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellpulse.session import prepare, scratch_path
+from cellpulse.session import prepare, stored
+
+__all__ = ["SPACE", "SPACES", "attach", "count_words", "let", "stored", "table", "words_of"]
 
 #: A word is a longest run of characters outside this class.
 SPACE = r"[\x20\x09-\x0D]"
@@ -18,19 +20,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return prepare(spark).read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
-    """Write an interim table below the shared folder and read it back.
-
-    What is computed once survives a lost executor and is not computed again
-    by a second reader; its size on disk tells the planner whether it may be
-    broadcast.
-    """
-    spark = df.sparkSession
-    path = scratch_path(spark, label)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """Evaluate ``value`` once and use it several times in ``body``."""
     return F.transform(F.array(value), body)[0]

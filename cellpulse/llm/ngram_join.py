@@ -8,9 +8,9 @@ for each chosen place its sets fall apart by the token there. Similar sets
 share a chosen token about once a level, others hardly ever, so buckets get
 small; a small bucket is compared pair by pair. A pair at the threshold meets in
 a given place of the root with probability 0.8, and below a split large bucket
-with about 0.5; ``RUNS`` repetitions with 1.25 places each leave out one pair in
-ten million there, and one in several thousand below a split. More similar
-pairs are left out less often.
+with about 0.5; ``RUNS`` repetitions with 1.25 places each leave out one such pair
+in a hundred thousand there, and one in two hundred below a split, unless
+others connect it. More similar pairs are left out less often.
 
 Buckets give candidates only: chains of pairs whose signatures agree. Within
 each chain the whole shingle sets are then compared exactly, every pair once,
@@ -32,17 +32,17 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cellpulse.llm.common import SPACE, SPACES, stored
 
 WIDTH = 5
 MIN_JACCARD = 0.8
-PLACES = 128
-RUNS = 10
-#: Buckets up to this size are compared pair by pair; larger ones are split on, up to this depth.
-LEAF, DEPTH = 200, 4
+PLACES = 64
+RUNS = 6
+#: Buckets up to this size are compared pair by pair; larger ones are split on, in rounds of so many levels.
+LEAF, LEVELS, ROUNDS = 200, 2, 2
 #: Signatures that agree in fewer places are no candidates: four standard deviations below the threshold.
 CANDIDATE = 0.8 - 4 * (0.8 * 0.2 / PLACES) ** 0.5
 #: Sets in one block of an exact comparison.
@@ -237,21 +237,26 @@ def _compare_buckets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def _split(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Children of large buckets: each chooses its places by its own path."""
+    """The paths of sets below a large bucket, level by level: each node chooses its places by its own path."""
     limit = _U(int(2.0**64 / (MIN_JACCARD * PLACES)))
     draws = _constants(77, PLACES)
     for batch in batches:
         for begin in range(0, len(batch), 4096):
             part = batch.iloc[begin : begin + 4096]
-            parent = part["node"].to_numpy().view(_U)
-            row, place = np.nonzero(_mixed(parent[:, None] ^ draws[None, :]) < limit)
-            token = _decoded(part["signature"])[row, place]
-            yield pd.DataFrame(
-                {
-                    "node": _node(parent[row], place, token).view(np.int64),
-                    "copy_key": part["copy_key"].to_numpy()[row],
-                }
-            )
+            node, owner = part["node"].to_numpy().view(_U), np.arange(len(part))
+            tokens, keys = _decoded(part["signature"]), part["copy_key"].to_numpy()
+            for depth in range(1, LEVELS + 1):
+                row, place = np.nonzero(_mixed(node[:, None] ^ draws[None, :]) < limit)
+                parent, owner = node[row], owner[row]
+                node = _node(parent, place, tokens[owner, place])
+                yield pd.DataFrame(
+                    {
+                        "node": node.view(np.int64),
+                        "parent": parent.view(np.int64),
+                        "depth": depth,
+                        "copy_key": keys[owner],
+                    }
+                )
 
 
 def _agree(a: Column, b: Column) -> Column:
@@ -265,35 +270,57 @@ def candidates(sets: DataFrame) -> DataFrame:
     """Links ``a``, ``b`` of candidate chains among distinct sets (``copy_key``, ``signature``, ``nodes``)."""
     slim = sets.select("copy_key", "signature")
     rows = sets.select(F.explode("nodes").alias("node"), "copy_key")
-    links = []
-    for depth in range(DEPTH + 1):
-        rows = stored(rows, f"bucket_rows_{depth}")
-        sizes = rows.groupBy("node").agg(F.count("*").alias("n"), F.min("copy_key").alias("first")).where("n > 1")
-        sizes = stored(sizes, f"buckets_{depth}")
-        small = rows.join(sizes.where(F.col("n") <= LEAF).select("node"), "node", "left_semi")
-        small = small.join(slim, "copy_key").select("node", F.lit(0).alias("pair"), "copy_key", "signature")
-        links.append(stored(_in_buckets(small), f"links_{depth}"))
-        large = sizes.where(F.col("n") > LEAF)
-        if large.isEmpty():
+    sizes = _sizes(rows)
+    buckets, links = _small(rows, sizes), None
+    rest = rows.join(sizes.where(F.col("n") > LEAF).select("node"), "node", "left_semi")
+    for turn in range(ROUNDS + 1):
+        if sizes.where(F.col("n") > LEAF).isEmpty():
             break
-        # Large buckets: all that agree with the first member are one chain, however many they are.
-        first = large.join(slim.withColumnRenamed("signature", "of_first"), F.col("first") == F.col("copy_key"))
-        first = first.select("node", "n", "first", "of_first")
-        rest = rows.join(first, "node").join(slim, "copy_key")
-        rest = rest.select("node", "n", "first", "copy_key", "signature", (_agree(F.col("signature"), F.col("of_first")) >= CANDIDATE).alias("near"))
-        rest = stored(rest, f"large_{depth}")
-        links.append(rest.where("near and copy_key != first").select(F.col("copy_key").alias("a"), F.col("first").alias("b")))
-        mixed = rest.groupBy("node").agg(F.count_if(~F.col("near")).alias("far")).where("far > 0").select("node")
-        open_rows = rest.join(mixed, "node", "left_semi")
-        if depth == DEPTH:
+        stars, rest = _around_first(rest, slim)
+        links = stars if links is None else links.unionByName(stars)
+        if turn == ROUNDS:  # what no split has made small is compared in blocks
+            counts = rest.groupBy("node").agg(F.count("*").alias("n"))
             blocks = F.ceil(F.col("n") / (LEAF // 2)).cast("int")
-            links.append(stored(_in_buckets(_in_blocks(open_rows, "node", blocks)), "links_rest"))
+            blocked = _in_blocks(rest.join(counts, "node"), "node", blocks)
+            buckets = buckets.unionByName(blocked.select("node", "pair", "copy_key"))
             break
-        rows = open_rows.select("node", "copy_key", "signature").mapInPandas(_split, "node long, copy_key string")
-    whole = links[0]
-    for more in links[1:]:
-        whole = whole.unionByName(more)
-    return whole
+        # A path needs its own set only, so a hot bucket is dealt out by sets.
+        deep = rest.select("node", "copy_key", "signature").repartition("copy_key")
+        deep = stored(deep.mapInPandas(_split, "node long, parent long, depth int, copy_key string"), "paths")
+        sizes = _sizes(deep)
+        large = sizes.where(F.col("n") > LEAF).select("node")
+        below = deep.where("depth > 1").join(large.withColumnRenamed("node", "parent"), "parent", "left_semi")
+        split = deep.where("depth = 1").unionByName(below.select(deep.columns))
+        buckets = buckets.unionByName(_small(split.select("node", "copy_key"), sizes))
+        rest = deep.where(F.col("depth") == LEVELS).select("node", "copy_key").join(large, "node", "left_semi")
+    compared = stored(_in_buckets(buckets.join(slim, "copy_key")), "links")
+    return compared if links is None else compared.unionByName(links)
+
+
+def _sizes(rows: DataFrame) -> DataFrame:
+    """Nodes that hold more than one set."""
+    return stored(rows.groupBy("node").agg(F.count("*").alias("n")).where("n > 1"), "buckets")
+
+
+def _small(rows: DataFrame, sizes: DataFrame) -> DataFrame:
+    """The rows of buckets that are compared pair by pair."""
+    small = rows.join(sizes.where(F.col("n") <= LEAF).select("node"), "node", "left_semi")
+    return small.select("node", F.lit(0).alias("pair"), "copy_key")
+
+
+def _around_first(rows: DataFrame, slim: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Links of all that agree with the first set of their large bucket, and the rows of buckets where some do not.
+
+    A bucket of near copies is one chain after this, however many they are.
+    """
+    first = rows.groupBy("node").agg(F.min("copy_key").alias("first"))
+    first = first.join(slim, F.col("first") == F.col("copy_key")).select("node", "first", F.col("signature").alias("of_first"))
+    near = _agree(F.col("signature"), F.col("of_first")) >= CANDIDATE
+    judged = rows.join(stored(first, "first"), "node").join(slim, "copy_key")
+    judged = stored(judged.select("node", "first", "copy_key", "signature", near.alias("near")), "large")
+    stars = judged.where("near and copy_key != first").select(F.col("copy_key").alias("a"), F.col("first").alias("b"))
+    mixed = judged.where("not near").select("node").distinct()
+    return stars, judged.join(mixed, "node", "left_semi")
 
 
 def _in_blocks(rows: DataFrame, group: str, blocks: Column) -> DataFrame:
@@ -315,19 +342,22 @@ def _in_buckets(rows: DataFrame) -> DataFrame:
 def components(links: DataFrame) -> DataFrame:
     """``member`` and ``root``, the smallest of its chain, for all but the roots.
 
-    Large stars and small stars in turn: every round is two joins on the links
-    that are left, of which there are at most as many as before.
+    Large stars and small stars in turn: all larger neighbours of a member go to
+    its smallest one, then all smaller ones. Rows of two keys are all that is
+    sorted by member.
     """
     ordered = links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     edges, before = stored(ordered.where("a != b").distinct(), "edges"), None
+    smallest = F.min("b").over(Window.partitionBy("a"))
     while True:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
-        large = stored(large, "edges")
-        down = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(down, "a").where("b != m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        edges = stored(small.unionByName(down.withColumnRenamed("m", "b")).distinct(), "edges")
+        large = both.withColumn("m", F.least("a", smallest)).where("b > a")
+        large = large.select(F.col("b").alias("a"), F.col("m").alias("b"))
+        small = large.withColumn("m", smallest)
+        # The member itself goes to the smallest one, and so do its other smaller neighbours.
+        small = small.select(F.when(F.col("b") == F.col("m"), F.col("a")).otherwise(F.col("b")).alias("x"), "a", "m")
+        pairs = small.select(F.explode(F.array_distinct(F.array("x", "a"))).alias("a"), F.col("m").alias("b"))
+        edges = stored(pairs.distinct(), "edges")
         now = edges.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b"))).first()
         if now == before:
             return edges.select(F.col("a").alias("member"), F.col("b").alias("root"))
