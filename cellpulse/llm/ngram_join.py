@@ -280,7 +280,8 @@ def candidates(sets: DataFrame) -> DataFrame:
         links = stars if links is None else links.unionByName(stars)
         if turn == ROUNDS:  # what no split has made small is compared in blocks
             counts = rest.groupBy("node").agg(F.count("*").alias("n"))
-            blocks = F.ceil(F.col("n") / (LEAF // 2)).cast("int")
+            # Twice a bucket's size: larger blocks need fewer copies of their rows.
+            blocks = F.ceil(F.col("n") / (2 * LEAF)).cast("int")
             blocked = _in_blocks(rest.join(counts, "node"), "node", blocks)
             buckets = buckets.unionByName(blocked.select("node", "pair", "copy_key"))
             break
