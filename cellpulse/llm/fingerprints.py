@@ -13,7 +13,7 @@ much two such sets of names have in common, relative to their union.
 
 Defined cases: a null text is empty, an empty text has an empty fingerprint,
 and two empty ones are alike; repeated rows and equal ids follow one another in
-the order of their texts; a null id comes last; an empty table gives an empty
+the order of their texts' digests; a null id comes last; an empty table gives an empty
 result; of a single row the next one is itself. A whole text is held in
 memory with about a hundred bytes a character. Only the named columns are read.
 """
@@ -239,9 +239,10 @@ def fingerprint_table(docs: DataFrame, key: str = "doc_id", text: str = "text")
     """
     spark = docs.sparkSession
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    order = [F.col("doc_id").desc_nulls_last(), F.col("text")]
+    # Spark samples the keys on the driver to find the ranges: ids and digests, never texts.
+    order = [F.col("doc_id").desc_nulls_last(), F.col("digest")]
+    ranged = rows.withColumn("digest", F.md5("text")).repartitionByRange(*order).sortWithinPartitions(*order)
     # Long ids with nulls would become doubles on the way to pandas; text does not.
-    ranged = rows.repartitionByRange(*order).sortWithinPartitions(*order)
     ranged = ranged.select(F.col("doc_id").cast("string").alias("doc_id"), "text")
     found = stored(ranged.mapInPandas(_in_order, ROWS), "fingerprints")
     parts = sorted(r["part"] for r in found.where(F.col("kind") == FIRST).select("part").collect())
