@@ -20,6 +20,7 @@ cut over as many sequences as it fills. Only the named columns are read.
 from __future__ import annotations
 
 import re
+import struct
 import unicodedata
 import zlib
 from collections.abc import Iterator
@@ -70,7 +71,10 @@ class Encoder(dict):
         self.byte_characters = _byte_characters()
 
     def __missing__(self, word: str) -> bytes:
-        if PLAIN.fullmatch(word) and "<|" not in word:
+        bare = word.rstrip(".,;:!?")
+        if bare.isalpha() and PLAIN.fullmatch(word):  # a piece of letters, and one of the marks behind it
+            found = self.piece(bare.lower()) + (self.piece(word[len(bare) :]) if len(bare) < len(word) else b"")
+        elif PLAIN.fullmatch(word) and "<|" not in word:
             found = b"".join(map(self.piece, PIECES.findall(unicodedata.normalize("NFC", word).lower())))
         else:
             found = _as_bytes(self.tokenizer.encode(word, add_special_tokens=False).ids)
@@ -83,7 +87,7 @@ class Encoder(dict):
     def piece(self, piece: str) -> bytes:
         found = self.pieces.get(piece)
         if found is None:
-            marked = "".join(map(self.byte_characters.__getitem__, piece.encode()))
+            marked = piece if piece.isascii() else "".join(map(self.byte_characters.__getitem__, piece.encode()))
             found = _as_bytes([t.id for t in self.model.tokenize(marked)])
             if len(piece) <= MEMO_CHARS:
                 if len(self.pieces) >= MEMO:
@@ -98,7 +102,7 @@ class Encoder(dict):
 
 
 def _as_bytes(ids: list[int]) -> bytes:
-    return np.array(ids, "<u2").tobytes()
+    return struct.pack(f"<{len(ids)}H", *ids)
 
 
 @lru_cache(maxsize=2)
@@ -117,9 +121,7 @@ def tokenized(docs: DataFrame, vocabulary: str, key: str = "doc_id", text: str =
         for batch in batches:
             ids = list(map(encoder.encode, batch["text"]))
             for x in ids:
-                present = np.zeros(1 << 16, bool)
-                present[np.frombuffer(x, "<u2")] = True
-                df += present
+                df[np.unique(np.frombuffer(x, "<u2"))] += 1
             yield pd.DataFrame({"doc_id": batch["doc_id"], "ids": ids, "df": None})
         yield pd.DataFrame({"doc_id": [None], "ids": [None], "df": [df.tobytes()]})
 
