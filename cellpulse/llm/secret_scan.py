@@ -41,7 +41,7 @@ WIDTH = len(ALPHABET) + 1
 THRESHOLD = 12.0
 #: Weight of a character's own frequency in the frequency of a transition to it, and what each character has besides its count.
 BACKOFF, FLOOR = 4.0, 0.5
-#: At most so many documents give words to the model of ordinary identifiers.
+#: About so many documents, or all of fewer, give words to the model of ordinary identifiers.
 SAMPLE_DOCS = 2000
 MARK = "[SECRET]"
 
@@ -152,9 +152,14 @@ def scorer(model: list[float]) -> Callable[[Column], Column]:
 
 
 def ordinary_words(docs: DataFrame, text: str = "text", key: str = "doc_id", limit: int = SAMPLE_DOCS) -> DataFrame:
-    """Words of a bounded sample of documents, found spans and long words with digits taken out."""
-    order = F.xxhash64(F.lit("secret-sample"), F.col(f"`{key}`"), F.xxhash64(F.col(f"`{text}`")))
-    sample = docs.select(F.col(f"`{text}`").alias("text"), order.alias("h")).orderBy("h").limit(limit)
+    """Words of a bounded sample of documents, found spans and long words with digits taken out.
+
+    A hash decides about each document where it lies, so no task gathers the sample.
+    """
+    steps = 1 << 40
+    place = F.pmod(F.xxhash64(F.lit("secret-sample"), F.col(f"`{key}`"), F.col(f"`{text}`")), F.lit(steps))
+    share = min(1.0, limit / max(1, docs.count()))
+    sample = docs.where(place < round(share * steps)).select(F.col(f"`{text}`").alias("text"))
     plain = F.col("text")
     for pattern in (ASSIGN, ACCESS, HEX):
         plain = F.regexp_replace(plain, pattern, " ")

@@ -45,7 +45,8 @@ def test_base_spans(spark):
         found = plain(own[r.doc_id])
         assert (r.n_assign, r.n_access, r.n_hex) == tuple(sum(k == n for _, k, _ in found) for n in range(3))
         assert r.base_sha256 == hashlib.sha256(listed(found).encode()).hexdigest()
-        assert set(listed(found).split(",")) <= set(r.spans.split(","))
+        # The models may add spans, also where the patterns find none.
+        assert set(filter(None, listed(found).split(","))) <= set(r.spans.split(","))
 
 
 def identifiers(rng, n):
