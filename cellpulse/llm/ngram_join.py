@@ -3,14 +3,14 @@
 Documents whose sets of five-word shingles have a Jaccard similarity of at
 least ``MIN_JACCARD`` are linked. Sets are embedded as MinHash signatures, and
 every run splits them recursively: a node chooses few of the signature's places
-by a hash of its path (each with probability 1 / (similarity x places)), and
-for each chosen place its sets fall apart by the token there. Similar sets
-share a chosen token about once a level, others hardly ever, so buckets get
-small; a small bucket is compared pair by pair. A pair at the threshold meets in
-a given place of the root with probability 0.8, and below a split large bucket
-with about 0.5; ``RUNS`` repetitions with 1.25 places each leave out one such pair
-in a hundred thousand there, and one in two hundred below a split, unless
-others connect it. More similar pairs are left out less often.
+by a hash of its path (each with probability 1 / (similarity x places), one at
+least), and for each chosen place its sets fall apart by the token there.
+Similar sets share a chosen token more than once a level, others hardly ever, so
+buckets get small; a small bucket is compared pair by pair. Runs are repeated
+until a pair at the threshold is found with probability ``RECALL``, even if every
+bucket that holds both is split at all ``ROUNDS`` x ``LEVELS`` levels; ``recall``
+works that out from the chosen places. Pairs that fall apart higher up, that are
+more similar or that others connect are left out less often.
 
 Buckets give candidates only: chains of pairs whose signatures agree. Within
 each chain the whole shingle sets are then compared exactly, every pair once,
@@ -27,7 +27,10 @@ gives an empty result. Only the named columns are read.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
+from functools import cache
+from math import comb
 
 import numpy as np
 import pandas as pd
@@ -39,8 +42,9 @@ from cellpulse.llm.common import SPACE, SPACES, stored
 
 WIDTH = 5
 MIN_JACCARD = 0.8
-PLACES = 64
-RUNS = 6
+PLACES = 128
+#: Least share of pairs at the threshold that are found, whatever is split.
+RECALL = 0.9998
 #: Buckets up to this size are compared pair by pair; larger ones are split on, in rounds of so many levels.
 LEAF, LEVELS, ROUNDS = 200, 2, 2
 #: Signatures that agree in fewer places are no candidates: four standard deviations below the threshold.
@@ -129,6 +133,37 @@ def root_places(runs: int, similarity: float) -> list[tuple[int, int]]:
     return found
 
 
+@cache
+def recall(runs: int, depth: int) -> float:
+    """Probability that a pair at the threshold meets in a bucket ``depth`` levels below the root and is a candidate.
+
+    Given in how many places a pair agrees, a choice of places is a branching
+    process: each chosen place that it agrees in leads one level down.
+    """
+    chance = 1 / (MIN_JACCARD * PLACES)
+    choose = [comb(PLACES, k) * chance**k * (1 - chance) ** (PLACES - k) for k in range(PLACES + 1)]
+    times = Counter(k for _, k in root_places(runs, MIN_JACCARD)).values()
+    found = 0.0
+    for equal in range(int(np.ceil(CANDIDATE * PLACES)), PLACES + 1):
+        share, apart = equal / PLACES, 0.0
+        for _ in range(depth):
+            apart = sum(p * (1 - share + share * apart) ** max(k, 1) for k, p in enumerate(choose))
+        missed = float(np.prod([1 - share + share * apart**n for n in times]))
+        found += comb(PLACES, equal) * MIN_JACCARD**equal * (1 - MIN_JACCARD) ** (PLACES - equal) * (1 - missed)
+    return found
+
+
+@cache
+def runs_for(target: float) -> int:
+    """The fewest runs that find pairs at the threshold with this probability at the full depth."""
+    runs = 1
+    while recall(runs, ROUNDS * LEVELS) < target:
+        runs += 1
+        if runs > 1000:
+            raise ValueError(f"a recall of {target} is out of reach with {PLACES} places")
+    return runs
+
+
 def _node(parent: np.ndarray, place: np.ndarray, token: np.ndarray) -> np.ndarray:
     """The path of a child as a number."""
     return _mixed(_mixed(parent + _U(0x632BE59BD9B4E019) * (place.astype(_U) + _U(1))) + token.astype(_U))
@@ -236,6 +271,15 @@ def _compare_buckets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     yield pd.DataFrame(found, columns=["a", "b"], dtype=object)
 
 
+def _chosen(node: np.ndarray, draws: np.ndarray, limit: np.uint64) -> np.ndarray:
+    """Which places each node chooses; one at least, as a node without any would lose its sets."""
+    drawn = _mixed(node[:, None] ^ draws[None, :])
+    chosen = drawn < limit
+    none = np.flatnonzero(~chosen.any(axis=1))
+    chosen[none, drawn[none].argmin(axis=1)] = True
+    return chosen
+
+
 def _split(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """The paths of sets below a large bucket, level by level: each node chooses its places by its own path."""
     limit = _U(int(2.0**64 / (MIN_JACCARD * PLACES)))
@@ -246,7 +290,7 @@ def _split(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             node, owner = part["node"].to_numpy().view(_U), np.arange(len(part))
             tokens, keys = _decoded(part["signature"]), part["copy_key"].to_numpy()
             for depth in range(1, LEVELS + 1):
-                row, place = np.nonzero(_mixed(node[:, None] ^ draws[None, :]) < limit)
+                row, place = np.nonzero(_chosen(node, draws, limit))
                 parent, owner = node[row], owner[row]
                 node = _node(parent, place, tokens[owner, place])
                 yield pd.DataFrame(
@@ -442,14 +486,14 @@ def links_of(docs: DataFrame, reps: DataFrame, chains: DataFrame, key: str, text
     return rows.mapInPandas(_compare_exactly, "a string, b string, n_links long")
 
 
-def jaccard_join(docs: DataFrame, key: str = "doc_id", text: str = "text", runs: int = RUNS) -> DataFrame:
+def jaccard_join(docs: DataFrame, key: str = "doc_id", text: str = "text", runs: int | None = None) -> DataFrame:
     """The class, copies and links of every document with words; ``doc_id`` as text.
 
     ``copy_key`` names its words and ``class_key`` its class. ``copy_id`` is the smallest id among its copies, ``class_id`` among all
     that links lead to; ``n_links`` counts the other texts it is linked to.
     """
     kind = docs.schema[key].dataType.simpleString()
-    members = stored(signed(docs, key, text, runs), "signed")
+    members = stored(signed(docs, key, text, runs or runs_for(RECALL)), "signed")
     ids = F.col("doc_id").cast(kind)
     sets = members.groupBy("copy_key").agg(
         F.min(ids).alias("rep"),

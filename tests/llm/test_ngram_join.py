@@ -5,6 +5,7 @@ from __future__ import annotations
 import random
 
 import numpy as np
+import pandas as pd
 import pytest
 from cellpulse.llm import ngram_join as n
 
@@ -118,3 +119,31 @@ def test_blocks_count_every_pair_once():
     parts = [n.exact_links([t for t, s in zip(texts, side, strict=True) if s == k])[0] for k in (0, 1)]
     across, _ = n.exact_links(texts, side)
     assert whole == [parts[i % 2][i // 2] + across[i] for i in range(40)]
+
+
+def test_pairs_at_the_threshold_meet_below_all_splits():
+    rng = np.random.default_rng(6)
+    one = rng.integers(0, 1 << 32, (400, n.PLACES), np.uint32)
+    other = np.where(rng.random(one.shape) < n.MIN_JACCARD, one, rng.integers(0, 1 << 32, one.shape, np.uint32))
+    runs = n.runs_for(n.RECALL)
+    places = n.root_places(runs, n.MIN_JACCARD)
+    run, place = (np.array(x) for x in zip(*places, strict=True))
+    met = []
+    for side in (one, other):
+        nodes = n._node(run.astype(np.uint64), place, side[:, place])
+        keys = np.repeat(np.arange(len(side)), len(places))
+        rows = pd.DataFrame({"node": nodes.view(np.int64).ravel(), "copy_key": keys})
+        for _ in range(n.ROUNDS):
+            rows["signature"] = [side[i].tobytes() for i in rows["copy_key"]]
+            rows = pd.concat(n._split(iter([rows])))
+            rows = rows[rows["depth"] == n.LEVELS][["node", "copy_key"]]
+        met.append(set(zip(rows["node"], rows["copy_key"], strict=True)))
+    missed = 400 - len({i for _, i in met[0] & met[1]})
+    assert n.recall(runs, n.ROUNDS * n.LEVELS) >= n.RECALL >= 0.9998 and missed <= 1
+    assert n.runs_for(0.9) < runs < n.runs_for(0.99988)
+
+
+def test_every_node_chooses_a_place():
+    limit = np.uint64(int(2.0**64 / (n.MIN_JACCARD * n.PLACES)))
+    chosen = n._chosen(n._constants(9, 5000), n._constants(77, n.PLACES), limit)
+    assert chosen.any(axis=1).all() and 1.45 < chosen.sum(axis=1).mean() < 1.62
