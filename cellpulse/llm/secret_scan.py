@@ -4,11 +4,13 @@ Two Markov models over adjacent characters, one of random strings and one of
 ordinary identifiers, are trained from labelled samples. A run of token
 characters is a secret if the log-likelihood of its transitions under the
 first model exceeds that under the second by ``THRESHOLD``. Patterns stay as
-they are; the models add spans outside them.
+they are; the models add spans outside them, and a run that a pattern's span
+meets is cut there and each part that is left is judged. No length is asked of a
+run: the ratio grows with it, so short strings need the more evidence.
 
 Labels: the values that the patterns find, in all documents, are random
 strings; the words of a bounded sample of documents outside of any found
-span are ordinary, but for those that the models are to judge and that have
+span are ordinary, but for those of ``MIN_CODE`` characters or more that have
 digits. ``train`` takes any table of labelled samples instead.
 
 Spans count code points, the end excluded. Defined cases: a null text is
@@ -33,9 +35,10 @@ ACCESS = r"AKIA[A-Z0-9]{16,}"
 HEX = r"[0-9a-f]{24,}"
 KINDS = ("assign", "access", "hex", "model")
 MIN_VALUE = 6
-#: Runs that the models judge.
-MIN_RUN = 16
-RUN = rf"[A-Za-z0-9+/_=-]{{{MIN_RUN},}}"
+#: Runs that the models judge; one character has no transition.
+RUN = r"[A-Za-z0-9+/_=-]{2,}"
+#: Words from this length on that have digits are not taken for ordinary ones in training.
+MIN_CODE = 16
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 WIDTH = len(ALPHABET) + 1
 THRESHOLD = 12.0
@@ -46,8 +49,11 @@ SAMPLE_DOCS = 2000
 MARK = "[SECRET]"
 
 
-def _spans(text: Column, pattern: str, kind: int) -> Column:
-    """Matches of a pattern with their places: the pieces between them are counted up."""
+def _spans(text: Column, pattern: str, kind: int, wanted: Callable[[Column], Column] | None = None) -> Column:
+    """Matches of a pattern with their places: the pieces between them are counted up.
+
+    Of many matches, the few ``wanted`` ones alone are put together.
+    """
     none = F.array().cast("array<struct<start:int,kind:int,end:int,value:string>>")
 
     def places(pieces: Column) -> Column:
@@ -57,7 +63,10 @@ def _spans(text: Column, pattern: str, kind: int) -> Column:
             span = F.struct(
                 start.alias("start"), F.lit(kind).alias("kind"), end.alias("end"), pair["found"].alias("value")
             )
-            return F.struct(end.alias("at"), F.concat(total["spans"], F.array(span)).alias("spans"))
+            spans = F.concat(total["spans"], F.array(span))
+            if wanted is not None:
+                spans = F.when(wanted(span), spans).otherwise(total["spans"])
+            return F.struct(end.alias("at"), spans.alias("spans"))
 
         zero = F.struct(F.lit(0).alias("at"), none.alias("spans"))
         return F.aggregate(pieces, zero, add, lambda total: total["spans"])
@@ -82,15 +91,47 @@ def base_spans(text: Column) -> Column:
     return F.sort_array(F.concat(assigned, _spans(text, ACCESS, 1), _spans(text, HEX, 2)))
 
 
-def runs(text: Column) -> Column:
-    """Runs for the models: with a letter, as a number alone is no secret."""
-    return F.filter(_spans(text, RUN, 3), lambda s: s["value"].rlike("[A-Za-z]"))
+def runs(text: Column, base: Column, score: Callable[[Column], Column]) -> Column:
+    """Runs that the models take for secrets, and those that meet a span of ``base``.
+
+    Every run of the text is judged, once for each value; places are worked out
+    for the few that are found.
+    """
+    lettered = lambda v: v.rlike("[A-Za-z]")  # noqa: E731  a number alone is no secret
+    values = F.array_distinct(F.regexp_extract_all(text, F.lit(RUN), F.lit(0)))
+    values = F.filter(values, lambda v: lettered(v) & (score(v) > THRESHOLD))
+
+    def placed(secrets: Column) -> Column:
+        meets = lambda s: F.exists(base, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))
+        found = _spans(text, RUN, 3, lambda s: F.array_contains(secrets, s["value"]) | meets(s))
+        none = (F.size(secrets) == 0) & (F.size(base) == 0)
+        return F.when(none, F.array().cast("array<struct<start:int,kind:int,end:int,value:string>>")).otherwise(found)
+
+    return let(values, placed)
 
 
 def outside(spans: Column, base: Column) -> Column:
-    """Spans that overlap none of ``base``."""
-    meets = lambda s: F.exists(base, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))
-    return F.filter(spans, lambda s: ~meets(s))
+    """The parts of spans that lie outside of ``base``, which is in order of start: with a letter, of two characters or more."""
+
+    def parts(s: Column) -> Column:
+        met = F.filter(base, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))
+        # Base spans may overlap, so a part begins where all before it have ended.
+        return F.when(F.size(met) == 0, F.array(s)).otherwise(let(met, lambda m: cut(s, m)))
+
+    def cut(s: Column, met: Column) -> Column:
+        ends = lambda i: F.array_max(F.transform(F.slice(met, F.lit(1), i), lambda b: b["end"]))
+        begin = lambda i: F.when(i == 0, s["start"]).otherwise(F.greatest(s["start"], ends(i)))
+        end = lambda i: F.least(s["end"], F.coalesce(F.get(met, i)["start"], s["end"]))
+        part = lambda i: F.struct(
+            begin(i).alias("start"),
+            s["kind"].alias("kind"),
+            end(i).alias("end"),
+            F.substring(s["value"], begin(i) - s["start"] + 1, F.greatest(end(i) - begin(i), F.lit(0))).alias("value"),
+        )
+        return F.transform(F.sequence(F.lit(0), F.size(met)), part)
+
+    left = F.flatten(F.transform(spans, parts))
+    return F.filter(left, lambda s: (F.length(s["value"]) > 1) & s["value"].rlike("[A-Za-z]"))
 
 
 # ---------------------------------------------------------------- models
@@ -165,7 +206,7 @@ def ordinary_words(docs: DataFrame, text: str = "text", key: str = "doc_id", lim
         plain = F.regexp_replace(plain, pattern, " ")
     words = F.regexp_extract_all(plain, F.lit(r"[A-Za-z0-9+/_=-]{4,}"), F.lit(0))
     found = sample.select(F.explode(words).alias("value"), F.lit(False).alias("random"))
-    return found.where(f"length(value) < {MIN_RUN} or not value rlike '[0-9]'")
+    return found.where(f"length(value) < {MIN_CODE} or not value rlike '[0-9]'")
 
 
 # ---------------------------------------------------------------- documents
@@ -174,19 +215,20 @@ def ordinary_words(docs: DataFrame, text: str = "text", key: str = "doc_id", lim
 def scan(docs: DataFrame, carried: list[str], text: str = "text", key: str = "doc_id") -> DataFrame:
     """The ``carried`` columns in ``row``, with ``base`` and ``spans`` (all spans, by start and kind).
 
-    Texts are searched once, and what was found is stored; the models are
-    trained from that and judge the runs in it.
+    Texts are searched by the patterns for training, and again when the models judge them.
     """
     kept = F.coalesce(F.col(f"`{text}`"), F.lit(""))
-    found = docs.select(
-        F.struct(*(F.col(f"`{c}`") for c in carried)).alias("row"),
-        base_spans(kept).alias("base"),
-        runs(kept).alias("runs"),
-    )
-    found = stored(found, "found")
-    random = found.select(F.explode("base").alias("s")).select(value_of(F.col("s")).alias("value")).distinct()
+    random = docs.select(F.explode(base_spans(kept)).alias("s")).select(value_of(F.col("s")).alias("value")).distinct()
     random = random.withColumn("random", F.lit(True))
     score = scorer(train(random.unionByName(ordinary_words(docs, text, key))))
+    found = docs.select(
+        F.struct(*(F.col(f"`{c}`") for c in carried)).alias("row"), kept.alias("text"), base_spans(kept).alias("base")
+    )
+    both = let(
+        F.struct(F.col("text").alias("text"), F.col("base").alias("base")),
+        lambda x: F.struct(x["base"].alias("base"), runs(x["text"], x["base"], score).alias("runs")),
+    )
+    found = stored(found.select("row", both.alias("b")).select("row", "b.base", "b.runs"), "found")
     secret = F.filter(outside(F.col("runs"), F.col("base")), lambda s: score(s["value"]) > THRESHOLD)
     return found.select("row", "base", F.sort_array(F.concat("base", secret)).alias("spans"))
 
