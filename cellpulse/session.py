@@ -4,10 +4,15 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import weakref
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 _local_folders: dict[str, str] = {}
+_places: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
+_recorders: list[list[str]] = []
 
 
 def prepare(spark: SparkSession) -> SparkSession:
@@ -46,8 +51,41 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     """Write an interim table below the shared folder and read it back.
 
     It is computed once, survives a lost executor, and has a size on disk, by
-    which the planner decides whether it may be broadcast.
+    which the planner decides whether it may be broadcast. It stays until
+    ``discard`` or ``remove`` takes it away.
     """
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    for made in _recorders:
+        made.append(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    _places[table] = path
+    return table
+
+
+def discard(*tables: DataFrame | None) -> None:
+    """Remove interim tables that nothing reads any more: what was made from them has itself been written."""
+    for table in tables:
+        path = _places.pop(table, None) if table is not None else None
+        if path is not None:
+            remove(table.sparkSession, [path])
+
+
+def remove(spark: SparkSession, paths: list[str]) -> None:
+    """Delete folders, wherever the session's file systems keep them."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for path in paths:
+        place = jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(conf).delete(place, True)
+
+
+@contextmanager
+def recorded() -> Iterator[list[str]]:
+    """The folders of all tables that are stored inside the block."""
+    made: list[str] = []
+    _recorders.append(made)
+    try:
+        yield made
+    finally:
+        _recorders.remove(made)
