@@ -1,4 +1,4 @@
-"""Queries of the ten operators over their whole tables, and their SQL."""
+"""Queries of the operators over their whole tables, and their SQL."""
 
 from __future__ import annotations
 
@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from cellpulse.llm import (
     chat_format,
+    collocations,
     fingerprints,
     license_scan,
     mixing,
@@ -72,6 +73,10 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -85,6 +90,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_secret_scan,
         op9_warc,
         op10_mixing,
+        op13_collocations,
     )
 }
 SQL: dict[str, str] = ORACLES

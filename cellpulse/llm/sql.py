@@ -193,10 +193,49 @@ from rows left join own o using (path) left join granted g on g.dir = rows.dir
   left join granted a on a.dir = rows.above and rows.above <> rows.dir
 """
 
+COLLOCATIONS = r"""
+with recursive docs as (
+    select row_number() over () as d, coalesce(lang, 'und') as lang,
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as text
+    from documents
+), pieces as (
+    select lang, unnest(string_split_regex(text, '[.,;:!?\x0A-\x0D]')) as piece from docs
+), worded as (
+    select lang, regexp_extract_all(piece, '[^\x20\x09]+') as w from pieces
+), sizes as (
+    select lang, sum(len(w))::bigint as n from worded group by lang
+), grams as (
+    select lang, k, array_to_string(w[i : i + k - 1], ' ') as phrase
+    from worded, range(1, 6) as s(k), range(1, len(w) - k + 2) as p(i)
+), counts as (
+    select lang, k, phrase, count(*) as f from grams group by lang, k, phrase having count(*) >= 100
+), cand as (
+    select lang, k, phrase, f as a, string_split(phrase, ' ') as w from counts where k >= 2
+), cuts as (
+    select c.lang, c.phrase, c.a, c.k as len, cut, l.f as l, r.f as r, n,
+           (1000 * c.a::hugeint * n) // (l.f::hugeint * r.f) as score
+    from cand c, range(1, c.k) as s(cut), counts l, counts r, sizes z
+    where z.lang = c.lang and l.lang = c.lang and l.k = cut and l.phrase = array_to_string(c.w[1 : cut], ' ')
+      and r.lang = c.lang and r.k = c.k - cut and r.phrase = array_to_string(c.w[cut + 1 : c.k], ' ')
+), weakest as (
+    select * from cuts qualify row_number() over (partition by lang, phrase order by score, cut) = 1
+), inside as (
+    select c.lang, array_to_string(c.w[i : i + m - 1], ' ') as phrase, max(c.a) as longer
+    from cand c, range(2, c.k) as s(m), range(1, c.k - m + 2) as p(i) group by 1, 2
+), stays as (
+    select w.* from weakest w left join inside i on i.lang = w.lang and i.phrase = w.phrase
+    where i.longer is null or i.longer < w.a
+)
+select lang, row_number() over (partition by lang order by score desc, a desc, phrase)::bigint as rank,
+       phrase, a, l, r, n, score::bigint as score
+from stays qualify rank <= 2000
+"""
+
 ORACLES = {
     "op4_quality_rules": QUALITY_RULES,
     "op5_license_scan": LICENSE_SCAN,
     "op7_chat_formatting": CHAT_FORMATTING,
     "op9_warc": WARC,
     "op10_mixing": MIXING,
+    "op13_collocations": COLLOCATIONS,
 }
