@@ -10,9 +10,11 @@ from pyspark.sql import DataFrame, SparkSession
 from cellpulse.llm import (
     chat_format,
     collocations,
+    filter_audit,
     fingerprints,
     license_scan,
     mixing,
+    near_dedup,
     ngram_join,
     packing,
     quality_rules,
@@ -73,6 +75,14 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op11_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(table(spark, sf_dir, "documents"))
 
@@ -90,6 +100,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_secret_scan,
         op9_warc,
         op10_mixing,
+        op11_near_dedup,
+        op12_filter_audit,
         op13_collocations,
     )
 }

@@ -231,11 +231,95 @@ select lang, row_number() over (partition by lang order by score desc, a desc, p
 from stays qualify rank <= 2000
 """
 
+FILTER_AUDIT = r"""
+with docs as (
+    select row_number() over () as row_id, doc_id, coalesce(source, '') as part, coalesce(text, '') as text from documents
+), worded as (
+    select *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') as w from docs
+), firsts as (
+    select text as same, min(doc_id) as first_id from docs group by text
+), flagged as (
+    select d.row_id, d.part,
+        len(w) < 50 as a,
+        100 * len(list_distinct(w)) < 65 * len(w) as b,
+        100 * (length(text) - length(regexp_replace(text, '[A-Z]+', '', 'g'))) > 5 * length(text) as c,
+        regexp_matches(text, '[#$%&*|]') as d,
+        coalesce(doc_id > first_id, false) as e,
+        exists (select 1 from labels l where l.doc_id = d.doc_id and l.quality = 1) as good,
+        exists (select 1 from labels l where l.doc_id = d.doc_id and l.toxic = 1) as toxic
+    from worded d join firsts on same = text
+), fails as (
+    select row_id, part, good, toxic,
+        (case when a then 'A' else '' end) || (case when b then 'B' else '' end) || (case when c then 'C' else '' end)
+        || (case when d then 'D' else '' end) || (case when e then 'E' else '' end) as failed
+    from flagged
+), patterns as (
+    select part, failed, count(*) as n, count(*) filter (good) as n_good, count(*) filter (toxic) as n_toxic
+    from fails group by part, failed
+), letters as (select unnest(['A', 'B', 'C', 'D', 'E']) as x),
+orders as (
+    select a.x || b.x || c.x || d.x || e.x as filter_order
+    from letters a, letters b, letters c, letters d, letters e
+    where b.x <> a.x and c.x not in (a.x, b.x) and d.x not in (a.x, b.x, c.x) and e.x not in (a.x, b.x, c.x, d.x)
+), steps as (
+    select filter_order, step, filter_order[step] as f, filter_order[1 : step - 1] as before
+    from orders, range(1, 6) as s(step)
+), parts as (select distinct part from docs),
+counted as (
+    select q.part, filter_order, step, f,
+        coalesce(sum(n) filter (translate(failed, before || f, '') = failed), 0)::bigint as kept,
+        coalesce(sum(n) filter (contains(failed, f) and translate(failed, before, '') = failed), 0)::bigint as removed,
+        coalesce(sum(n) filter (contains(failed, f) and translate(failed, before, '') <> failed), 0)::bigint as redundant,
+        coalesce(sum(n) filter (failed = f), 0)::bigint as unique_fails,
+        coalesce(sum(n_good) filter (contains(failed, f) and translate(failed, before, '') = failed), 0)::bigint as good_lost,
+        coalesce(sum(n_toxic) filter (contains(failed, f) and translate(failed, before, '') = failed), 0)::bigint as toxic_lost
+    from parts q join patterns p on p.part = q.part, steps group by q.part, filter_order, step, f
+)
+select part, filter_order, step::int as step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+    sum(removed) over (partition by part, f)::bigint as shapley
+from counted
+"""
+
+NEAR_DEDUP = r"""
+with recursive docs as (
+    select row_number() over () as row_id, doc_id,
+        regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w
+    from documents
+), keyed as (
+    select row_id, doc_id, w, md5(array_to_string(w, ' ')) as k from docs
+), texts as (
+    select k, any_value(w) as w, min(doc_id) as rep from keyed where len(w) > 0 group by k
+), shingles as (
+    select distinct k, hash(array_to_string(w[i : i + 3], ' '), len(w[i : i + 3])) as s
+    from texts, range(1, greatest(len(w) - 3, 1) + 1) as p(i)
+), sizes as (
+    select k, count(*) as n from shingles group by k
+), both as (
+    select a.k as a, b.k as b, count(*) as n from shingles a join shingles b on a.s = b.s and a.k < b.k group by all
+), links as (
+    select a, b from both join sizes x on x.k = a join sizes y on y.k = b where 100 * both.n >= 80 * (x.n + y.n - both.n)
+), ways as (
+    select a, b from links union all select b, a from links
+), reach as (
+    select a, b from ways
+    union
+    select r.a, w.b from reach r join ways w on w.a = r.b
+), least_of as (
+    select t.k, least(min(t.rep), min(o.rep)) as component_id
+    from texts t left join reach r on r.a = t.k left join texts o on o.k = r.b group by t.k
+)
+select doc_id, coalesce(n, 0)::bigint as n_shingles, coalesce(component_id, doc_id) as component_id,
+    doc_id is not distinct from coalesce(component_id, doc_id) as kept
+from keyed left join sizes using (k) left join least_of using (k)
+"""
+
 ORACLES = {
     "op4_quality_rules": QUALITY_RULES,
     "op5_license_scan": LICENSE_SCAN,
     "op7_chat_formatting": CHAT_FORMATTING,
     "op9_warc": WARC,
     "op10_mixing": MIXING,
+    "op11_near_dedup": NEAR_DEDUP,
+    "op12_filter_audit": FILTER_AUDIT,
     "op13_collocations": COLLOCATIONS,
 }
