@@ -7,7 +7,7 @@ candidate if it occurs ``MIN_COUNT`` times in its language, overlaps included.
 Candidates come from Misra-Gries summaries. A task counts the phrases of a
 stretch of text by their hashes and cuts the counts by hash into partitions; the
 summaries of one language and partition are merged by one task. A merged
-summary that outgrows its capacity, one and a half times a partition's mean mass divided by
+summary that outgrows its capacity, ``SPARE`` times a partition's mean mass divided by
 ``MIN_COUNT``, loses the same amount from every counter and remembers how much it
 has lost. So no phrase loses ``MIN_COUNT`` in all, and each frequent one
 survives; where a partition's mass is far above the mean, a loss that would break this makes the
@@ -31,6 +31,7 @@ is read in parts, cut between pieces; a piece without end is read whole.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from zlib import crc32
 
 import numpy as np
 import pandas as pd
@@ -44,7 +45,9 @@ LONGEST = 5
 MIN_COUNT = 100
 TOP = 2000
 #: Words of text to one hash partition, at most.
-PARTITION_WORDS = 1 << 26
+PARTITION_WORDS = 1 << 24
+#: Capacity over what the guarantee needs: a summary loses about a fourth of the threshold, so little passes that is rarer.
+SPARE = 4
 #: Bytes of text that are divided at once, and counters that a task holds before it hands them on.
 CHUNK_BYTES, HELD = 2 << 20, 3 << 20
 #: Bits of a bitmap of survivors (8 MB), and how many of them stand for one phrase.
@@ -266,14 +269,18 @@ def _bitmap(places: DataFrame) -> bytes:
     return found.tobytes()
 
 
-def _exact(texts: DataFrame, kept) -> DataFrame:
-    """``lang``, ``phrase``, ``words`` and ``f`` of all phrases in the bitmap, one word included, by task."""
+def _exact(texts: DataFrame, kept, partitions: int, min_count: int) -> DataFrame:
+    """``lang``, ``phrase`` and ``f`` of all phrases in the bitmap that occur often enough, one word included.
+
+    Counts travel in one row for each task, language and partition, and are added by their words.
+    """
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         bitmap = np.frombuffer(kept.value, np.uint8)
-        held: dict[tuple[str, int, bytes], int] = {}
+        held: dict[str, dict[bytes, int]] = {}
         for lang, data in _stretches(batches):
             words, own = Words(data, both=True), _in_language(lang)
+            mine = held.setdefault(lang, {})
             for k, ((at, first), (_, second)) in enumerate(zip(words.phrases(0), words.phrases(1), strict=True), 1):
                 keep = np.flatnonzero(_passes(bitmap, first ^ own))
                 at, first, second = at[keep], first[keep], second[keep]
@@ -287,19 +294,39 @@ def _exact(texts: DataFrame, kept) -> DataFrame:
                     phrase = data[words.starts[i] : words.ends[i + k - 1]]
                     if b"  " in phrase:
                         phrase = b" ".join(x for x in phrase.split(b" ") if x)
-                    key = (lang, k, phrase)
-                    held[key] = held.get(key, 0) + n
-            if len(held) > 300_000:
-                yield rows_of(held)
+                    mine[phrase] = mine.get(phrase, 0) + n
+            if sum(map(len, held.values())) > 300_000:
+                yield from parted(held)
                 held = {}
-        if held:
-            yield rows_of(held)
+        yield from parted(held)
+
+    def parted(held: dict[str, dict[bytes, int]]) -> Iterator[pd.DataFrame]:
+        for lang, counts in held.items():
+            parts: dict[int, list[bytes]] = {}
+            for phrase in counts:
+                parts.setdefault(crc32(phrase) % partitions, []).append(phrase)
+            for part, phrases in parts.items():
+                numbers = np.array([counts[x] for x in phrases], np.int64).tobytes()
+                yield pd.DataFrame({"lang": [lang], "part": [part], "phrases": [b"\n".join(phrases)], "counts": [numbers]})
+
+    def added(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        key, total = None, {}
+        for batch in batches:
+            for lang, part, phrases, counts in batch[["lang", "part", "phrases", "counts"]].itertuples(index=False):
+                if key != (lang, part):
+                    yield frequent(key, total)
+                    key, total = (lang, part), {}
+                for phrase, n in zip(bytes(phrases).split(b"\n"), np.frombuffer(counts, np.int64).tolist(), strict=True):
+                    total[phrase] = total.get(phrase, 0) + n
+        yield frequent(key, total)
 
-    def rows_of(held: dict) -> pd.DataFrame:
-        lang, k, phrase = zip(*held, strict=True)
-        return pd.DataFrame({"lang": lang, "words": k, "phrase": phrase, "f": list(held.values())})
+    def frequent(key: tuple[str, int] | None, total: dict[bytes, int]) -> pd.DataFrame:
+        found = [(x.decode("utf-8"), n) for x, n in total.items() if n >= min_count]
+        return pd.DataFrame({"lang": [key[0] for _ in found], "phrase": [x for x, _ in found], "f": [n for _, n in found]})
 
-    return texts.mapInPandas(count, "lang string, words int, phrase binary, f long")
+    counted = texts.mapInPandas(count, "lang string, part int, phrases binary, counts binary")
+    dealt = counted.repartition(F.col("lang"), F.col("part")).sortWithinPartitions("lang", "part")
+    return dealt.mapInPandas(added, "lang string, phrase string, f long")
 
 
 def _n_words(text: Column) -> Column:
@@ -318,15 +345,15 @@ def phrase_counts(docs: DataFrame, text: str = "text", lang: str = "lang", min_c
     partitions = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // PARTITION_WORDS))
 
     def found(lengths: range, pairs) -> DataFrame:
-        capacity = 3 * len(lengths) * total // (2 * partitions * min_count) + 1024
+        capacity = SPARE * len(lengths) * total // (partitions * min_count) + 1024
         return _frequent(texts, partitions, lengths, pairs, min_count, capacity)
 
     short = stored(found(range(1, 3), None), "short_phrases")
     pairs = spark.sparkContext.broadcast(_bitmap(short))
     every = short.unionByName(found(range(3, LONGEST + 1), pairs))
     kept = spark.sparkContext.broadcast(_bitmap(every))
-    counted = _exact(texts, kept).groupBy("lang", "words", "phrase").agg(F.sum("f").alias("f"))
-    result = stored(counted.where(F.col("f") >= min_count), "phrase_counts")
+    counted = _exact(texts, kept, partitions, min_count)
+    result = stored(counted.withColumn("words", F.size(F.split("phrase", " "))), "phrase_counts")
     discard(short)
     return result
 
@@ -340,7 +367,7 @@ def collocations(
 ) -> DataFrame:
     """The best ``top`` collocations of each language: ``rank``, ``phrase``, counts ``a``, ``l``, ``r``, ``n`` and ``score``."""
     rows = docs.select(F.col(f"`{text}`").alias("text"), F.col(f"`{lang}`").alias("lang"))
-    counts = phrase_counts(rows, min_count=min_count).select("lang", "words", F.col("phrase").cast("string").alias("phrase"), "f")
+    counts = phrase_counts(rows, min_count=min_count)
     sizes = rows.groupBy(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"))
     sizes = sizes.agg(F.sum(_n_words(F.col("text"))).alias("n"))
     long = counts.where("words > 1").select("lang", "words", "phrase", F.col("f").alias("a"), F.split("phrase", " ").alias("parts"))
