@@ -314,15 +314,16 @@ def _exact(texts: DataFrame, kept, partitions: int, min_count: int) -> DataFrame
         for batch in batches:
             for lang, part, phrases, counts in batch[["lang", "part", "phrases", "counts"]].itertuples(index=False):
                 if key != (lang, part):
-                    yield frequent(key, total)
+                    yield from frequent(key, total)
                     key, total = (lang, part), {}
                 for phrase, n in zip(bytes(phrases).split(b"\n"), np.frombuffer(counts, np.int64).tolist(), strict=True):
                     total[phrase] = total.get(phrase, 0) + n
-        yield frequent(key, total)
+        yield from frequent(key, total)
 
-    def frequent(key: tuple[str, int] | None, total: dict[bytes, int]) -> pd.DataFrame:
-        found = [(x.decode("utf-8"), n) for x, n in total.items() if n >= min_count]
-        return pd.DataFrame({"lang": [key[0] for _ in found], "phrase": [x for x, _ in found], "f": [n for _, n in found]})
+    def frequent(key: tuple[str, int] | None, total: dict[bytes, int]) -> Iterator[pd.DataFrame]:
+        found = [(key[0], x.decode("utf-8"), n) for x, n in total.items() if n >= min_count]
+        if found:
+            yield pd.DataFrame(found, columns=["lang", "phrase", "f"])
 
     counted = texts.mapInPandas(count, "lang string, part int, phrases binary, counts binary")
     dealt = counted.repartition(F.col("lang"), F.col("part")).sortWithinPartitions("lang", "part")
