@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 from cellpulse.operators import aggregate, analytics, clean, gate1, gate2, geo, reports, risk
 from cellpulse.plans import ingest, publish
 from cellpulse.plans.batch import run_landing, run_rows, stage_hourly, stage_rows
-from cellpulse.schemas import RAW_COLUMNS
+from cellpulse.schemas import MEASURES, RAW_COLUMNS
 from cellpulse.session import prepare, scratch_path, stored
 from cellpulse.sources import landing
 from cellpulse.sources.events import geojson_of, landing_of, read_activity, write_landing
@@ -28,9 +28,7 @@ from oracle_queries import all_queries
 try:
     import corpus_pipeline
     from cellpulse.llm import queries as corpus_queries
-except ModuleNotFoundError as missing:  # the operators for training text are an optional part
-    if not (missing.name or "").startswith(("cellpulse.llm", "corpus_pipeline")):
-        raise
+except ImportError:  # the operators for training text are an optional part, with packages of their own
     corpus_queries = None
 
 RUN_AT = datetime(2024, 2, 1)
@@ -264,21 +262,26 @@ def q_gate2_damaged(spark, sf_dir):
     return present(gate2.gate2_checks(damaged, daily, spots, alerts, lookup, compared, scores))
 
 
-FULL_DAYS = (11, 14)
+HALF_DAY = 14
 
 
 def _full_days(spark, sf_dir):
-    """Raw rows of four days in which every cell has every hour: its whole activity as internet."""
-    spine = _spine(spark, sf_dir).where(F.day("timestamp").between(*FULL_DAYS))
+    """Raw rows of all days, as a landing has them that passes the file gate: every cell at every hour, zeros where nothing happened."""
+    hourly = _stored(spark, _hourly(spark, sf_dir), "hourly")
+    spine = analytics.hourly_spine(hourly).select("grid_id", "timestamp")
+    rows = spine.join(hourly.select("grid_id", "timestamp", *MEASURES), ["grid_id", "timestamp"], "left")
     values = {"datetime": F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss"), "CellID": F.col("grid_id")}
-    values |= {"countrycode": F.lit("39")} | {m: F.lit("0") for m in RAW_COLUMNS[3:7]}
-    values |= {"internet": F.round("total_activity", 6).cast("decimal(20,6)").cast("string")}
+    values |= {"countrycode": F.lit("39")}
+    values |= {
+        raw: F.round(F.coalesce(F.col(m), F.lit(0.0)), 6).cast("decimal(20,6)").cast("string")
+        for raw, m in zip(RAW_COLUMNS[3:], MEASURES, strict=True)
+    }
     name = F.concat(F.lit(landing.NAME_PREFIX), F.date_format("timestamp", "yyyy-MM-dd"), F.lit(".csv"))
-    return spine.select(*[v.alias(c) for c, v in values.items()], name.alias("_source_file"))
+    return rows.select(*[v.alias(c) for c, v in values.items()], name.alias("_source_file"))
 
 
 def _published(spark, sf_dir):
-    """A run of the whole pipeline over those days, file gate first; returns where, and what it says."""
+    """A run of the whole pipeline over all days, file gate first; returns where, and what it says."""
     out = scratch_path(prepare(spark), "published")
     rows = _full_days(spark, sf_dir)
     write_landing(rows, f"{out}/landing", plain=True)
@@ -310,7 +313,7 @@ def q_published_counts(spark, sf_dir):
 def q_published_after_refusal(spark, sf_dir):
     """What readers see after the same run id has come again with half a day and was refused."""
     out, reference, rows, _ = _published(spark, sf_dir)
-    half = rows.where(F.col("datetime").like(f"%-{FULL_DAYS[1]} 0%"))
+    half = rows.where(F.col("datetime").like(f"%-{HALF_DAY} 0%"))
     try:
         run_rows(
             spark, half, out, reference, "run-1", RUN_AT, multi_line_reference=False, gather_input=True
@@ -320,7 +323,7 @@ def q_published_after_refusal(spark, sf_dir):
         seen = publish.read_published(spark, out, "hourly_grid_summary")
     return present(
         seen.groupBy("date").agg(
-            F.count("*").alias("row_count"), F.sum("total_activity").alias("total_activity")
+            F.count("*").alias("row_count"), *[F.sum(m).alias(m) for m in (*MEASURES, "total_activity")]
         )
     )
 

@@ -511,7 +511,9 @@ def all_queries() -> dict[str, str]:
     )
 
     weights = (0.002, -0.001, -0.0005, 0.001, 0.4, 0.01, -0.02, 0.3)
-    values = ("total_activity", "lag_1", "lag_2", "lag_24", "trailing_ratio", "hour", "day_of_week", SHARE)
+    # The score takes the share as it is; only what is shown is rounded.
+    share = "case when total_activity > 0 then cast(internet_activity as double) / cast(total_activity as double) else 0.0 end"
+    values = ("total_activity", "lag_1", "lag_2", "lag_24", "trailing_ratio", "hour", "day_of_week", share)
     margin = " + ".join(f"{w} * cast(coalesce({v}, 0) as double)" for w, v in zip(weights, values, strict=True))
     sql["risk_scores"] = with_ctes(*BASE, SPINE, features) + (
         f"select grid_id, timestamp, {d('p')} as risk_score, case when p >= 0.7 then 'HIGH' when p >= 0.4 then 'MEDIUM'"
@@ -520,8 +522,11 @@ def all_queries() -> dict[str, str]:
         f" from (select *, 1 / (1 + exp(-(-2.0 + {margin}))) as p from rated)"
     )
     full_days = """full_days as (
-      select grid_id, timestamp, cast(timestamp as date) as date, round(total_activity, 6) as total_activity
-      from spine where extract(day from timestamp) between 11 and 14),
+      select c.grid_id, h.timestamp, cast(h.timestamp as date) as date, """ + ", ".join(f"coalesce(y.{m}, 0) as {m}" for m in MEASURES) + """,
+             coalesce(y.total_activity, 0) as total_activity
+      from (select distinct grid_id from hourly) c
+      cross join (select distinct timestamp from spine) h
+      left join hourly y on y.grid_id = c.grid_id and y.timestamp = h.timestamp),
     full_alerts as (
       select date, count(*) filter (where """ + ratio("total_activity", d("cast(s - total_activity as double) / (n - 1)")) + """ >= 2) as n
       from (select *, sum(total_activity) over w as s, count(*) over w as n
@@ -539,7 +544,9 @@ def all_queries() -> dict[str, str]:
         + ["select 'activity_alerts' as table_name, date, n as row_count from full_alerts where n > 0"]
     )
     sql["published_after_refusal"] = full + (
-        f"select date, count(*) as row_count, {d('sum(total_activity)')} as total_activity from full_days group by date"
+        "select date, count(*) as row_count, "
+        + ", ".join(f"{d(f'sum({m})')} as {m}" for m in (*MEASURES, "total_activity"))
+        + " from full_days group by date"
     )
     on = lambda condition: f"(select count(*) as n from (select *, extract(day from timestamp) as dom," \
         f" extract(hour from timestamp) as hod from hourly) where {condition})"
