@@ -14,15 +14,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cellpulse.operators import aggregate, analytics, clean, gate1, gate2, geo, reports, risk
+from cellpulse.functions.digest import content_by_date, content_check
+from cellpulse.operators import aggregate, analytics, clean, drops, gate1, gate2, geo, reports, risk, spatial
 from cellpulse.plans import ingest, publish
 from cellpulse.plans.batch import run_landing, run_rows, stage_hourly, stage_rows
 from cellpulse.schemas import MEASURES, RAW_COLUMNS
 from cellpulse.session import prepare, scratch_path, stored
 from cellpulse.sources import landing
-from cellpulse.sources.events import geojson_of, landing_of, read_activity, write_landing
+from cellpulse.sources.events import area_collections, geojson_of, landing_of, read_activity, write_landing
 from cellpulse.sources.geojson import grid_lookup, read_geojson
-from cellpulse.streaming import incremental
+from cellpulse.streaming import dedup, incremental
 from oracle_queries import all_queries
 
 try:
@@ -193,8 +194,8 @@ def q_readback_check(spark, sf_dir):
     checked, rows_in = stage_rows(_raw(spark, sf_dir), f"{out}/checked", gather=True)
     valid = checked.where(F.col("row_status") == clean.ROW_VALID)
     hourly, hourly_rows = stage_hourly(valid, f"{out}/hourly")
-    return publish.readback_check("checked_rows_readback", checked, rows_in).unionByName(
-        publish.readback_check("hourly_rows_readback", hourly, hourly_rows)
+    return content_check("checked_rows_readback", content_by_date(checked), rows_in).unionByName(
+        content_check("hourly_rows_readback", content_by_date(hourly), hourly_rows)
     )
 
 
@@ -328,6 +329,59 @@ def q_published_after_refusal(spark, sf_dir):
     )
 
 
+def q_content_check(spark, sf_dir):
+    """The hourly table as stored, and with one value of the first cell changed: the row count stays, the content does not."""
+    out = scratch_path(prepare(spark), "content")
+    hourly, went_in = stage_hourly(_clean(spark, sf_dir), f"{out}/hourly")
+    first = hourly.agg(F.min(F.struct("grid_id", "timestamp"))).scalar()
+    here = F.struct("grid_id", "timestamp") == first
+    changed = hourly.withColumn("sms_in", F.when(here, F.col("sms_in") + 1).otherwise(F.col("sms_in")))
+    changed = publish.write_by_date(changed, f"{out}/changed")
+    return content_check("as_stored", content_by_date(hourly), went_in).unionByName(
+        content_check("one_value_changed", content_by_date(changed), went_in)
+    )
+
+
+def q_published_content(spark, sf_dir):
+    """Rows of each published table and date, and whether they are still those that the manifest knows."""
+    out, _, _, _ = _published(spark, sf_dir)
+    found = None
+    for name in ("checked_activity", "hourly_grid_summary", "daily_grid_summary"):
+        rows = publish.published_content(spark, out, name).select(F.lit(name).alias("table_name"), "*")
+        found = rows if found is None else found.unionByName(rows)
+    return found
+
+
+def q_points_in_cells(spark, sf_dir):
+    """Events as points, and the cells (with holes, triangles, two parts) that they fall into; points outside have none."""
+    suppliers = prepare(spark).read.parquet(f"{sf_dir}/supplier.parquet")
+    lookup = stored(grid_lookup(_read_collections(spark, area_collections(suppliers))), "areas")
+    points = spark.read.parquet(f"{sf_dir}/events.parquet").select(
+        (F.col("user_id") % 120 + 0.37).alias("x"), (F.get_json_object("props", "$.k").cast("int") % 30 + 0.41).alias("y"), "value"
+    )
+    found = spatial.locate(points, lookup)
+    return present(found.groupBy("grid_id").agg(F.count("*").alias("n_points"), F.sum("value").alias("total_value")))
+
+
+def _read_collections(spark, lines):
+    """Collections written once as text and read by the GeoJSON source."""
+    folder = scratch_path(spark, "areas")
+    lines.write.text(folder)
+    return read_geojson(spark, folder, multi_line=False)
+
+
+def q_drop_hours(spark, sf_dir):
+    return present(drops.drop_hours(_stored_spine(spark, sf_dir)))
+
+
+def q_drop_episodes(spark, sf_dir):
+    return present(drops.drop_episodes(drops.drop_hours(_stored_spine(spark, sf_dir))))
+
+
+def _stored_spine(spark, sf_dir):
+    return stored(_spine(spark, sf_dir), "spine")
+
+
 # ---------------------------------------------------------------- risk and streams
 
 
@@ -384,6 +438,21 @@ def q_stream_deduplicated(spark, sf_dir):
     return present(spark.read.parquet(f"{out}/rows").select(*incremental.GRAIN))
 
 
+def q_stream_bounded_state(spark, sf_dir):
+    """Two deliveries of half a month, with a day inside the delay and one beyond it sent again: each row is stored once."""
+    raw = stored(_raw(spark, sf_dir), "raw")
+    day = F.substring("_source_file", len(landing.NAME_PREFIX) + 9, 2).cast("int")
+    again = F.concat(F.lit(landing.NAME_PREFIX), F.lit("again-"), F.lpad(day.cast("string"), 2, "0"), F.lit(".csv"))
+    folder, out = scratch_path(spark, "inbox"), scratch_path(spark, "unique")
+    rows = lambda: clean.clean_activity(incremental.stream_raw(spark, folder))
+    write_landing(raw.where(day <= 15), folder, plain=True)
+    dedup.append_unique(rows(), f"{out}/rows", f"{out}/state", "3 days")
+    resent = raw.where(day.isin(2, 14)).withColumn("_source_file", again)
+    write_landing(raw.where(day > 15).unionByName(resent), folder, plain=True)
+    dedup.append_unique(rows(), f"{out}/rows", f"{out}/state", "3 days")
+    return present(spark.read.parquet(f"{out}/rows").select(*incremental.GRAIN))
+
+
 # ---------------------------------------------------------------- registry
 
 
@@ -459,6 +528,12 @@ def activity_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stream_new_files": q_stream_new_files,
         "stream_hourly": q_stream_hourly,
         "stream_deduplicated": q_stream_deduplicated,
+        "stream_bounded_state": q_stream_bounded_state,
+        "content_check": q_content_check,
+        "published_content": q_published_content,
+        "points_in_cells": q_points_in_cells,
+        "drop_hours": q_drop_hours,
+        "drop_episodes": q_drop_episodes,
     }
 
 

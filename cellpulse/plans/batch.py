@@ -9,6 +9,7 @@ from datetime import date, datetime, timedelta
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from cellpulse.functions.digest import content_by_date, content_check, digest_columns
 from cellpulse.operators import aggregate, analytics, clean, gate2, geo
 from cellpulse.operators.gate1 import ACCEPTED
 from cellpulse.plans.ingest import ingest
@@ -18,7 +19,6 @@ from cellpulse.plans.publish import (
     publish,
     read_published,
     read_staged,
-    readback_check,
     require_passed,
     run_path,
     write_by_date,
@@ -41,8 +41,8 @@ class BatchResult:
     outputs: dict
 
 
-def stage_rows(raw: DataFrame, path: str, gather: bool = False) -> tuple[DataFrame, int]:
-    """Write valid and rejected rows from one scan; returns the stored table and the rows that went in.
+def stage_rows(raw: DataFrame, path: str, gather: bool = False) -> tuple[DataFrame, dict]:
+    """Write valid and rejected rows from one scan; returns the stored table and the digest of the rows that went in.
 
     Daily files already hold one date each, so the write needs no shuffle.
     ``gather`` adds one for input that mixes dates.
@@ -51,25 +51,25 @@ def stage_rows(raw: DataFrame, path: str, gather: bool = False) -> tuple[DataFra
     rows = clean.checked_rows(raw)
     shaped = rows.hint("rebalance", "date", "row_status") if gather else rows
     (
-        shaped.observe(seen, F.count("*").alias("rows"))
+        shaped.observe(seen, *[c.alias(n) for n, c in digest_columns(rows.columns).items()])
         .write.mode("overwrite")
         .option("compression", "snappy")
         .partitionBy("date", "row_status")
         .parquet(path)
     )
-    return read_staged(rows, path), seen.get["rows"]
+    return read_staged(rows, path), seen.get
 
 
-def stage_hourly(valid: DataFrame, path: str) -> tuple[DataFrame, int]:
-    """Write the hourly table by date; returns the stored table and the rows that went in.
+def stage_hourly(valid: DataFrame, path: str) -> tuple[DataFrame, dict]:
+    """Write the hourly table by date; returns the stored table and the digest of the rows that went in.
 
-    The count is taken above the last shuffle, where a lost executor cannot make
+    The digest is taken above the last shuffle, where a lost executor cannot make
     a task count twice.
     """
     seen = Observation()
     gathered = aggregate.hourly_grid_summary(valid).hint("rebalance", "date")
-    counted = gathered.observe(seen, F.count("*").alias("rows"))
-    return write_by_date(counted, path, gather=False), seen.get["rows"]
+    counted = gathered.observe(seen, *[c.alias(n) for n, c in digest_columns(gathered.columns).items()])
+    return write_by_date(counted, path, gather=False), seen.get
 
 
 def published_history(
@@ -165,6 +165,13 @@ def run_rows(
     top = geo.enrich_with_geometry(aggregate.top_grids(hourly), lookup)
     top.write.mode("overwrite").parquet(path_of("top_grids_geo"))
 
+    # Read back once: one digest per table and date, for the check and for the manifest.
+    contents = {}
+    for table, frame in stored.items():
+        by_date = content_by_date(frame)
+        by_date.write.mode("overwrite").parquet(path_of(f"{table}_content"))
+        contents[table] = read_staged(by_date, path_of(f"{table}_content"))
+
     checks = (
         gate2.gate2_checks(
             hourly,
@@ -180,8 +187,8 @@ def run_rows(
             min_computable=min_computable,
         )
         .unionByName(delivered_dates_check(checked))
-        .unionByName(readback_check("checked_rows_readback", checked, rows_in))
-        .unionByName(readback_check("hourly_rows_readback", hourly, hourly_rows))
+        .unionByName(content_check("checked_rows_readback", contents[CHECKED], rows_in))
+        .unionByName(content_check("hourly_rows_readback", contents[HOURLY], hourly_rows))
     )
     checks.write.mode("overwrite").parquet(path_of("gate2_checks"))
     checks = read_staged(checks, path_of("gate2_checks"))
@@ -196,14 +203,14 @@ def run_rows(
     peak = aggregate.peak_hour(hourly).first()
     metrics = {
         **counts.asDict(),
-        "output_rows": hourly_rows,
+        "output_rows": hourly_rows["n_rows"],
         "lookup_rows": lookup.count(),
         "peak_hour": peak["timestamp"] if peak else None,
         **geo.geo_coverage(hourly, lookup).first().asDict(),
     }
 
     require_passed(checks)
-    publish(spark, output_folder, run_id, attempt, stored, checked, run_at)
+    publish(spark, output_folder, run_id, attempt, stored, contents, run_at)
     metrics["duration_seconds"] = time.monotonic() - began
     unpartitioned = ("dashboard_summary", "top_grids_geo", "grid_lookup", "gate2_checks")
     return BatchResult(run_id, metrics, checks.collect(), {t: path_of(t) for t in unpartitioned})

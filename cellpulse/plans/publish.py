@@ -21,6 +21,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cellpulse.functions.digest import DIGEST, content_by_date
+
 MANIFEST_SCHEMA = T.StructType(
     [
         T.StructField("table", T.StringType()),
@@ -30,6 +32,9 @@ MANIFEST_SCHEMA = T.StructType(
         T.StructField("has_rows", T.BooleanType()),
         T.StructField("schema", T.StringType()),
         T.StructField("published_at", T.TimestampType()),
+        T.StructField("n_rows", T.LongType()),
+        T.StructField("hash_xor", T.LongType()),
+        T.StructField("hash_sum", T.DecimalType(38, 0)),
     ]
 )
 
@@ -97,27 +102,30 @@ def publish(
     run_id: str,
     attempt: str,
     tables: dict[str, DataFrame],
-    dates: DataFrame,
+    contents: dict[str, DataFrame],
     published_at: datetime,
 ) -> None:
-    """Make the staged tables of a run the current ones for all ``dates`` of the run.
+    """Make the staged tables of a run the current ones for all dates of the run: those of its first table.
+
+    ``contents`` holds the digests of each table by date, which the manifest keeps.
 
     A table without rows on a date gets an entry too: the rows an earlier run had
     there are no longer current. All entries go out in one file of one task
     (dates times tables), so either all are visible or none.
     """
-    run_dates = dates.select("date").distinct()
+    run_dates = next(iter(contents.values())).select("date")
     rows = None
     for name, staged in tables.items():
-        filled = staged.select("date", F.lit(True).alias("filled")).distinct()
+        filled = contents[name]
         entry = run_dates.join(filled, F.equal_null(run_dates["date"], filled["date"]), "left").select(
             F.lit(name).alias("table"),
             run_dates["date"],
             F.lit(run_id).alias("run_id"),
             F.lit(attempt).alias("attempt"),
-            F.col("filled").isNotNull().alias("has_rows"),
+            F.col("n_rows").isNotNull().alias("has_rows"),
             F.lit(staged.schema.json()).alias("schema"),
             F.lit(published_at).cast("timestamp").alias("published_at"),
+            *DIGEST,
         )
         rows = entry if rows is None else rows.unionByName(entry)
     rows.repartition(1).write.mode("append").parquet(manifest_path(output))
@@ -125,7 +133,7 @@ def publish(
 
 def current_runs(spark: SparkSession, output: str, table: str) -> DataFrame:
     """What is published, one row per date; of two runs at one time the later attempt wins."""
-    newest = F.max(F.struct("published_at", "attempt", "run_id", "has_rows", "schema"))
+    newest = F.max(F.struct("published_at", "attempt", "run_id", "has_rows", "schema", *DIGEST))
     return (
         spark.read.schema(MANIFEST_SCHEMA)
         .parquet(manifest_path(output))
@@ -159,6 +167,21 @@ def read_published(spark: SparkSession, output: str, table: str) -> DataFrame:
     return found.select(*schema.names)
 
 
+def published_content(spark: SparkSession, output: str, table: str) -> DataFrame:
+    """For each published date, the rows stored now and whether they are those that were published.
+
+    Entries from before digests were kept have none to compare with: ``unchanged`` is null.
+    """
+    then = current_runs(spark, output, table).select("date", "has_rows", *[F.col(c).alias(f"{c}_then") for c in DIGEST])
+    now = content_by_date(read_published(spark, output, table).drop("run_id"))
+    both = then.join(now.withColumnRenamed("date", "of_date"), F.equal_null("date", "of_date"), "left")
+    same = [F.equal_null(c, f"{c}_then") for c in DIGEST]
+    known = F.col("n_rows_then").isNotNull() | ~F.col("has_rows")
+    return both.select(
+        "date", F.coalesce("n_rows", F.lit(0)).alias("row_count"), F.when(known, same[0] & same[1] & same[2]).alias("unchanged")
+    )
+
+
 def is_published(spark: SparkSession, output: str, table: str) -> bool:
     """Whether any run of the table has been published."""
     try:
@@ -174,12 +197,3 @@ def register_views(spark: SparkSession, output: str, tables: list[str]) -> None:
     for table in tables:
         read_published(spark, output, table).createOrReplaceTempView(table)
 
-
-def readback_check(name: str, written: DataFrame, expected_rows: int) -> DataFrame:
-    """Rows read back from storage against the rows that went in."""
-    return written.agg(F.count("*").alias("n")).select(
-        F.lit(name).alias("check_name"),
-        (F.col("n") == expected_rows).alias("passed"),
-        F.col("n").cast("double").alias("observed"),
-        F.lit(float(expected_rows)).alias("expected"),
-    )

@@ -7,6 +7,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cellpulse.functions.digest import content_by_date
 from cellpulse.operators import analytics, gate2, risk
 from cellpulse.plans.batch import HOURLY
 from cellpulse.plans.publish import new_attempt, publish, read_published, require_passed, run_path, write_by_date
@@ -29,5 +30,5 @@ def run_risk(
     scores = risk.risk_scores(model, features, run_at, version).withColumn("date", F.to_date("timestamp"))
     stored = write_by_date(scores, run_path(output, SCORES, run_id, attempt))
     require_passed(gate2.risk_check(stored))
-    publish(spark, output, run_id, attempt, {SCORES: stored}, stored, run_at)
+    publish(spark, output, run_id, attempt, {SCORES: stored}, {SCORES: content_by_date(stored)}, run_at)
     return stored

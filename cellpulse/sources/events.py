@@ -163,6 +163,30 @@ def cell_collections(suppliers: DataFrame) -> DataFrame:
     )
 
 
+def area_collections(suppliers: DataFrame) -> DataFrame:
+    """Feature collections as lines of text: areas that overlap, by turns a square with a hole, a triangle and two squares.
+
+    Their places and sizes follow the supplier's number; every 40th area is thirty times as large as the others.
+    """
+    key = F.col("s_suppkey")
+    x, y = (key * 7 % 120).cast("double"), (key * 3 % 30).cast("double")
+    side = F.when(key % 40 == 0, 60.0).otherwise(2.0)
+
+    def ring(points: list[tuple[float, float]], dx: Column, dy: Column, size: Column) -> Column:
+        return F.array(*[F.array(dx + px * size, dy + py * size) for px, py in [*points, points[0]]])
+
+    square, triangle = [(0, 0), (1, 0), (1, 1), (0, 1)], [(0, 0), (1, 0), (0, 1)]
+    hole = ring(square, x + side / 2, y + side / 2, side / 2)
+    shape = lambda kind, c: F.to_json(F.struct(F.lit(kind).alias("type"), c.alias("coordinates")))
+    geometry = (
+        F.when(key % 3 == 0, shape("Polygon", F.array(ring(square, x, y, side), hole)))
+        .when(key % 3 == 1, shape("Polygon", F.array(ring(triangle, x, y, side))))
+        .otherwise(shape("MultiPolygon", F.array(F.array(ring(square, x, y, side)), F.array(ring(square, x + 2 * side, y, side)))))
+    )
+    feature = F.concat(F.lit('{"type":"Feature","properties":{"cellId":'), key, F.lit('},"geometry":'), geometry, F.lit("}"))
+    return suppliers.select(F.concat(F.lit('{"type":"FeatureCollection","features":['), feature, F.lit("]}")).alias("value"))
+
+
 def read_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cell_collections(spark.read.parquet(f"{sf_dir}/supplier.parquet"))
 

@@ -634,5 +634,58 @@ def all_queries() -> dict[str, str]:
     sql["stream_new_files"] = with_ctes(FACTS, RAW) + (
         "select filename, count(*) as row_count from raw group by filename"
     )
+    sql["stream_bounded_state"] = base + "select distinct timestamp, grid_id, country_code from clean"
+    sql["content_check"] = base + (
+        "select c.check_name, c.passed, cast(n as double) as observed, cast(n as double) as expected"
+        " from (values ('as_stored', true), ('one_value_changed', false)) c(check_name, passed), (select count(*) as n from hourly)"
+    )
+    per_cell_day = "(select date, count(distinct grid_id) as n from full_days group by date)"
+    sql["published_content"] = full + " union all ".join(
+        f"select '{t}' as table_name, date, n as row_count, true as unchanged from {rows_of}"
+        for t, rows_of in (
+            ("checked_activity", "(select date, count(*) as n from full_days group by date)"),
+            ("hourly_grid_summary", "(select date, count(*) as n from full_days group by date)"),
+            ("daily_grid_summary", per_cell_day),
+        )
+    )
+    # All pairs of points and cells, by the shapes' own formulas instead of rings.
+    sql["points_in_cells"] = f"""with points as (
+      select user_id % 120 + 0.37 as x, cast(json_extract_string(props, '$.k') as integer) % 30 + 0.41 as y, value from events
+    ), cells as (
+      select cast(s_suppkey as varchar) as grid_id, s_suppkey % 3 as kind, s_suppkey * 7 % 120 as x0, s_suppkey * 3 % 30 as y0,
+             case when s_suppkey % 40 = 0 then 60 else 2 end as side from supplier
+    ), placed as (
+      select p.x, p.y, p.value, grid_id from points p left join cells c on case
+        when kind = 0 then x > x0 and x < x0 + side and y > y0 and y < y0 + side and not (x > x0 + side / 2 and y > y0 + side / 2)
+        when kind = 1 then x > x0 and y > y0 and (x - x0) + (y - y0) < side
+        else y > y0 and y < y0 + side and (x > x0 and x < x0 + side or x > x0 + 2 * side and x < x0 + 3 * side) end)
+    select grid_id, count(*) as n_points, {d('sum(cast(value as decimal(18,2)))')} as total_value from placed group by grid_id"""
+    folded = """usual as (
+      select grid_id, extract(hour from timestamp) as hour,
+             round(cast(avg(cast(total_activity as double)) as decimal(28,12)), 6) as usual_activity from spine group by all),
+    short as (
+      select s.grid_id, timestamp, total_activity, usual_activity,
+             row_number() over (partition by s.grid_id order by timestamp) as i,
+             coalesce(round(cast(1 - cast(total_activity as double) / nullif(cast(usual_activity as double), 0) as decimal(28,12)), 6)
+                      - 0.5, 0) as shortfall
+      from spine s join usual u on u.grid_id = s.grid_id and u.hour = extract(hour from timestamp)),
+    fold as (
+      select grid_id, i, greatest(0, shortfall)::decimal(28,6) as score from short where i = 1
+      union all
+      select f.grid_id, s.i, greatest(0, f.score + s.shortfall)::decimal(28,6)
+      from fold f join short s on s.grid_id = f.grid_id and s.i = f.i + 1),
+    dropped as (
+      select s.grid_id, timestamp, total_activity, usual_activity, score as drop_score
+      from short s join fold f on f.grid_id = s.grid_id and f.i = s.i where score >= 6)"""
+    recursive = with_ctes(*BASE, SPINE, folded).replace("with ", "with recursive ", 1)
+    sql["drop_hours"] = recursive + (
+        f"select grid_id, timestamp, {rows('total_activity', 'usual_activity', 'drop_score')}, 'DROP' as alert_type from dropped"
+    )
+    sql["drop_episodes"] = recursive + (
+        "select grid_id, min(timestamp) as start_time, max(timestamp) as end_time, count(*) as n_hours,"
+        f" {d('max(drop_score)')} as depth, {d('sum(usual_activity - total_activity)')} as missing_activity"
+        " from (select *, timestamp - to_hours(cast(row_number() over (partition by grid_id order by timestamp) as integer)) as island"
+        " from dropped) group by grid_id, island"
+    )
     sql["stream_deduplicated"] = base + "select distinct timestamp, grid_id, country_code from clean"
     return sql

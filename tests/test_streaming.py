@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from cellpulse.operators import aggregate, clean
 from cellpulse.session import stored
 from cellpulse.sources import landing
-from cellpulse.streaming import incremental
+from cellpulse.streaming import dedup, incremental
 
 DAYS = ("2013-11-01", "2013-11-02", "2013-11-03")
 
@@ -102,3 +102,33 @@ def test_other_column_order_fails_instead_of_being_misread(spark, tmp_path):
         incremental.copy_new_rows(
             incremental.stream_raw(spark, str(inbox)), str(tmp_path / "out"), str(tmp_path / "state")
         )
+
+
+def test_deduplication_state_is_bounded_and_survives_a_restart(spark, tmp_path):
+    """A day sent again within the delay is recognised, an older one is too late; old keys leave the state."""
+    inbox, out, state = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "state")
+
+    def run():
+        rows = clean.clean_activity(incremental.stream_raw(spark, str(inbox), max_files=1))
+        return dedup.append_unique(rows, out, state, "1 day")
+
+    stored = lambda: spark.read.parquet(out).count()
+    put(inbox, DAYS[0])
+    run()
+    assert stored() == 24
+    put(inbox, DAYS[1])
+    write_day(inbox, "again-1", day_lines(DAYS[1]), name="sms-call-internet-mi-again-1.csv")
+    run()
+    assert stored() == 48
+    put(inbox, DAYS[2])
+    for n, day in (("4", "2013-11-04"), ("5", "2013-11-05")):
+        put(inbox, day)
+        run()
+    write_day(inbox, "again-2", day_lines(DAYS[0]), name="sms-call-internet-mi-again-2.csv")
+    last = run()
+    assert stored() == 120
+    assert sum(b["too_late"] for b in last) == 24
+    assert last[-1]["state_rows"] <= 48
+    assert run() == [] or stored() == 120
+    wanted = aggregate.hourly_grid_summary(clean.clean_activity(landing.read_raw(spark, str(inbox)).where("_source_file not like '%again%'")))
+    assert wanted.count() == 120
