@@ -47,37 +47,66 @@ BACKOFF, FLOOR = 4.0, 0.5
 #: About so many documents, or all of fewer, give words to the model of ordinary identifiers.
 SAMPLE_DOCS = 2000
 MARK = "[SECRET]"
+#: Code points of one block of a text whose spans are replaced.
+BLOCK = 4096
+#: Values of a running sum or maximum that are combined one by one.
+STRIDE = 128
+SPANS = "array<struct<start:int,kind:int,end:int,value:string>>"
 
 
-def _spans(text: Column, pattern: str, kind: int, wanted: Callable[[Column], Column] | None = None) -> Column:
-    """Matches of a pattern with their places: the pieces between them are counted up.
+def _so_far(values: Column, kind: str, combine: Callable[[Column, Column], Column]) -> Column:
+    """For each place of an array, all values up to it combined.
 
-    Of many matches, the few ``wanted`` ones alone are put together.
+    Values are combined inside blocks, and then the blocks' results, so that no long
+    array is appended to one by one. ``combine`` gets null for what comes before the first.
     """
-    none = F.array().cast("array<struct<start:int,kind:int,end:int,value:string>>")
-
-    def places(pieces: Column) -> Column:
-        def add(total: Column, pair: Column) -> Column:
-            start = total["at"] + F.length(pair["piece"])
-            end = start + F.length(pair["found"])
-            span = F.struct(
-                start.alias("start"), F.lit(kind).alias("kind"), end.alias("end"), pair["found"].alias("value")
-            )
-            spans = F.concat(total["spans"], F.array(span))
-            if wanted is not None:
-                spans = F.when(wanted(span), spans).otherwise(total["spans"])
-            return F.struct(end.alias("at"), spans.alias("spans"))
+    none = F.array().cast(f"array<{kind}>")
+    last = lambda a: F.try_element_at(a, F.lit(-1))
+
+    def of(values: Column) -> Column:
+        numbers = F.sequence(F.lit(0), F.floor((F.size(values) - 1) / STRIDE).cast("int"))
+        blocks = F.transform(numbers, lambda b: F.slice(values, b * STRIDE + 1, F.lit(STRIDE)))
+        add = lambda done, x: F.concat(done, F.array(combine(last(done), x)))
+        return let(F.transform(blocks, lambda block: F.aggregate(block, none, add)), joined)
+
+    def joined(blocks: Column) -> Column:
+        add = lambda done, block: F.concat(done, F.array(combine(last(done), last(block))))
+        return let(F.aggregate(blocks, none, add), lambda ends: F.flatten(F.transform(blocks, lambda block, i: moved(block, F.get(ends, i - 1)))))
+
+    def moved(block: Column, before: Column) -> Column:
+        return F.transform(block, lambda x: combine(before, x))
+
+    return F.when(F.size(values) == 0, none).otherwise(let(values, of))
+
+
+def sums(values: Column) -> Column:
+    return _so_far(values, "int", lambda before, x: x + F.coalesce(before, F.lit(0)))
+
+
+def maxima(values: Column) -> Column:
+    return _so_far(values, "int", lambda before, x: F.greatest(x, before))
 
-        zero = F.struct(F.lit(0).alias("at"), none.alias("spans"))
-        return F.aggregate(pieces, zero, add, lambda total: total["spans"])
 
+def _spans(text: Column, pattern: str, kind: int) -> Column:
+    """Matches of a pattern with their places: the lengths of the pieces between them are summed up."""
     pairs = F.zip_with(
         F.split(text, pattern, -1),
         F.regexp_extract_all(text, F.lit(pattern), F.lit(0)),
-        lambda piece, found: F.struct(piece.alias("piece"), found.alias("found")),
+        lambda piece, found: F.struct(F.length(piece).alias("gap"), found.alias("found")),
     )
+
+    def placed(pairs: Column) -> Column:
+        ends = sums(F.transform(pairs, lambda p: p["gap"] + F.length(p["found"])))
+        return F.zip_with(
+            pairs,
+            ends,
+            lambda p, end: F.struct(
+                (end - F.length(p["found"])).alias("start"), F.lit(kind).alias("kind"), end.alias("end"), p["found"].alias("value")
+            ),
+        )
+
     paired = F.filter(pairs, lambda p: p["found"].isNotNull())
-    return F.when(text.rlike(pattern), places(paired)).otherwise(none)
+    return F.when(text.rlike(pattern), let(paired, placed)).otherwise(F.array().cast(SPANS))
 
 
 def value_of(span: Column) -> Column:
@@ -91,47 +120,62 @@ def base_spans(text: Column) -> Column:
     return F.sort_array(F.concat(assigned, _spans(text, ACCESS, 1), _spans(text, HEX, 2)))
 
 
+def apart(spans: Column) -> Column:
+    """Spans in order of start without what earlier ones cover: ``before`` (where these end), ``start`` and ``end`` of the rest.
+
+    A span is ``new`` if it begins outside of them; one that lies within them is null.
+    """
+    reach = maxima(F.transform(spans, lambda s: s["end"]))
+    return F.zip_with(
+        F.zip_with(spans, F.concat(F.array(F.lit(0)), reach), lambda s, r: F.struct(s.alias("s"), r.alias("before"))),
+        reach,
+        lambda x, r: F.when(x["s"].isNotNull() & (x["s"]["end"] > x["before"]), F.struct(
+            x["before"].alias("before"), F.greatest(x["s"]["start"], x["before"]).alias("start"), x["s"]["end"].alias("end"),
+            (x["s"]["start"] >= x["before"]).alias("new"),
+        )),
+    )
+
+
+def replaced(text: Column, spans: Column, by: Callable[[Column], Column]) -> Column:
+    """The text with what spans cover replaced.
+
+    Pieces are taken out of blocks of code points, so that none is searched from the text's beginning.
+    """
+
+    def of(x: Column) -> Column:
+        blocks, parts = x["blocks"], x["parts"]
+
+        def piece(start: Column, end: Column) -> Column:
+            first = F.floor(start / BLOCK).cast("int")
+            last = F.floor((F.greatest(end, start + 1) - 1) / BLOCK).cast("int")
+            joined = F.array_join(F.slice(blocks, first + 1, last - first + 1), "")
+            return F.when(end > start, F.substring(joined, start - first * BLOCK + 1, end - start)).otherwise("")
+
+        changed = F.transform(parts, lambda p: F.concat(piece(p["before"], p["start"]), by(p)))
+        rest = piece(F.array_max(F.transform(spans, lambda s: s["end"])), F.length(text))
+        return F.concat(F.array_join(changed, ""), rest)
+
+    blocks = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{BLOCK}}}"), F.lit(0))
+    parts = F.filter(apart(spans), lambda p: p.isNotNull())
+    known = F.struct(blocks.alias("blocks"), parts.alias("parts"))
+    return F.when(F.size(spans) == 0, text).otherwise(let(known, of))
+
+
 def runs(text: Column, base: Column, score: Callable[[Column], Column]) -> Column:
-    """Runs that the models take for secrets, and those that meet a span of ``base``.
+    """Runs outside of ``base`` that the models take for secrets.
 
-    Every run of the text is judged, once for each value; places are worked out
-    for the few that are found.
+    Base spans are blanked out, so that a run is cut where one meets it. Each
+    value is judged once; places are worked out where a secret is found.
     """
-    lettered = lambda v: v.rlike("[A-Za-z]")  # noqa: E731  a number alone is no secret
-    values = F.array_distinct(F.regexp_extract_all(text, F.lit(RUN), F.lit(0)))
-    values = F.filter(values, lambda v: lettered(v) & (score(v) > THRESHOLD))
-
-    def placed(secrets: Column) -> Column:
-        meets = lambda s: F.exists(base, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))
-        found = _spans(text, RUN, 3, lambda s: F.array_contains(secrets, s["value"]) | meets(s))
-        none = (F.size(secrets) == 0) & (F.size(base) == 0)
-        return F.when(none, F.array().cast("array<struct<start:int,kind:int,end:int,value:string>>")).otherwise(found)
-
-    return let(values, placed)
-
-
-def outside(spans: Column, base: Column) -> Column:
-    """The parts of spans that lie outside of ``base``, which is in order of start: with a letter, of two characters or more."""
-
-    def parts(s: Column) -> Column:
-        met = F.filter(base, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))
-        # Base spans may overlap, so a part begins where all before it have ended.
-        return F.when(F.size(met) == 0, F.array(s)).otherwise(let(met, lambda m: cut(s, m)))
-
-    def cut(s: Column, met: Column) -> Column:
-        ends = lambda i: F.array_max(F.transform(F.slice(met, F.lit(1), i), lambda b: b["end"]))
-        begin = lambda i: F.when(i == 0, s["start"]).otherwise(F.greatest(s["start"], ends(i)))
-        end = lambda i: F.least(s["end"], F.coalesce(F.get(met, i)["start"], s["end"]))
-        part = lambda i: F.struct(
-            begin(i).alias("start"),
-            s["kind"].alias("kind"),
-            end(i).alias("end"),
-            F.substring(s["value"], begin(i) - s["start"] + 1, F.greatest(end(i) - begin(i), F.lit(0))).alias("value"),
-        )
-        return F.transform(F.sequence(F.lit(0), F.size(met)), part)
+    secret = lambda v: v.rlike("[A-Za-z]") & (score(v) > THRESHOLD)  # noqa: E731  a number alone is no secret
+    blank = replaced(text, base, lambda p: F.repeat(F.lit(" "), p["end"] - p["start"]))
+
+    def found(text: Column) -> Column:
+        values = F.array_distinct(F.regexp_extract_all(text, F.lit(RUN), F.lit(0)))
+        placed = F.filter(_spans(text, RUN, 3), lambda s: secret(s["value"]))
+        return F.when(F.exists(values, secret), placed).otherwise(F.array().cast(SPANS))
 
-    left = F.flatten(F.transform(spans, parts))
-    return F.filter(left, lambda s: (F.length(s["value"]) > 1) & s["value"].rlike("[A-Za-z]"))
+    return let(blank, found)
 
 
 # ---------------------------------------------------------------- models
@@ -229,8 +273,7 @@ def scan(docs: DataFrame, carried: list[str], text: str = "text", key: str = "do
         lambda x: F.struct(x["base"].alias("base"), runs(x["text"], x["base"], score).alias("runs")),
     )
     found = stored(found.select("row", both.alias("b")).select("row", "b.base", "b.runs"), "found")
-    secret = F.filter(outside(F.col("runs"), F.col("base")), lambda s: score(s["value"]) > THRESHOLD)
-    return found.select("row", "base", F.sort_array(F.concat("base", secret)).alias("spans"))
+    return found.select("row", "base", F.sort_array(F.concat("base", "runs")).alias("spans"))
 
 
 def listed(spans: Column) -> Column:
@@ -253,25 +296,8 @@ def report(docs: DataFrame) -> DataFrame:
 
 def redacted(text: Column, spans: Column) -> Column:
     """The text with every span, or chain of overlapping spans, replaced by a mark."""
-
-    def of(chars: Column) -> Column:
-        # A span counts from where the ones before it end; one that lies within them adds nothing.
-        reach = lambda i: F.coalesce(
-            F.array_max(F.transform(F.slice(spans, F.lit(1), i), lambda s: s["end"])), F.lit(0)
-        )
-        part = lambda start, end: F.array_join(
-            F.slice(chars, start + 1, F.greatest(end - start, F.lit(0))), ""
-        )
-        before = F.transform(
-            spans,
-            lambda s, i: F.when(s["start"] < reach(i), "").otherwise(
-                F.concat(part(reach(i), s["start"]), F.lit(MARK))
-            ),
-        )
-        rest = let(F.array_max(F.transform(spans, lambda s: s["end"])), lambda end: part(end, F.size(chars)))
-        return F.concat(F.array_join(before, ""), rest)
-
-    return F.when(F.size(spans) == 0, text).otherwise(let(F.split(text, ""), of))
+    # A span that begins inside of earlier ones adds to their mark.
+    return replaced(text, spans, lambda p: F.when(p["new"], MARK).otherwise(""))
 
 
 def redact(docs: DataFrame, text: str = "text", n_chars: str = "n_chars") -> DataFrame:

@@ -106,14 +106,46 @@ def test_what_is_left_of_a_run_beside_a_base_span(spark):
     assert key not in clean[300] and key not in clean[301]
 
 
-def test_outside_keeps_the_parts(spark):
-    span = "struct<start:int,kind:int,end:int,value:string>"
-    value = "abcdefghijklmnopqrst"
+def test_runs_keep_the_parts_outside_of_base_spans(spark):
+    text = "-----abcdefghijklmnopqrst-----" + "." * 12
     base = [(0, 0, 7, ""), (9, 1, 12, ""), (10, 2, 11, ""), (12, 2, 14, ""), (24, 2, 40, "")]
-    rows = spark.createDataFrame([([(5, 3, 25, value)], base), ([(5, 3, 25, value)], [])], f"spans array<{span}>, base array<{span}>")
-    first, second = rows.select(s.outside(F.col("spans"), F.col("base")).alias("o")).collect()
-    assert [(p.start, p.end, p.value) for p in first.o] == [(7, 9, "cd"), (14, 24, value[9:19])]
-    assert [(p.start, p.end, p.value) for p in second.o] == [(5, 25, value)]
+    rows = spark.createDataFrame([(text, base), (text, [])], f"t string, base {s.SPANS}")
+    score = lambda v: F.length(v) * F.lit(100.0)
+    first, second = rows.select(s.runs(F.col("t"), F.col("base"), score).alias("o")).collect()
+    assert [(p.start, p.end, p.value) for p in first.o] == [(7, 9, "cd"), (14, 24, text[14:24])]
+    assert [(p.start, p.end, p.value) for p in second.o] == [(5, 25, text[5:25])]
+
+
+def test_replacing_spans_of_long_texts(spark):
+    rng = random.Random(3)
+    rows, expected = [], []
+    for n in (0, 1, 5, 60):
+        text = "".join(rng.choices("ab é😀\n", k=20_000))
+        spans = sorted((a, 0, a + rng.choice([1, 3, 500, 5000]), "") for a in (rng.randrange(15_000) for _ in range(n)))
+        rows.append((text, spans))
+        out, at = "", 0
+        for a, _, b, _ in spans:
+            if a >= at:
+                out += text[at:a] + s.MARK
+            at = max(at, b)
+        expected.append(out + text[at:])
+    found = spark.createDataFrame(rows, f"t string, s {s.SPANS}").select(s.redacted(F.col("t"), F.col("s")).alias("o")).collect()
+    assert [r.o for r in found] == expected
+
+
+def test_many_matches_in_one_text(spark):
+    """A text of 240 KB with 16,000 assignments takes seconds, and so does cutting its runs."""
+    import time
+
+    own = [" ".join(f"token={i:06d}" for i in range(16_000)), "token=abcdef1 " * 4000 + "X9QZ7vK2pZ4wT8mB3nR6yL1c"]
+    docs = frame(spark, own)
+    begin = time.time()
+    first, second = sorted(s.report(docs).collect(), key=lambda r: r.doc_id)
+    assert time.time() - begin < 60
+    assert first.n_assign == 16_000 and first.base_sha256 == hashlib.sha256(listed(plain(own[0])).encode()).hexdigest()
+    assert second.n_assign == 4000
+    clean = sorted(s.redact(docs).collect(), key=lambda r: r.doc_id)
+    assert clean[0].text == " ".join([s.MARK] * 16_000)
 
 
 def test_the_ratio_decides_about_short_runs(spark):
