@@ -107,7 +107,7 @@ def test_what_is_left_of_a_run_beside_a_base_span(spark):
 
 
 def test_runs_keep_the_parts_outside_of_base_spans(spark):
-    text = "-----abcdefghijklmnopqrst-----" + "." * 12
+    text = "....." + "abcdefghijklmnopqrst" + "." * 17
     base = [(0, 0, 7, ""), (9, 1, 12, ""), (10, 2, 11, ""), (12, 2, 14, ""), (24, 2, 40, "")]
     rows = spark.createDataFrame([(text, base), (text, [])], f"t string, base {s.SPANS}")
     score = lambda v: F.length(v) * F.lit(100.0)
