@@ -28,7 +28,7 @@ gives an empty result. Only the named columns are read.
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import cache
 from math import comb
 
@@ -38,15 +38,17 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cellpulse.llm.collocations import _bitmap, _passes, _probes
 from cellpulse.llm.common import SPACE, SPACES, stored
+from cellpulse.session import discard
 
 WIDTH = 5
 MIN_JACCARD = 0.8
 PLACES = 128
 #: Least share of pairs at the threshold that are found, whatever is split.
 RECALL = 0.9998
-#: Buckets up to this size are compared pair by pair; larger ones are split on, in rounds of so many levels.
-LEAF, LEVELS, ROUNDS = 200, 2, 2
+#: Buckets up to this size are compared pair by pair (half a megabyte of signatures); larger ones are split on, in rounds of so many levels.
+LEAF, LEVELS, ROUNDS = 2048, 2, 2
 #: Signatures that agree in fewer places are no candidates: four standard deviations below the threshold.
 CANDIDATE = 0.8 - 4 * (0.8 * 0.2 / PLACES) ** 0.5
 #: Sets in one block of an exact comparison.
@@ -103,11 +105,11 @@ def shingles(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def signatures(texts: list[str]) -> np.ndarray:
-    """A row of ``PLACES`` smallest hashes for each text."""
+    """A row of ``PLACES`` smallest hashes for each text, the low 16 bits of each."""
     hashes, starts = shingles(texts)
-    found = np.empty((len(texts), PLACES), np.uint32)
+    found = np.empty((len(texts), PLACES), np.uint16)
     for k in range(PLACES):
-        found[:, k] = np.minimum.reduceat(((hashes * _SCALE[k] + _SHIFT[k]) >> _U(32)).astype(np.uint32), starts)
+        found[:, k] = np.minimum.reduceat(((hashes * _SCALE[k] + _SHIFT[k]) >> _U(32)).astype(np.uint32), starts).astype(np.uint16)
     return found
 
 
@@ -174,51 +176,75 @@ def normal(text: Column) -> Column:
     return F.regexp_replace(F.btrim(text, F.lit(SPACES)), SPACE + "+", " ")
 
 
-def signed(docs: DataFrame, key: str, text: str, runs: int) -> DataFrame:
-    """``doc_id`` (as text), ``copy_key``, ``signature`` and root ``nodes`` of every document that has words."""
-    places = root_places(runs, MIN_JACCARD)
-    run_of = np.array([r for r, _ in places], _U)
-    place_of = np.array([k for _, k in places])
+def signed(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """``doc_id`` (as text), ``copy_key`` and ``signature`` of every document that has words."""
 
     def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             texts = list(batch["text"])
             for part in chunks(texts):
-                found = signatures(texts[part])
-                nodes = _node(run_of, place_of, found[:, place_of]).view(np.int64)
                 yield pd.DataFrame(
                     {
                         "doc_id": batch["doc_id"].iloc[part],
                         "copy_key": batch["copy_key"].iloc[part],
-                        "signature": [row.tobytes() for row in found],
-                        "nodes": list(nodes),
+                        "signature": [row.tobytes() for row in signatures(texts[part])],
                     }
                 )
 
     rows = docs.select(F.col(f"`{key}`").cast("string").alias("doc_id"), normal(F.col(f"`{text}`")).alias("text"))
     rows = rows.where(F.col("text") != "").select("doc_id", F.md5("text").alias("copy_key"), "text")
-    return rows.mapInPandas(sign, "doc_id string, copy_key string, signature binary, nodes array<long>")
+    return rows.mapInPandas(sign, "doc_id string, copy_key string, signature binary")
 
 
-# ---------------------------------------------------------------- buckets
+def root_nodes(sets: DataFrame, runs: int) -> DataFrame:
+    """``node`` and ``copy_key`` of every set at its root places; worked out where signatures lie, not stored."""
+    places = root_places(runs, MIN_JACCARD)
+    run_of = np.array([r for r, _ in places], _U)
+    place_of = np.array([k for _, k in places])
 
+    def nodes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            if len(batch):
+                found = _node(run_of, place_of, _decoded(batch["signature"])[:, place_of]).view(np.int64)
+                yield pd.DataFrame({"copy_key": batch["copy_key"], "nodes": list(found)})
 
-def _agreement(rows: np.ndarray) -> np.ndarray:
-    """For all pairs of signatures, the share of equal places."""
-    return (rows[:, None, :] == rows[None, :, :]).mean(axis=2)
+    rows = sets.select("copy_key", "signature").mapInPandas(nodes, "copy_key string, nodes array<long>")
+    return rows.select(F.explode("nodes").alias("node"), "copy_key")
 
 
-def _roots(linked: np.ndarray) -> np.ndarray:
-    """The first member of each one's chain, from a symmetric table of links."""
-    n = len(linked)
-    linked = linked | np.eye(n, dtype=bool)
-    label = np.arange(n)
-    while True:
-        new = np.where(linked, label[None, :], n).min(axis=1)
-        new = new[new]
-        if (new == label).all():
-            return label
-        label = new
+def holding(ids: DataFrame) -> Callable[[Column], Column]:
+    """A test whether an id (text) may be among ``ids``, by a bitmap of a fixed size; it never misses one.
+
+    It spares rows that are surely not meant the shuffle of a join.
+    """
+    hashes = ids.select(F.xxhash64(F.col(ids.columns[0])).alias("id"))
+
+    def places(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            yield pd.DataFrame({"place": _probes(batch["id"].to_numpy().view(_U)).ravel()})
+
+    kept = ids.sparkSession.sparkContext.broadcast(_bitmap(hashes.mapInPandas(places, "place long")))
+
+    @F.pandas_udf("boolean")
+    def holds(hashes: pd.Series) -> pd.Series:
+        return pd.Series(_passes(np.frombuffer(kept.value, np.uint8), hashes.to_numpy().view(_U)))
+
+    return lambda column: holds(F.xxhash64(column))
+
+
+# ---------------------------------------------------------------- buckets
+
+
+def _chains(rows: np.ndarray) -> np.ndarray:
+    """The first member of each one's chain, links being signatures that agree in enough places."""
+    label = np.arange(len(rows))
+    for i in range(len(rows) - 1):
+        near = np.flatnonzero((rows[i + 1 :] == rows[i]).sum(axis=1) >= CANDIDATE * PLACES) + i + 1
+        if len(near):
+            own = np.unique(label[np.append(near, i)])
+            if len(own) > 1:
+                label[np.isin(label, own)] = own[0]
+    return label
 
 
 def _grouped(batches: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[dict[str, np.ndarray]]:
@@ -254,7 +280,7 @@ def _columns(parts: list[pd.DataFrame]) -> dict[str, np.ndarray]:
 
 
 def _decoded(column) -> np.ndarray:
-    return np.frombuffer(b"".join(column), np.uint32).reshape(-1, PLACES)
+    return np.frombuffer(b"".join(column), np.uint16).reshape(-1, PLACES)
 
 
 def _compare_buckets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -263,7 +289,7 @@ def _compare_buckets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for group in _grouped(batches, ["node", "pair"]):
         keys = group["copy_key"]
         if len(keys) > 1:
-            roots = _roots(_agreement(_decoded(group["signature"])) >= CANDIDATE)
+            roots = _chains(_decoded(group["signature"]))
             found += [(keys[i], keys[r]) for i, r in enumerate(roots) if i != r]
         if len(found) > 10_000:
             yield pd.DataFrame(found, columns=["a", "b"])
@@ -305,52 +331,52 @@ def _split(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def _agree(a: Column, b: Column) -> Column:
     """Share of equal places of two signatures, without Python."""
-    cut = lambda s, i: F.substring(s, i * 4 + 1, F.lit(4))
+    cut = lambda s, i: F.substring(s, i * 2 + 1, F.lit(2))
     places = F.sequence(F.lit(0), F.lit(PLACES - 1))
     return F.size(F.filter(places, lambda i: cut(a, i) == cut(b, i))) / F.lit(PLACES)
 
 
-def candidates(sets: DataFrame) -> DataFrame:
-    """Links ``a``, ``b`` of candidate chains among distinct sets (``copy_key``, ``signature``, ``nodes``)."""
+def candidates(sets: DataFrame, runs: int) -> DataFrame:
+    """Links ``a``, ``b`` of candidate chains among distinct sets (``copy_key``, ``signature``)."""
     slim = sets.select("copy_key", "signature")
-    rows = sets.select(F.explode("nodes").alias("node"), "copy_key")
-    sizes = _sizes(rows)
-    buckets, links = _small(rows, sizes), None
-    rest = rows.join(sizes.where(F.col("n") > LEAF).select("node"), "node", "left_semi")
+    rows = root_nodes(sets, runs)
+    members = stored(rows.join(_sizes(rows), "node"), "buckets")
+    buckets, links, used = members.where(F.col("n") <= LEAF).select("node", F.lit(0).alias("pair"), "copy_key"), None, [members]
+    rest = members.where(F.col("n") > LEAF).select("node", "copy_key")
     for turn in range(ROUNDS + 1):
-        if sizes.where(F.col("n") > LEAF).isEmpty():
+        if rest.isEmpty():
             break
         stars, rest = _around_first(rest, slim)
         links = stars if links is None else links.unionByName(stars)
         if turn == ROUNDS:  # what no split has made small is compared in blocks
             counts = rest.groupBy("node").agg(F.count("*").alias("n"))
-            # Twice a bucket's size: larger blocks need fewer copies of their rows.
-            blocks = F.ceil(F.col("n") / (2 * LEAF)).cast("int")
+            blocks = F.ceil(F.col("n") / LEAF).cast("int")
             blocked = _in_blocks(rest.join(counts, "node"), "node", blocks)
             buckets = buckets.unionByName(blocked.select("node", "pair", "copy_key"))
             break
         # A path needs its own set only, so a hot bucket is dealt out by sets.
         deep = rest.select("node", "copy_key", "signature").repartition("copy_key")
         deep = stored(deep.mapInPandas(_split, "node long, parent long, depth int, copy_key string"), "paths")
-        sizes = _sizes(deep)
-        large = sizes.where(F.col("n") > LEAF).select("node")
-        below = deep.where("depth > 1").join(large.withColumnRenamed("node", "parent"), "parent", "left_semi")
-        split = deep.where("depth = 1").unionByName(below.select(deep.columns))
-        buckets = buckets.unionByName(_small(split.select("node", "copy_key"), sizes))
-        rest = deep.where(F.col("depth") == LEVELS).select("node", "copy_key").join(large, "node", "left_semi")
+        # A node's own size, and whether its parent is large and so split further, are known for every path.
+        sized = stored(deep.join(_sizes(deep), "node"), "buckets")
+        used += [deep, sized]
+        large = sized.where((F.col("n") > LEAF) & (F.col("depth") < LEVELS)).select(F.col("node").alias("parent")).distinct()
+        below = sized.where("depth > 1").join(large, "parent", "left_semi")
+        small = sized.where("depth = 1").unionByName(below.select(sized.columns)).where(F.col("n") <= LEAF)
+        buckets = buckets.unionByName(small.select("node", F.lit(0).alias("pair"), "copy_key"))
+        rest = sized.where((F.col("depth") == LEVELS) & (F.col("n") > LEAF)).select("node", "copy_key")
     compared = stored(_in_buckets(buckets.join(slim, "copy_key")), "links")
-    return compared if links is None else compared.unionByName(links)
+    if links is None:
+        discard(*used)
+        return compared
+    both = stored(compared.unionByName(links), "links")
+    discard(compared, *used)
+    return both
 
 
 def _sizes(rows: DataFrame) -> DataFrame:
-    """Nodes that hold more than one set."""
-    return stored(rows.groupBy("node").agg(F.count("*").alias("n")).where("n > 1"), "buckets")
-
-
-def _small(rows: DataFrame, sizes: DataFrame) -> DataFrame:
-    """The rows of buckets that are compared pair by pair."""
-    small = rows.join(sizes.where(F.col("n") <= LEAF).select("node"), "node", "left_semi")
-    return small.select("node", F.lit(0).alias("pair"), "copy_key")
+    """Nodes that hold more than one set, and how many."""
+    return stored(rows.groupBy("node").agg(F.count("*").alias("n")).where("n > 1"), "sizes")
 
 
 def _around_first(rows: DataFrame, slim: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -402,7 +428,8 @@ def components(links: DataFrame) -> DataFrame:
         # The member itself goes to the smallest one, and so do its other smaller neighbours.
         small = small.select(F.when(F.col("b") == F.col("m"), F.col("a")).otherwise(F.col("b")).alias("x"), "a", "m")
         pairs = small.select(F.explode(F.array_distinct(F.array("x", "a"))).alias("a"), F.col("m").alias("b"))
-        edges = stored(pairs.distinct(), "edges")
+        edges, earlier = stored(pairs.distinct(), "edges"), edges
+        discard(earlier)
         now = edges.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b"))).first()
         if now == before:
             return edges.select(F.col("a").alias("member"), F.col("b").alias("root"))
@@ -474,10 +501,10 @@ def links_of(docs: DataFrame, reps: DataFrame, chains: DataFrame, key: str, text
     sizes = chains.groupBy("root").agg((F.count("*") + 1).alias("n"))
     everyone = chains.unionByName(chains.select(F.col("root").alias("member"), "root").distinct())
     wanted = everyone.join(sizes, "root").join(reps, F.col("member") == F.col("copy_key"))
-    wanted = wanted.select("root", "n", "copy_key", F.coalesce("rep", "copy_key").alias("found_by"))
+    wanted = stored(wanted.select("root", "n", "copy_key", F.coalesce("rep", "copy_key").alias("found_by")), "wanted")
     rows = docs.select(F.col(f"`{key}`").cast("string").alias("id"), F.col(f"`{text}`").alias("text"))
     rows = rows.select(F.coalesce("id", F.md5(normal(F.col("text")))).alias("by"), "text")
-    rows = rows.join(wanted, F.col("by") == F.col("found_by"))
+    rows = rows.where(holding(wanted.select("found_by"))(F.col("by"))).join(wanted, F.col("by") == F.col("found_by"))
     rows = rows.where(F.md5(normal(F.col("text"))) == F.col("copy_key"))
     rows = rows.select("root", "n", "copy_key", "text").dropDuplicates(["copy_key"])
     blocks = F.ceil(F.col("n") / BLOCK).cast("int")
@@ -493,18 +520,19 @@ def jaccard_join(docs: DataFrame, key: str = "doc_id", text: str = "text", runs:
     that links lead to; ``n_links`` counts the other texts it is linked to.
     """
     kind = docs.schema[key].dataType.simpleString()
-    members = stored(signed(docs, key, text, runs or runs_for(RECALL)), "signed")
+    found = stored(signed(docs, key, text), "signed")
     ids = F.col("doc_id").cast(kind)
-    sets = members.groupBy("copy_key").agg(
-        F.min(ids).alias("rep"),
-        F.count("*").alias("n_copies"),
-        F.any_value("signature").alias("signature"),
-        F.any_value("nodes").alias("nodes"),
+    sets = found.groupBy("copy_key").agg(
+        F.min(ids).alias("rep"), F.count("*").alias("n_copies"), F.any_value("signature").alias("signature")
     )
     sets = stored(sets, "sets")
+    members = stored(found.select("doc_id", "copy_key"), "members")
+    discard(found)
     reps = sets.select("copy_key", F.col("rep").cast("string").alias("rep"))
-    chains = components(candidates(sets))
+    near = candidates(sets, runs or runs_for(RECALL))
+    chains = components(near)
     links = stored(links_of(docs, reps, chains, key, text), "links")
+    discard(near, chains)
     linked = links.groupBy(F.col("a").alias("linked_key")).agg(F.sum("n_links").alias("n_links")).where("n_links > 0")
     roots = components(links.select("a", "b"))
     numbers = sets.select("copy_key", F.col("rep").alias("copy_id"), "n_copies")
@@ -519,6 +547,7 @@ def jaccard_join(docs: DataFrame, key: str = "doc_id", text: str = "text", runs:
         F.coalesce("root", "copy_key").alias("root"),
     ).where("n_copies > 1 or n_links > 0")
     known = stored(known, "known")
+    discard(sets, links)
     smallest = known.groupBy(F.col("root").alias("of_root")).agg(F.min("copy_id").alias("class_id"))
     known = known.join(smallest, F.col("root") == F.col("of_root")).select(
         F.col("copy_key").alias("known_key"), "root", "copy_id", "n_copies", "n_links", "class_id"
@@ -574,9 +603,12 @@ def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     rows = docs.select(
         F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"),
         F.coalesce(F.col(f"`{key}`").cast("string"), F.lit("")).alias("id"),
-        F.md5(normal(F.col(f"`{text}`"))).alias("copy_key"),
     )
-    rows = rows.join(decided, (F.col("id") == F.col("of_id")) & (F.col("copy_key") == F.col("of_key")), "left")
-    once = rows.where("goes is null").select("row.*")
-    first = rows.where("not goes").dropDuplicates(["id", "copy_key"]).select("row.*")
-    return once.unionByName(first)
+    # Most rows are surely not decided about; they stay where they lie.
+    rows = rows.withColumn("met", holding(decided.select("of_id"))(F.col("id")))
+    met = rows.where("met").withColumn("copy_key", F.md5(normal(F.col(f"row.`{text}`"))))
+    met = met.join(decided, (F.col("id") == F.col("of_id")) & (F.col("copy_key") == F.col("of_key")), "left")
+    once = met.where("goes is null").select("row.*")
+    first = met.where("not goes").dropDuplicates(["id", "copy_key"]).select("row.*")
+    discard(found)
+    return rows.where("not met").select("row.*").unionByName(once).unionByName(first)

@@ -123,8 +123,8 @@ def test_blocks_count_every_pair_once():
 
 def test_pairs_at_the_threshold_meet_below_all_splits():
     rng = np.random.default_rng(6)
-    one = rng.integers(0, 1 << 32, (400, n.PLACES), np.uint32)
-    other = np.where(rng.random(one.shape) < n.MIN_JACCARD, one, rng.integers(0, 1 << 32, one.shape, np.uint32))
+    one = rng.integers(0, 1 << 16, (400, n.PLACES), np.uint16)
+    other = np.where(rng.random(one.shape) < n.MIN_JACCARD, one, rng.integers(0, 1 << 16, one.shape, np.uint16))
     runs = n.runs_for(n.RECALL)
     places = n.root_places(runs, n.MIN_JACCARD)
     run, place = (np.array(x) for x in zip(*places, strict=True))
