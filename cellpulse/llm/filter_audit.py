@@ -1,12 +1,13 @@
 """What each filter of a chain removes, for every order in which the filters could be applied.
 
-One id table is stored for each filter: the ids of the documents that fail it,
-and once more those of them with a label, found by left-semi joins. The tables lie in buckets
-of the same ids, so that all later joins are made where the rows lie. For a filter and
-any set of filters before it, a left-anti join gives the ids it removes itself
-and a left-semi join those that were gone already. Which filters come before is all that
-matters, not their order among themselves, so five filters need 16 joins of each kind for every
-filter; the 120 orders are put together from the counts.
+One id table is stored for each filter: the ids of the documents that fail it. All ids
+go through these tables one after the other: a left-semi join gives those that a
+filter removes, a left-anti join its survivors, and both go on, marked by what they
+have failed. So the survivors of every prefix of the chain, and what each
+further filter takes from them or finds gone already, stand apart at the end. Labels are
+id tables of the same kind; a semi join with them marks what a removal loses.
+Which filters come before a step is all that matters, not their order, so the steps of all 120
+orders are sums over at most 128 groups of ids a part.
 
 An id is two hashes: one of ``doc_id`` and one of the id, the part and the text. Defined cases:
 a null text is empty; a null part is the part ``""``; a null id has no label and is no
@@ -18,25 +19,23 @@ table gives an empty result. Only the named columns are read.
 
 from __future__ import annotations
 
-import uuid
 from itertools import combinations, permutations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cellpulse.llm.common import stored, words_of
-from cellpulse.session import discard, remove, scratch_path
+from cellpulse.session import discard
 
 MIN_WORDS, MIN_DISTINCT_PERCENT, MAX_UPPER_PERCENT = 50, 65, 5
 SYMBOLS = "#$%&*|"
 KEYS = ["id_hash", "row_hash"]
-ALL, GOOD, TOXIC = 0, 1, 2
+#: How labels are marked among the letters of the filters.
+LABELS = {"g": "quality", "t": "toxic"}
 
 
 def conditions(text: Column) -> dict[str, Column]:
-    """The failure conditions that a text decides alone."""
-
+    """What the failure conditions ask of a text."""
     n_upper = F.length(text) - F.length(F.regexp_replace(text, "[A-Z]+", ""))
     words = words_of(text)
     return {
@@ -81,80 +80,58 @@ def failing(facts: DataFrame) -> dict[str, DataFrame]:
     return {name: r.select("doc_id", "part", *KEYS) for name, r in rows.items()}
 
 
-class IdTables:
-    """One stored table for each filter, all in the same buckets, until the block ends."""
-
-    def __init__(self, spark: SparkSession):
-        self.spark, self.made = spark, []
-        self.buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-
-    def add(self, rows: DataFrame) -> DataFrame:
-        name, path = f"failing_ids_{uuid.uuid4().hex}", scratch_path(self.spark, "failing")
-        self.made.append((name, path))
-        dealt = rows.repartition(self.buckets, *KEYS)
-        dealt.write.bucketBy(self.buckets, *KEYS).sortBy(*KEYS).option("path", path).saveAsTable(name)
-        return self.spark.table(name)
-
-    def __enter__(self) -> IdTables:
-        return self
-
-    def __exit__(self, *_: object) -> None:
-        for name, path in self.made:
-            self.spark.sql(f"drop table if exists {name}")
-            remove(self.spark, [path])
-
-
-def with_labels(ids: DataFrame, labels: DataFrame) -> DataFrame:
-    """The failing ids, and again those with a label that is lost with them; ``kind`` tells which."""
-    found = ids.withColumn("kind", F.lit(ALL))
-    for kind, column in ((GOOD, "quality"), (TOXIC, "toxic")):
-        marked = labels.where(F.col(column) == 1).select("doc_id")
-        found = found.unionByName(ids.join(marked, "doc_id", "left_semi").withColumn("kind", F.lit(kind)))
-    return found.select("part", *KEYS, "kind")
-
-
-def counts_of(name: str, tables: dict[str, DataFrame]) -> DataFrame:
-    """``part``, ``before`` (a set of filters), ``what`` and how many ids a filter removes or finds gone after them."""
-    own, found = tables[name], None
-    others = [x for x in tables if x != name]
-    for size in range(len(others) + 1):
-        for before in combinations(others, size):
-            removed, gone = own, None
-            for k, other in enumerate(before):
-                earlier = tables[other].select(*KEYS)
-                if k == size - 1:
-                    gone = removed.where(F.col("kind") == ALL).join(earlier, KEYS, "left_semi")
-                removed = removed.join(earlier, KEYS, "left_anti")
-            rows = removed.select("part", F.lit("".join(before)).alias("before"), F.col("kind").alias("what"))
-            if gone is not None:
-                # Those that the last of the set has taken; the rest were gone after the sets without it.
-                rows = rows.unionByName(gone.select("part", F.lit("".join(before)).alias("before"), F.lit(3).alias("what")))
-            found = rows if found is None else found.unionByName(rows)
-    counted = found.groupBy("part", "before", "what").agg(F.count("*").alias("n"))
-    return counted.withColumn("filter", F.lit(name))
+def labelled(facts: DataFrame, labels: DataFrame) -> dict[str, DataFrame]:
+    """For each kind of label, the ids that have it."""
+    of = lambda column: labels.where(F.col(column) == 1).select("doc_id")
+    return {mark: facts.join(of(column), "doc_id", "left_semi") for mark, column in LABELS.items()}
+
+
+def divide(rows: DataFrame, mark: str, ids: DataFrame) -> DataFrame:
+    """Rows that an id table holds, marked, and those that it does not."""
+    taken = rows.join(ids, KEYS, "left_semi").withColumn("failed", F.concat("failed", F.lit(mark)))
+    return taken.unionByName(rows.join(ids, KEYS, "left_anti"))
+
+
+def groups_of(facts: DataFrame, tables: dict[str, DataFrame]) -> DataFrame:
+    """``part``, ``failed`` (the marks of all id tables that hold an id, in order) and ``n``."""
+    rows = stored(facts.select("part", *KEYS, F.lit("").alias("failed")), "ids")
+    for mark, ids in tables.items():
+        ids = stored(ids.select(*KEYS).distinct(), f"ids_{mark}")
+        divided = stored(divide(rows, mark, ids), "divided")
+        discard(rows, ids)
+        rows = divided
+    counts = stored(rows.groupBy("part", "failed").agg(F.count("*").alias("n")), "groups")
+    discard(rows)
+    return counts
 
 
 def audit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", part: str = "source") -> DataFrame:
     """One row per part, order of the filters and step; ``labels`` has ``doc_id``, ``quality`` and ``toxic``."""
-    spark = docs.sparkSession
     facts = stored(measured(docs, key, text, part), "facts")
-    labels = labels.select("doc_id", "quality", "toxic")
-    counts = None
-    with IdTables(spark) as kept:
-        tables = {name: kept.add(with_labels(ids, labels)) for name, ids in failing(facts).items()}
-        for name in tables:
-            one = stored(counts_of(name, tables), "counts")
-            counts = one if counts is None else counts.unionByName(one)
-    sizes = stored(facts.groupBy("part").agg(F.count("*").alias("n_docs")), "sizes")
+    filters = failing(facts)
+    groups = groups_of(facts, filters | labelled(facts, labels))
     discard(facts)
-    return _by_order(sizes, counts, "".join(tables))
+    return by_order(groups, "".join(filters))
 
 
-def _by_order(sizes: DataFrame, counts: DataFrame, filters: str) -> DataFrame:
-    """All orders and steps of each part, zeros included."""
-    n = lambda what: F.coalesce(F.sum(F.when(F.col("what") == what, F.col("n"))), F.lit(0))
-    known = counts.groupBy("part", "filter", "before").agg(
-        n(ALL).alias("removed"), n(GOOD).alias("good_lost"), n(TOXIC).alias("toxic_lost"), n(3).alias("taken")
+def by_order(groups: DataFrame, filters: str) -> DataFrame:
+    """All orders and steps of each part, zeros included, from the groups of its ids."""
+    sets = [
+        F.struct(F.lit("".join(before)).alias("before"), F.lit(x).alias("filter"))
+        for x in filters
+        for k in range(len(filters))
+        for before in combinations([y for y in filters if y != x], k)
+    ]
+    rows = groups.select("part", "failed", "n", F.inline(F.array(*sets)))
+    fails, gone = F.col("failed").contains(F.col("filter")), F.expr("translate(failed, before, '') <> failed")
+    only = F.expr(f"translate(failed, '{''.join(LABELS)}', '')") == F.col("filter")
+    n = lambda condition: F.coalesce(F.sum(F.when(condition, F.col("n"))), F.lit(0)).cast("long")
+    known = rows.groupBy("part", "before", "filter").agg(
+        n(~fails & ~gone).alias("kept"),
+        n(fails & ~gone).alias("removed"),
+        n(fails & gone).alias("redundant"),
+        n(only).alias("unique_fails"),
+        *[n(fails & ~gone & F.col("failed").contains(mark)).alias(f"{name}_lost") for mark, name in (("g", "good"), ("t", "toxic"))],
     )
     steps = [
         F.struct(
@@ -162,33 +139,21 @@ def _by_order(sizes: DataFrame, counts: DataFrame, filters: str) -> DataFrame:
             F.lit(k + 1).alias("step"),
             F.lit(order[k]).alias("filter"),
             F.lit("".join(sorted(order[:k]))).alias("before"),
-            F.array(*(F.lit("".join(sorted(order[:k])[:j])) for j in range(1, k + 1))).cast("array<string>").alias("sets"),
         )
         for order in permutations(filters)
         for k in range(len(filters))
     ]
-    rows = sizes.select("part", "n_docs", F.explode(F.array(*steps)).alias("s")).select("part", "n_docs", "s.*")
-    own = known.select("part", "filter", "before", "removed", "good_lost", "toxic_lost")
-    rows = rows.join(own, ["part", "filter", "before"], "left")
-    # What was gone before a step: what each filter of the set has taken after those in front of it.
-    by_set = known.groupBy("part", "filter").agg(F.map_from_entries(F.collect_list(F.struct("before", "taken"))).alias("taken"))
-    rows = rows.join(by_set, ["part", "filter"], "left")
-    redundant = F.aggregate(
-        "sets", F.lit(0).cast("long"), lambda total, s: total + F.coalesce(F.try_element_at("taken", s), F.lit(0))
-    )
-    alone = F.when(F.length("before") == len(filters) - 1, F.col("removed"))
-    in_order = Window.partitionBy("part", "filter_order").orderBy("step")
+    parts = groups.select("part").distinct().select("part", F.inline(F.array(*steps)))
     of_filter = Window.partitionBy("part", "filter")
-    zero = lambda c: F.coalesce(c, F.lit(0)).cast("long")
-    return rows.select(
+    return parts.join(known, ["part", "filter", "before"]).select(
         "part",
         "filter_order",
         F.col("step").cast("int").alias("step"),
-        (F.col("n_docs") - zero(F.sum("removed").over(in_order))).alias("kept"),
-        zero(F.col("removed")).alias("removed"),
-        redundant.alias("redundant"),
-        zero(F.max(alone).over(of_filter)).alias("unique_fails"),
-        zero(F.col("good_lost")).alias("good_lost"),
-        zero(F.col("toxic_lost")).alias("toxic_lost"),
-        zero(F.sum("removed").over(of_filter)).alias("shapley"),
+        "kept",
+        "removed",
+        "redundant",
+        "unique_fails",
+        "good_lost",
+        "toxic_lost",
+        F.sum("removed").over(of_filter).alias("shapley"),
     )
