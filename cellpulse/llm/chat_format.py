@@ -170,9 +170,43 @@ def digests(formatted: DataFrame) -> DataFrame:
     )
 
 
+#: Events of one message that a log of turns may hold, and pieces that a text is streamed in.
+EVENTS, PIECES = 1 << 9, 200
+PIECE_CHARS = 32
+
+
 def log_of_turns(conversations: DataFrame) -> DataFrame:
-    """A table of turns as a log of ``message`` events; rows of one turn that differ stay apart."""
-    body = F.struct("turn", F.xxhash64("role", "text").alias("row"))
-    return conversations.select(
-        "conv_id", F.col("turn").alias("seq"), body.alias("message"), F.lit("message").alias("kind"), "role", "text"
+    """A table of turns as the log that a chat would have written.
+
+    An assistant's text is streamed in pieces; by a hash of the turn a third of them are
+    streamed wrongly first and then regenerated. A third of all other texts are
+    sent with a mistake and edited later. Rows of one turn are numbered by role and
+    text, so repeated rows are messages of their own. A row without a turn number is sent as it is.
+    """
+    rows = conversations.select("conv_id", "turn", "role", F.coalesce("text", F.lit("")).alias("text"))
+    same_turn = Window.partitionBy("conv_id", "turn").orderBy(F.coalesce("role", F.lit("")), "text")
+    rows = rows.withColumn("place", F.row_number().over(same_turn) - 1)
+    size = F.greatest(F.lit(PIECE_CHARS), F.ceil(F.length("text") / PIECES).cast("int"))
+    starts = F.sequence(F.lit(0), F.greatest(F.ceil(F.length("text") / F.col("size")).cast("int") - 1, F.lit(0)))
+    pieces = F.transform(starts, lambda i: F.substring("text", i * F.col("size") + 1, F.col("size")))
+    draw = F.pmod(F.xxhash64("conv_id", "turn"), F.lit(3))
+    streamed = (F.col("role") == "assistant") & F.col("turn").isNotNull()
+    rows = rows.withColumn("size", size).select(
+        "conv_id", "turn", "place", "role", "text", pieces.alias("pieces"), draw.alias("draw"), F.coalesce(streamed, F.lit(False)).alias("streamed")
+    )
+    event = lambda kind, role, text: F.array(F.struct(F.lit(kind).alias("kind"), role.alias("role"), text.alias("text")))
+    nothing, wrong = F.lit(None).cast("string"), F.reverse("pieces")
+    deltas = lambda texts: F.transform(texts, lambda t: F.struct(F.lit("delta").alias("kind"), nothing.alias("role"), t.alias("text")))
+    opened = event("message", F.col("role"), nothing)
+    stream = F.concat(opened, deltas("pieces"))
+    again = F.concat(opened, deltas(wrong), event("regenerate", nothing, nothing), deltas("pieces"))
+    mistaken = event("message", F.col("role"), F.concat(F.lit("draft: "), F.reverse("text")))
+    edited = F.concat(mistaken, event("edit", nothing, F.col("text")))
+    events = (
+        F.when(F.col("streamed"), F.when(F.col("draw") == 0, again).otherwise(stream))
+        .when((F.col("draw") == 1) & F.col("turn").isNotNull(), edited)
+        .otherwise(event("message", F.col("role"), F.col("text")))
     )
+    number = F.col("turn").cast("long") * (1 << 32) + F.col("place") * EVENTS
+    log = rows.select("conv_id", number.alias("number"), F.struct("turn", "place").alias("message"), F.posexplode(events).alias("k", "e"))
+    return log.select("conv_id", (F.col("number") + F.col("k")).alias("seq"), "message", "e.kind", "e.role", "e.text")

@@ -12,8 +12,9 @@ The cut of the fractional repetition is found without ordering a source:
 holds the cut are looked at one by one.
 
 Defined cases: a null or empty text has no words and none is taken; a null
-source is a source of its own, last in order; rows of equal id share one hash,
-and the part that the cut leaves them is divided evenly; a table without words
+source is a source of its own, last in order; rows of equal id are told apart by their
+texts, and if these are equal too, the part that the cut leaves them is divided evenly (fewer words
+than there are such rows may be left out); a table without words
 gives targets of zero; an empty table gives an empty result.
 """
 
@@ -95,7 +96,11 @@ def mixed(
     max_epochs: int = MAX_EPOCHS,
 ) -> DataFrame:
     """The ``carried`` columns in ``row``, with ``size``, ``source_size``, ``target``, ``taken`` words."""
-    hashed = F.md5(F.concat(F.lit(seed + ":"), F.coalesce(F.col(f"`{key}`").cast("string"), F.lit(""))))
+    # Rows of equal id come in the order of a hash of their texts.
+    hashed = F.concat(
+        F.md5(F.concat(F.lit(seed + ":"), F.coalesce(F.col(f"`{key}`").cast("string"), F.lit("")))),
+        F.md5(F.coalesce(F.col(f"`{text}`"), F.lit(""))),
+    )
     rows = docs.select(
         F.struct(*(F.col(f"`{c}`") for c in carried)).alias("row"),
         F.col(f"`{source}`").alias("source"),

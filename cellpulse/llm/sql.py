@@ -56,7 +56,7 @@ from failed left join marks on failed.source is not distinct from marks.source
 
 CHAT_FORMATTING = r"""
 with turns as (
-  select distinct conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+  select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
   union all values (-1, 0, 'user', '</s>[INST] ok [/INST]'), (-1, 1, 'assistant', '</s>[INST] ok [/INST]')
 ), escaped as (
   select *, regexp_replace(text, '([<\[])(\\*)(/?s>|/?INST\]|</?SYS>>|/?ROLE\])', '\1\\\2\3', 'g') as esc,
@@ -66,7 +66,7 @@ with turns as (
 select conv_id::bigint as conv_id, count(*) as n_turns,
   sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn)) as turns_sha256,
   sum(case when role = 'assistant' then length(text) else 0 end)::bigint as loss_chars,
-  sha256(coalesce(string_agg(text, '' order by turn) filter (where role = 'assistant'), '')) as loss_sha256,
+  sha256(coalesce(string_agg(text, '' order by turn nulls first, role, text) filter (where role = 'assistant'), '')) as loss_sha256,
   sum(length(esc) + 7 + case role when 'assistant' then 0 when 'user' then 13 when 'system' then 15
     else 13 + length(esc_role) end)::bigint as formatted_chars
 from escaped group by conv_id
@@ -75,7 +75,7 @@ from escaped group by conv_id
 MIXING = r"""
 with sized as (
   select doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) as size,
-    md5('mix-1:' || coalesce(doc_id::varchar, '')) as h
+    md5('mix-1:' || coalesce(doc_id::varchar, '')) || md5(coalesce(text, '')) as h
   from documents
 ), sources as (
   select source, sum(size)::bigint as source_size,
@@ -294,10 +294,10 @@ with recursive docs as (
     from texts, range(1, greatest(len(w) - 3, 1) + 1) as p(i)
 ), sizes as (
     select k, count(*) as n from shingles group by k
-), both as (
+), shared as (
     select a.k as a, b.k as b, count(*) as n from shingles a join shingles b on a.s = b.s and a.k < b.k group by all
 ), links as (
-    select a, b from both join sizes x on x.k = a join sizes y on y.k = b where 100 * both.n >= 80 * (x.n + y.n - both.n)
+    select a, b from shared join sizes x on x.k = a join sizes y on y.k = b where 100 * shared.n >= 80 * (x.n + y.n - shared.n)
 ), ways as (
     select a, b from links union all select b, a from links
 ), reach as (

@@ -71,3 +71,28 @@ def test_digests(spark):
         assert r.turns_sha256 == sha("".join(f"{a}\n{b}\n" for a, b in own))
         assert (r.loss_chars, r.loss_sha256) == (len(loss), sha(loss))
     assert c.digests(c.render(c.fold(c.log_of_turns(frame.limit(0))))).count() == 0
+
+
+def test_a_log_has_all_kinds_of_events_and_keeps_repeated_rows(spark):
+    text = "a long answer with </s> and [INST] in it " * 60
+    rows = [(i, t, role, f"{text}{i}") for i in range(40) for t, role in enumerate(["user", "assistant", "user"])]
+    rows += [(1, 1, "assistant", "yes"), (1, 1, "assistant", "yes"), (1, 1, None, None), (2, None, "user", "when"), (3, 1, "assistant", "")]
+    frame = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    log = c.log_of_turns(frame)
+    kinds = {r["kind"]: r["n"] for r in log.groupBy("kind").agg(F.count("*").alias("n")).collect()}
+    assert set(kinds) == set(c.KINDS) and kinds["delta"] > 40 * 50 and kinds["regenerate"] > 3 and kinds["edit"] > 3
+    got = {r.conv_id: r for r in c.digests(c.render(c.fold(log))).collect()}
+    for conv, r in got.items():
+        own = sorted((-1 if t is None else t, role or "", text or "") for i, t, role, text in rows if i == conv)
+        loss = "".join(t for _, role, t in own if role == "assistant")
+        assert r.n_turns == len(own)
+        assert r.turns_sha256 == hashlib.sha256("".join(f"{a}\n{b}\n" for _, a, b in own).encode()).hexdigest()
+        assert r.loss_sha256 == hashlib.sha256(loss.encode()).hexdigest()
+    assert got[1].n_turns == 6
+
+
+def test_a_very_long_text_is_streamed_in_few_pieces(spark):
+    frame = spark.createDataFrame([(1, 0, "assistant", "é" * 300_000)], "conv_id long, turn long, role string, text string")
+    log = c.log_of_turns(frame)
+    assert log.count() <= c.EVENTS
+    assert c.digests(c.render(c.fold(log))).first().loss_chars == 300_000

@@ -79,3 +79,12 @@ def test_empty(spark):
     assert m.mix(empty).count() == 0
     assert m.repeat(empty).count() == 0
     assert [tuple(r) for r in m.mix(docs(spark, [(1, None, None), (2, "", "a")])).select("taken").collect()] == [(0,), (0,)]
+
+
+def test_rows_without_ids_meet_their_target(spark):
+    """One source, no ids, one long document: the cut falls inside the rows of equal id."""
+    rows = [(None, f"w{i} " * (10_000 if i == 0 else 8), "en", "a", 0) for i in range(100)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    taken = m.mix(docs).collect()
+    assert abs(sum(r["taken"] for r in taken) - taken[0]["target"]) <= 1
+    assert all(r["taken"] <= 2 * r["size"] for r in taken)
