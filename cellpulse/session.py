@@ -80,6 +80,12 @@ def remove(spark: SparkSession, paths: list[str]) -> None:
         place.getFileSystem(conf).delete(place, True)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder is there, wherever the session's file systems keep it."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(place)
+
+
 @contextmanager
 def recorded() -> Iterator[list[str]]:
     """The folders of all tables that are stored inside the block."""

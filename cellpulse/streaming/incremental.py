@@ -11,7 +11,7 @@ from cellpulse.operators.aggregate import hourly_grid_summary
 from cellpulse.operators.clean import clean_activity
 from cellpulse.plans.publish import write_by_date
 from cellpulse.schemas import MEASURES, RAW_SCHEMA, SOURCE_COLUMN
-from cellpulse.session import stored
+from cellpulse.session import discard, exists, stored
 from cellpulse.sources.landing import landing_glob, source_part
 
 GRAIN = ("timestamp", "grid_id", "country_code")
@@ -61,8 +61,11 @@ def append_first_deliveries(clean: DataFrame, path: str, checkpoint: str, sums:
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         first = batch.groupBy(*GRAIN).agg(F.min(F.struct(*others)).alias("row"))
-        rows = stored(first.select(*GRAIN, "row.*", F.to_date("timestamp").alias("date")), "first")
+        rows = first.select(*GRAIN, "row.*", F.to_date("timestamp").alias("date"))
+        kept = None
         if batch_id > 0:
+            # Read twice, for its dates and for the join.
+            rows = kept = stored(rows, "first")
             dates = [r["date"] for r in rows.select("date").distinct().collect()]  # a day or a few
             before = (
                 spark.read.schema(schema)
@@ -74,6 +77,7 @@ def append_first_deliveries(clean: DataFrame, path: str, checkpoint: str, sums:
             rows = rows.join(before, same, "left_anti")
         own = f"{path}/batch_id={batch_id}"
         rows.write.mode("overwrite").partitionBy("date").parquet(own)
+        discard(kept)
         if sums:
             added = spark.read.schema(rows.schema).parquet(own)
             write_by_date(_summed(added), f"{sums}/level=0/batch_id={batch_id}")
@@ -113,9 +117,12 @@ SUMS_SCHEMA = (
 def _stored_sums(spark: SparkSession, path: str) -> DataFrame:
     """Sums that count: those of the last compaction, and of the batches after it."""
     found = spark.read.schema(SUMS_SCHEMA).parquet(path)
-    last = found.where("level = 1").agg(F.max("batch_id")).first()[0]  # from folder names and footers
-    if last is None:
+    merged = found.where("level = 1").select("batch_id").distinct().collect()  # from folder names; a few
+    # A compaction counts once its marker is there, so one that is being written is not read in part.
+    done = [r["batch_id"] for r in merged if exists(spark, f"{path}/level=1/batch_id={r['batch_id']}/_SUCCESS")]
+    if not done:
         return found.where("level = 0")
+    last = max(done)
     return found.where((F.col("level") == 1) & (F.col("batch_id") == last) | (F.col("level") == 0) & (F.col("batch_id") > last))
 
 
