@@ -15,13 +15,20 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cellpulse.functions.digest import content_by_date, content_check
-from cellpulse.operators import aggregate, analytics, asof, clean, drops, gate1, gate2, geo, reports, risk, sketches, spatial
+from cellpulse.operators import aggregate, analytics, asof, clean, clusters, drops, gate1, gate2, geo, reports, risk, sketches, spatial
 from cellpulse.plans import ingest, publish
 from cellpulse.plans.batch import run_landing, run_rows, stage_hourly, stage_rows
 from cellpulse.schemas import MEASURES, RAW_COLUMNS
 from cellpulse.session import prepare, scratch_path, stored
 from cellpulse.sources import landing
-from cellpulse.sources.events import area_collections, geojson_of, landing_of, read_activity, write_landing
+from cellpulse.sources.events import (
+    area_collections,
+    geojson_of,
+    landing_of,
+    lattice_collections,
+    read_activity,
+    write_landing,
+)
 from cellpulse.sources.geojson import grid_lookup, read_geojson
 from cellpulse.streaming import dedup, incremental
 from oracle_queries import all_queries
@@ -378,6 +385,13 @@ def q_drop_episodes(spark, sf_dir):
     return present(drops.drop_episodes(drops.drop_hours(_stored_spine(spark, sf_dir))))
 
 
+def q_hotspot_clusters(spark, sf_dir):
+    """Hotspots of cells that lie side by side on a lattice, put together by shared edges."""
+    suppliers = prepare(spark).read.parquet(f"{sf_dir}/supplier.parquet")
+    lookup = stored(grid_lookup(_read_collections(spark, lattice_collections(suppliers))), "lattice")
+    return present(clusters.hotspot_clusters(stored(_hotspots(spark, sf_dir), "hotspots"), lookup))
+
+
 def q_alert_risk(spark, sf_dir):
     """Each alert with the last score at or before it that was not low, and how old that was."""
     features = stored(_features(prepare(spark), sf_dir), "features")
@@ -567,6 +581,7 @@ def activity_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "content_check": q_content_check,
         "published_content": q_published_content,
         "points_in_cells": q_points_in_cells,
+        "hotspot_clusters": q_hotspot_clusters,
         "alert_risk": q_alert_risk,
         "active_cells_by_week": q_active_cells_by_week,
         "activity_distribution": q_activity_distribution,

@@ -187,6 +187,18 @@ def area_collections(suppliers: DataFrame) -> DataFrame:
     return suppliers.select(F.concat(F.lit('{"type":"FeatureCollection","features":['), feature, F.lit("]}")).alias("value"))
 
 
+def lattice_collections(suppliers: DataFrame, width: int = 10) -> DataFrame:
+    """Feature collections as lines of text: unit squares side by side in rows of ``width``, every second one drawn backwards."""
+    key = F.col("s_suppkey")
+    x, y = (key % width).cast("double"), F.floor(key / width).cast("double")
+    corners = [(0, 0), (1, 0), (1, 1), (0, 1), (0, 0)]
+    ring = F.array(*[F.array(x + dx, y + dy) for dx, dy in corners])
+    ring = F.when(key % 2 == 0, F.reverse(ring)).otherwise(ring)
+    geometry = F.to_json(F.struct(F.lit("Polygon").alias("type"), F.array(ring).alias("coordinates")))
+    feature = F.concat(F.lit('{"type":"Feature","properties":{"cellId":'), key, F.lit('},"geometry":'), geometry, F.lit("}"))
+    return suppliers.select(F.concat(F.lit('{"type":"FeatureCollection","features":['), feature, F.lit("]}")).alias("value"))
+
+
 def read_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cell_collections(spark.read.parquet(f"{sf_dir}/supplier.parquet"))
 

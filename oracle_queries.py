@@ -671,6 +671,23 @@ def all_queries() -> dict[str, str]:
         when kind = 1 then x > x0 and y > y0 and (x - x0) + (y - y0) < side
         else y > y0 and y < y0 + side and (x > x0 and x < x0 + side or x > x0 + 2 * side and x < x0 + 3 * side) end)
     select grid_id, count(*) as n_points, {d('sum(cast(value as decimal(18,2)))')} as total_value from placed group by grid_id"""
+    sql["hotspot_clusters"] = risen.rstrip().removesuffix(",").replace("with ", "with recursive ", 1) + f""",
+    lit as (
+      select h.timestamp, h.grid_id, h.total_activity, s_suppkey % 10 as x, s_suppkey // 10 as y
+      from spots h join supplier on cast(s_suppkey as varchar) = h.grid_id where h.hotspot_flag),
+    ways as (
+      select a.timestamp, a.grid_id as a, b.grid_id as b from lit a join lit b
+      on a.timestamp = b.timestamp and abs(a.x - b.x) + abs(a.y - b.y) = 1),
+    reach as (
+      select timestamp, a, b from ways
+      union
+      select r.timestamp, r.a, w.b from reach r join ways w on w.timestamp = r.timestamp and w.a = r.b),
+    placed as (
+      select l.*, least(l.grid_id, coalesce((select min(b) from reach r where r.timestamp = l.timestamp and r.a = l.grid_id), l.grid_id))
+        as cluster from lit l)
+    select timestamp, cluster, count(*) as n_cells, {d('max(total_activity)')} as peak_activity, {d('sum(total_activity)')} as total_activity,
+      cast(min(x) as double) as min_x, cast(min(y) as double) as min_y, cast(max(x) + 1 as double) as max_x, cast(max(y) + 1 as double) as max_y
+    from placed group by timestamp, cluster"""
     sql["active_cells_by_week"] = base + (
         "select cast(date_trunc('week', timestamp) as date) as period, count(distinct grid_id) as active_cells,"
         " true as within_error from hourly group by period"
