@@ -8,7 +8,7 @@ least), and for each chosen place its sets fall apart by the token there.
 Similar sets share a chosen token more than once a level, others hardly ever, so
 buckets get small; a small bucket is compared pair by pair. Runs are repeated
 until a pair at the threshold is found with probability ``RECALL``, even if every
-bucket that holds both is split at all ``ROUNDS`` x ``LEVELS`` levels; ``recall``
+bucket that holds both is split at all levels, ``START`` + ``ROUNDS`` x ``LEVELS``; ``recall``
 works that out from the chosen places. Pairs that fall apart higher up, that are
 more similar or that others connect are left out less often.
 
@@ -48,7 +48,9 @@ PLACES = 128
 #: Least share of pairs at the threshold that are found, whatever is split.
 RECALL = 0.9998
 #: Buckets up to this size are compared pair by pair (half a megabyte of signatures); larger ones are split on, in rounds of so many levels.
-LEAF, LEVELS, ROUNDS = 2048, 2, 2
+LEAF, LEVELS, ROUNDS = 2048, 2, 1
+#: Levels below the root at which sets meet for the first time: three shared tokens make a bucket.
+START = 2
 #: Signatures that agree in fewer places are no candidates: four standard deviations below the threshold.
 CANDIDATE = 0.8 - 4 * (0.8 * 0.2 / PLACES) ** 0.5
 #: Sets in one block of an exact comparison.
@@ -70,6 +72,8 @@ def _constants(seed: int, n: int) -> np.ndarray:
 
 _FACTORS = _constants(1, WIDTH) | _U(1)
 _SCALE, _SHIFT = _constants(2, PLACES) | _U(1), _constants(3, PLACES)
+#: What decides which places a node chooses, and how many: one on average that a pair at the threshold agrees in.
+_DRAWS, _LIMIT = _constants(77, PLACES), _U(int(2.0**64 / (MIN_JACCARD * PLACES)))
 
 
 class _Words(dict):
@@ -159,7 +163,7 @@ def recall(runs: int, depth: int) -> float:
 def runs_for(target: float) -> int:
     """The fewest runs that find pairs at the threshold with this probability at the full depth."""
     runs = 1
-    while recall(runs, ROUNDS * LEVELS) < target:
+    while recall(runs, START + ROUNDS * LEVELS) < target:
         runs += 1
         if runs > 1000:
             raise ValueError(f"a recall of {target} is out of reach with {PLACES} places")
@@ -196,20 +200,27 @@ def signed(docs: DataFrame, key: str, text: str) -> DataFrame:
     return rows.mapInPandas(sign, "doc_id string, copy_key string, signature binary")
 
 
-def root_nodes(sets: DataFrame, runs: int) -> DataFrame:
-    """``node`` and ``copy_key`` of every set at its root places; worked out where signatures lie, not stored."""
+def first_nodes(sets: DataFrame, runs: int) -> DataFrame:
+    """``node`` and ``copy_key`` of every set ``START`` levels below the root places.
+
+    Worked out where signatures lie: a path needs its own set only, so nothing is shuffled or stored above.
+    """
     places = root_places(runs, MIN_JACCARD)
     run_of = np.array([r for r, _ in places], _U)
     place_of = np.array([k for _, k in places])
 
     def nodes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            if len(batch):
-                found = _node(run_of, place_of, _decoded(batch["signature"])[:, place_of]).view(np.int64)
-                yield pd.DataFrame({"copy_key": batch["copy_key"], "nodes": list(found)})
+            for begin in range(0, len(batch), 2048):
+                part = batch.iloc[begin : begin + 2048]
+                tokens = _decoded(part["signature"])
+                node = _node(run_of, place_of, tokens[:, place_of]).ravel()
+                owner = np.repeat(np.arange(len(part)), len(places))
+                for _ in range(START):
+                    node, _, owner = _below(node, owner, tokens)
+                yield pd.DataFrame({"node": node.view(np.int64), "copy_key": part["copy_key"].to_numpy()[owner]})
 
-    rows = sets.select("copy_key", "signature").mapInPandas(nodes, "copy_key string, nodes array<long>")
-    return rows.select(F.explode("nodes").alias("node"), "copy_key")
+    return sets.select("copy_key", "signature").mapInPandas(nodes, "node long, copy_key long")
 
 
 def holding(ids: DataFrame) -> Callable[[Column], Column]:
@@ -285,16 +296,16 @@ def _decoded(column) -> np.ndarray:
 
 def _compare_buckets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Chains of agreeing signatures in small buckets, as links to their first members."""
-    found: list[tuple[str, str]] = []
+    found: list[tuple[int, int]] = []
     for group in _grouped(batches, ["node", "pair"]):
         keys = group["copy_key"]
         if len(keys) > 1:
             roots = _chains(_decoded(group["signature"]))
             found += [(keys[i], keys[r]) for i, r in enumerate(roots) if i != r]
         if len(found) > 10_000:
-            yield pd.DataFrame(found, columns=["a", "b"])
+            yield pd.DataFrame(found, columns=["a", "b"], dtype="int64")
             found = []
-    yield pd.DataFrame(found, columns=["a", "b"], dtype=object)
+    yield pd.DataFrame(found, columns=["a", "b"], dtype="int64")
 
 
 def _chosen(node: np.ndarray, draws: np.ndarray, limit: np.uint64) -> np.ndarray:
@@ -306,19 +317,22 @@ def _chosen(node: np.ndarray, draws: np.ndarray, limit: np.uint64) -> np.ndarray
     return chosen
 
 
+def _below(node: np.ndarray, owner: np.ndarray, tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The children of nodes, their parents, and whose they are; ``owner`` is the row of ``tokens`` of each node."""
+    row, place = np.nonzero(_chosen(node, _DRAWS, _LIMIT))
+    parent, owner = node[row], owner[row]
+    return _node(parent, place, tokens[owner, place]), parent, owner
+
+
 def _split(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """The paths of sets below a large bucket, level by level: each node chooses its places by its own path."""
-    limit = _U(int(2.0**64 / (MIN_JACCARD * PLACES)))
-    draws = _constants(77, PLACES)
     for batch in batches:
         for begin in range(0, len(batch), 4096):
             part = batch.iloc[begin : begin + 4096]
             node, owner = part["node"].to_numpy().view(_U), np.arange(len(part))
             tokens, keys = _decoded(part["signature"]), part["copy_key"].to_numpy()
             for depth in range(1, LEVELS + 1):
-                row, place = np.nonzero(_chosen(node, draws, limit))
-                parent, owner = node[row], owner[row]
-                node = _node(parent, place, tokens[owner, place])
+                node, parent, owner = _below(node, owner, tokens)
                 yield pd.DataFrame(
                     {
                         "node": node.view(np.int64),
@@ -337,9 +351,9 @@ def _agree(a: Column, b: Column) -> Column:
 
 
 def candidates(sets: DataFrame, runs: int) -> DataFrame:
-    """Links ``a``, ``b`` of candidate chains among distinct sets (``copy_key``, ``signature``)."""
+    """Links ``a``, ``b`` of candidate chains among distinct sets (``copy_key``, a number, and ``signature``)."""
     slim = sets.select("copy_key", "signature")
-    rows = root_nodes(sets, runs)
+    rows = first_nodes(sets, runs)
     members = stored(rows.join(_sizes(rows), "node"), "buckets")
     buckets, links, used = members.where(F.col("n") <= LEAF).select("node", F.lit(0).alias("pair"), "copy_key"), None, [members]
     rest = members.where(F.col("n") > LEAF).select("node", "copy_key")
@@ -356,7 +370,7 @@ def candidates(sets: DataFrame, runs: int) -> DataFrame:
             break
         # A path needs its own set only, so a hot bucket is dealt out by sets.
         deep = rest.select("node", "copy_key", "signature").repartition("copy_key")
-        deep = stored(deep.mapInPandas(_split, "node long, parent long, depth int, copy_key string"), "paths")
+        deep = stored(deep.mapInPandas(_split, "node long, parent long, depth int, copy_key long"), "paths")
         # A node's own size, and whether its parent is large and so split further, are known for every path.
         sized = stored(deep.join(_sizes(deep), "node"), "buckets")
         used += [deep, sized]
@@ -404,7 +418,7 @@ def _in_blocks(rows: DataFrame, group: str, blocks: Column) -> DataFrame:
 
 def _in_buckets(rows: DataFrame) -> DataFrame:
     rows = rows.select("node", "pair", "copy_key", "signature").repartition("node", "pair")
-    return rows.sortWithinPartitions("node", "pair").mapInPandas(_compare_buckets, "a string, b string")
+    return rows.sortWithinPartitions("node", "pair").mapInPandas(_compare_buckets, "a long, b long")
 
 
 # ---------------------------------------------------------------- chains
@@ -500,7 +514,7 @@ def links_of(docs: DataFrame, reps: DataFrame, chains: DataFrame, key: str, text
     """
     sizes = chains.groupBy("root").agg((F.count("*") + 1).alias("n"))
     everyone = chains.unionByName(chains.select(F.col("root").alias("member"), "root").distinct())
-    wanted = everyone.join(sizes, "root").join(reps, F.col("member") == F.col("copy_key"))
+    wanted = everyone.join(sizes, "root").join(reps, F.col("member") == F.col("sid"))
     wanted = stored(wanted.select("root", "n", "copy_key", F.coalesce("rep", "copy_key").alias("found_by")), "wanted")
     rows = docs.select(F.col(f"`{key}`").cast("string").alias("id"), F.col(f"`{text}`").alias("text"))
     rows = rows.select(F.coalesce("id", F.md5(normal(F.col("text")))).alias("by"), "text")
@@ -525,11 +539,12 @@ def jaccard_join(docs: DataFrame, key: str = "doc_id", text: str = "text", runs:
     sets = found.groupBy("copy_key").agg(
         F.min(ids).alias("rep"), F.count("*").alias("n_copies"), F.any_value("signature").alias("signature")
     )
-    sets = stored(sets, "sets")
+    # Stored with a number, so that the many rows of the buckets are two numbers each.
+    sets = stored(sets.withColumn("sid", F.monotonically_increasing_id()), "sets")
     members = stored(found.select("doc_id", "copy_key"), "members")
     discard(found)
-    reps = sets.select("copy_key", F.col("rep").cast("string").alias("rep"))
-    near = candidates(sets, runs or runs_for(RECALL))
+    reps = sets.select("sid", "copy_key", F.col("rep").cast("string").alias("rep"))
+    near = candidates(sets.select(F.col("sid").alias("copy_key"), "signature"), runs or runs_for(RECALL))
     chains = components(near)
     links = stored(links_of(docs, reps, chains, key, text), "links")
     discard(near, chains)

@@ -131,15 +131,17 @@ def test_pairs_at_the_threshold_meet_below_all_splits():
     met = []
     for side in (one, other):
         nodes = n._node(run.astype(np.uint64), place, side[:, place])
-        keys = np.repeat(np.arange(len(side)), len(places))
-        rows = pd.DataFrame({"node": nodes.view(np.int64).ravel(), "copy_key": keys})
+        node, keys = nodes.ravel(), np.repeat(np.arange(len(side)), len(places))
+        for _ in range(n.START):
+            node, _, keys = n._below(node, keys, side)
+        rows = pd.DataFrame({"node": node.view(np.int64), "copy_key": keys})
         for _ in range(n.ROUNDS):
             rows["signature"] = [side[i].tobytes() for i in rows["copy_key"]]
             rows = pd.concat(n._split(iter([rows])))
             rows = rows[rows["depth"] == n.LEVELS][["node", "copy_key"]]
         met.append(set(zip(rows["node"], rows["copy_key"], strict=True)))
     missed = 400 - len({i for _, i in met[0] & met[1]})
-    assert n.recall(runs, n.ROUNDS * n.LEVELS) >= n.RECALL >= 0.9998 and missed <= 1
+    assert n.recall(runs, n.START + n.ROUNDS * n.LEVELS) >= n.RECALL >= 0.9998 and missed <= 1
     assert n.runs_for(0.9) < runs < n.runs_for(0.99988)
 
 
