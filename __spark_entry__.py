@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -238,6 +238,31 @@ def q_dashboard_csv(spark, sf_dir):
     return present(spark.read.schema(summary.schema).option("header", True).csv(path))
 
 
+def q_dashboard_csv_order(spark, sf_dir):
+    """The lines of the rollup file in their order: one per hour of the data."""
+    path = scratch_path(prepare(spark), "dashboard")
+    summary = aggregate.dashboard_summary(_hourly(spark, sf_dir))
+    publish.write_dashboard_csv(summary, path)
+    lines = spark.read.schema(summary.schema).option("header", True).csv(path).select(
+        "timestamp", F.input_file_block_start().alias("block"), F.monotonically_increasing_id().alias("place")
+    )
+    in_file = Window.orderBy("block", "place")
+    return present(lines.select(F.row_number().over(in_file).cast("long").alias("line"), "timestamp"))
+
+
+def q_published_views(spark, sf_dir):
+    """The published tables by SQL, joined with each other."""
+    out, _, _, _ = _published(spark, sf_dir)
+    publish.register_views(spark, out, ["hourly_grid_summary", "daily_grid_summary"])
+    return present(
+        spark.sql(
+            "select d.date, count(*) as cells, sum(d.daily_total_activity) as daily, sum(h.total) as hourly"
+            " from daily_grid_summary d join (select date, grid_id, sum(total_activity) as total from hourly_grid_summary"
+            " group by date, grid_id) h on h.date = d.date and h.grid_id = d.grid_id group by d.date"
+        )
+    )
+
+
 def q_gate2_damaged(spark, sf_dir):
     """All checks over tables with a fault for each of them; none may pass."""
     valid = _clean(prepare(spark), sf_dir)
@@ -560,6 +585,8 @@ def activity_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "risk_scores": q_risk_scores,
         "risk_evaluation": q_risk_evaluation,
         "dashboard_csv": q_dashboard_csv,
+        "dashboard_csv_order": q_dashboard_csv_order,
+        "published_views": q_published_views,
         "gate2_damaged": q_gate2_damaged,
         "published_counts": q_published_counts,
         "published_after_refusal": q_published_after_refusal,

@@ -2,6 +2,8 @@
 
 Every aggregation has partial sums before its shuffle, so a cell, hour or
 country with a third of all rows reaches the network as one row per task.
+
+Fixed values: the names of the output columns, which readers of the tables go by.
 """
 
 from __future__ import annotations

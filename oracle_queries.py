@@ -425,6 +425,9 @@ def all_queries() -> dict[str, str]:
     )
 
     sql["dashboard_csv"] = sql["dashboard_summary"]
+    sql["dashboard_csv_order"] = base + (
+        "select row_number() over (order by timestamp) as line, timestamp from (select distinct timestamp from hourly)"
+    )
     sql["grid_lookup"] = with_ctes(LOOKUP) + f"select grid_id, case when is_point then 'Point' end as other_kind, {GEOMETRY} from lookup"
     sql["grid_centroids"] = with_ctes(LOOKUP) + (
         "select grid_id, x + case when has_two then 1.5 else 0.5 end as centroid_x, y + 0.5 as centroid_y,"
@@ -554,6 +557,10 @@ def all_queries() -> dict[str, str]:
         ]
         + ["select 'activity_alerts' as table_name, date, n as row_count from full_alerts where n > 0"]
     )
+    sql["published_views"] = full + (
+        f"select date, count(distinct grid_id) as cells, {d('sum(total_activity)')} as daily, {d('sum(total_activity)')} as hourly"
+        " from full_days group by date"
+    )
     sql["published_after_refusal"] = full + (
         "select date, count(*) as row_count, "
         + ", ".join(f"{d(f'sum({m})')} as {m}" for m in (*MEASURES, "total_activity"))
