@@ -17,6 +17,8 @@ HOTSPOT_RATIO = 2.0
 # Lowest ratio of each alert level, highest level first.
 ALERT_LEVELS = (("CRITICAL", 5.0), ("HIGH", 3.0), ("MEDIUM", 2.0))
 SPIKE = "SPIKE"
+#: Rows of the spine that one task holds, for its aggregation and the sorts of the windows above it.
+SPINE_ROWS = 200_000
 
 
 def hour_statistics(hourly: DataFrame) -> DataFrame:
@@ -103,6 +105,14 @@ def activity_alerts(spots: DataFrame, created_at: datetime, levels=ALERT_LEVELS)
     )
 
 
+def spine_partitions(ids: DataFrame, first: Column, last: Column) -> int:
+    """Tasks for the cells ``grid_id`` of ``ids`` at every hour from ``first`` to ``last``; two at least, so that rows are placed by cell."""
+    hours = (F.unix_seconds(last) - F.unix_seconds(first)) / 3600 + 1
+    sized = ids.agg(F.approx_count_distinct("grid_id").alias("cells")).select("cells", hours.cast("long").alias("hours"))
+    size = sized.first()
+    return max(2, -(-size["cells"] * (size["hours"] or 0) // SPINE_ROWS))
+
+
 def hourly_spine(
     hourly: DataFrame,
     cells: DataFrame | None = None,
@@ -117,7 +127,9 @@ def hourly_spine(
 
     Rows are placed by cell before the aggregation. It has next to nothing to
     combine, as both sides are unique per cell and hour, and windows by cell can
-    follow without another shuffle.
+    follow without another shuffle. The number of partitions follows from cells
+    and hours, which are counted first: these rows shrink so much in a shuffle
+    that a size on the network says nothing about what a task has to hold.
     """
     found = hourly.agg(
         F.date_trunc("day", F.min("timestamp")).alias("first"),
@@ -142,7 +154,7 @@ def hourly_spine(
     )
     return (
         expected.unionByName(present)
-        .repartition("grid_id")
+        .repartition(spine_partitions(ids, first, last), "grid_id")
         .groupBy("grid_id", "timestamp")
         .agg(
             F.sum("total_activity").alias("total_activity"),

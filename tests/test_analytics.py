@@ -87,6 +87,14 @@ def test_spine_of_a_given_range_and_cells(spark, hourly):
     assert spine.where("grid_id = '99' and is_missing").count() == 9 * 24
 
 
+def test_spine_tasks_hold_a_bounded_number_of_rows(hourly, monkeypatch):
+    """Cells and hours decide how many tasks share the spine, not the size that these rows shrink to in a shuffle."""
+    monkeypatch.setattr(analytics, "SPINE_ROWS", 100, raising=False)
+    spine = analytics.hourly_spine(hourly)
+    assert spine.rdd.getNumPartitions() >= 6 * 9 * 24 // 100
+    assert spine.count() == 6 * 9 * 24
+
+
 def test_features_look_back_only(hourly):
     """Changing later hours changes no earlier feature."""
     cut = START + timedelta(days=6)
