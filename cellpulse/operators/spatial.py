@@ -74,3 +74,17 @@ def locate(points: DataFrame, lookup: DataFrame, x: str = "x", y: str = "y", til
     found = looked.where(inside(F.col("geometry"), F.col("px"), F.col("py"))).select("px", "py", "grid_id")
     here = (points[f"`{x}`"].cast("double") == found["px"]) & (points[f"`{y}`"].cast("double") == found["py"])
     return points.join(found, here, "left").select(*[points[f"`{c}`"] for c in points.columns], found["grid_id"])
+
+
+def totals_by_cell(points: DataFrame, lookup: DataFrame, value: str, x: str = "x", y: str = "y", tile: float = TILE) -> DataFrame:
+    """``grid_id``, ``n_points`` and ``total_value`` of the points that lie in each cell; null for those that lie in none.
+
+    Points of one place lie in the same cells, so they are summed up before they are located: where many
+    cells overlap, no point is repeated for each of them. Places that hold one point each cost what ``locate`` does.
+    """
+    at = lambda c: F.col(f"`{c}`").cast("double")
+    places = points.groupBy(at(x).alias("x"), at(y).alias("y")).agg(
+        F.count("*").alias("n_points"), F.sum(F.col(f"`{value}`")).alias("total_value")
+    )
+    found = locate(places, lookup, tile=tile)
+    return found.groupBy("grid_id").agg(F.sum("n_points").alias("n_points"), F.sum("total_value").alias("total_value"))

@@ -82,3 +82,26 @@ def test_no_cells_and_no_points(spark):
     points = spark.createDataFrame([(1.0, 1.0)], "x double, y double")
     assert spatial.locate(points, lookup_of(spark, {})).collect() == [(1.0, 1.0, None)]
     assert spatial.locate(points.limit(0), lookup_of(spark, {"a": [[[[0.0, 0.0], [1.0, 0.0], [0.0, 1.0]]]]})).count() == 0
+
+
+def test_totals_locate_each_place_once(spark, monkeypatch):
+    """Totals by cell against all pairs; copies of a place are summed up before the cells are looked for."""
+    square = lambda x, size: [[[[x, 0.0], [x + size, 0.0], [x + size, size], [x, size], [x, 0.0]]]]
+    cells = {"a": square(0.0, 1.0), "b": square(0.0, 4.0), "c": square(3.0, 1.0), "far": square(50.0, 1.0)}
+    places = [(0.5, 0.5), (3.5, 0.5), (9.0, 9.0), (None, 0.5)]
+    points = [(*places[i % 4], None if i % 7 == 0 else float(i)) for i in range(200)] + [(3.2, 3.2, None)]
+    located, rows = spatial.locate, []
+
+    def watched(found, *args, **kwargs):
+        rows.append(found.count())
+        return located(found, *args, **kwargs)
+
+    monkeypatch.setattr(spatial, "locate", watched)
+    frame = spark.createDataFrame(points, "x double, y double, value double")
+    found = {r["grid_id"]: (r["n_points"], r["total_value"]) for r in spatial.totals_by_cell(frame, lookup_of(spark, cells), "value").collect()}
+    expected = {}
+    for x, y, value in points:
+        for k in [k for k, c in cells.items() if x is not None and plain(x, y, c)] or [None]:
+            expected.setdefault(k, []).append(value)
+    assert found == {k: (len(v), sum(x for x in v if x is not None)) for k, v in expected.items()}
+    assert rows == [5]
