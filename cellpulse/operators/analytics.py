@@ -118,12 +118,14 @@ def hourly_spine(
     cells: DataFrame | None = None,
     start: datetime | None = None,
     end: datetime | None = None,
+    carried: tuple[str, ...] = (),
 ) -> DataFrame:
     """Every cell at every hour of the date range; hours without rows have ``is_missing``.
 
     Each cell expands its own sequence of hours, and the activity rows are added
     to these by one aggregation, so there is neither a cross join nor a join.
     The range is given, or runs from the first to the last day in the data.
+    ``carried`` names more measures to sum up, null in hours without a value.
 
     Rows are placed by cell before the aggregation. It has next to nothing to
     combine, as both sides are unique per cell and hour, and windows by cell can
@@ -143,6 +145,7 @@ def hourly_spine(
         F.explode(F.sequence(first, last, F.expr("INTERVAL 1 HOUR"))).alias("timestamp"),
         F.lit(0.0).alias("total_activity"),
         F.lit(0.0).alias("internet_activity"),
+        *[F.lit(None).cast("double").alias(f"carried_{c}") for c in carried],
         F.lit(0).alias("present"),
     )
     present = hourly.select(
@@ -150,6 +153,7 @@ def hourly_spine(
         F.date_trunc("hour", "timestamp").alias("timestamp"),
         "total_activity",
         "internet_activity",
+        *[F.col(c).alias(f"carried_{c}") for c in carried],
         F.lit(1).alias("present"),
     )
     return (
@@ -159,6 +163,7 @@ def hourly_spine(
         .agg(
             F.sum("total_activity").alias("total_activity"),
             F.sum("internet_activity").alias("internet_activity"),
+            *[F.sum(f"carried_{c}").alias(f"carried_{c}") for c in carried],
             (F.sum("present") == 0).alias("is_missing"),
         )
         .select(
@@ -167,5 +172,6 @@ def hourly_spine(
             "total_activity",
             share_of(F.col("internet_activity"), F.col("total_activity")).alias("internet_share"),
             "is_missing",
+            *[F.col(f"carried_{c}").alias(c) for c in carried],
         )
     )

@@ -95,6 +95,15 @@ def test_spine_tasks_hold_a_bounded_number_of_rows(hourly, monkeypatch):
     assert spine.count() == 6 * 9 * 24
 
 
+def test_spine_carries_measures(hourly, rows):
+    """What the aggregation carries along needs no join with the spine; hours without rows have none."""
+    spine = analytics.hourly_spine(hourly.withColumn("sms_in", F.col("total_activity") * 3), carried=("sms_in",))
+    assert "Join" not in spine._jdf.queryExecution().executedPlan().toString()
+    found = {(r["timestamp"], r["grid_id"]): r["sms_in"] for r in spine.collect() if not r["is_missing"]}
+    assert found == {(when, cell): pytest.approx(3 * value) for when, cell, value, _ in rows}
+    assert spine.where("is_missing and sms_in is not null").count() == 0
+
+
 def test_features_look_back_only(hourly):
     """Changing later hours changes no earlier feature."""
     cut = START + timedelta(days=6)
