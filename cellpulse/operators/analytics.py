@@ -140,7 +140,9 @@ def hourly_spine(
     first = F.lit(start).cast("timestamp") if start else found.select("first").scalar()
     last = F.lit(end).cast("timestamp") if end else found.select("last").scalar()
     ids = (hourly if cells is None else cells).select("grid_id").distinct()
-    expected = ids.select(
+    partitions = spine_partitions(ids, first, last)
+    # Few bytes of ids become many rows, so they are spread before they are expanded.
+    expected = ids.repartition(partitions, "grid_id").select(
         "grid_id",
         F.explode(F.sequence(first, last, F.expr("INTERVAL 1 HOUR"))).alias("timestamp"),
         F.lit(0.0).alias("total_activity"),
@@ -158,7 +160,7 @@ def hourly_spine(
     )
     return (
         expected.unionByName(present)
-        .repartition(spine_partitions(ids, first, last), "grid_id")
+        .repartition(partitions, "grid_id")
         .groupBy("grid_id", "timestamp")
         .agg(
             F.sum("total_activity").alias("total_activity"),

@@ -92,6 +92,8 @@ def test_spine_tasks_hold_a_bounded_number_of_rows(hourly, monkeypatch):
     monkeypatch.setattr(analytics, "SPINE_ROWS", 100, raising=False)
     spine = analytics.hourly_spine(hourly)
     assert spine.rdd.getNumPartitions() >= 6 * 9 * 24 // 100
+    # Cells are spread before they expand, too: few bytes of ids would stay in one task.
+    assert spine._jdf.queryExecution().optimizedPlan().toString().count("RepartitionByExpression [grid_id") == 2
     assert spine.count() == 6 * 9 * 24
 
 
