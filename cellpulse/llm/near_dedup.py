@@ -9,10 +9,10 @@ indexed once for every symbol that may be in error, without it, and all near pai
 
 Nobody writes out the pairs of a bucket. Every set is first compared with the
 nearest of its buckets' first members, exactly, which joins most of a group of
-near copies. What remains are pairs of different components: buckets that hold a
-single component are done, the others compare signatures across components only, in blocks if
-they are large, and give chains. Chains are then compared exactly, whole set with whole
-set, block by block and again across components only. So each near pair is either joined
+near copies. Sets whose signature is near the same first member are one chain. Buckets that hold a
+single chain are done, the others compare signatures across chains only, in blocks if
+they are large, and join the chains. Chains of several components are then compared exactly, whole set with whole
+set, block by block and across components only. So each near pair is either joined
 by others or compared.
 
 Texts of equal words are one set. Defined cases: a null text, or one without
@@ -272,18 +272,32 @@ def _in_blocks(rows: DataFrame, group: str, weight: Column, most: tuple[int, int
 
 
 def _chain(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Sets of different components whose signatures are near, each linked to the first of its chain."""
+    """Links between chains (``comp``) with a pair of near signatures.
+
+    A pair counts in the first bucket that it shares, and in one pair of blocks. Chains that
+    a link has joined are one from then on, so a group gives fewer links than it holds chains.
+    """
+    found: list[tuple[int, int]] = []
     for group in _grouped(batches, ["node", "low", "high"]):
         rows = np.frombuffer(b"".join(group["signature"]), np.uint16).reshape(-1, PLACES)
-        comp, sid = group["comp"], group["sid"]
-        label = np.arange(len(sid))
-        for i in range(len(sid)):
-            near = np.flatnonzero(((rows[i + 1 :] != rows[i]).sum(axis=1) <= DISTANCE) & (comp[i + 1 :] != comp[i])) + i + 1
-            if len(near):
-                own = np.unique(label[np.append(near, i)])
-                label[np.isin(label, own)] = own[0]
-        linked = np.flatnonzero(label != np.arange(len(sid)))
-        yield pd.DataFrame({"a": sid[linked], "b": sid[label[linked]]}, dtype="int64")
+        node, sid, own, keys = group["node"][0], group["sid"], group["own"], None
+        within, label = group["low"][0] == group["high"][0], np.unique(group["comp"], return_inverse=True)[1]
+        for i in range(len(sid) - 1):
+            other = label[i + 1 :] != label[i]
+            if not within:
+                other &= own[i + 1 :] != own[i]
+            at = np.flatnonzero(other) + i + 1
+            at = at[(rows[at] != rows[i]).sum(axis=1) <= DISTANCE]
+            if len(at):
+                keys = bucket_keys(rows).view(np.int64) if keys is None else keys
+                at = at[keys[i, (keys[at] == keys[i]).argmax(axis=1)] == node]
+                met, first = np.unique(label[at], return_index=True)
+                found += [(sid[j], sid[i]) for j in at[first]]
+                label[np.isin(label, met)] = label[i]
+        if len(found) > 10_000:
+            yield pd.DataFrame(found, columns=["a", "b"], dtype="int64")
+            found = []
+    yield pd.DataFrame(found, columns=["a", "b"], dtype="int64")
 
 
 def _compare_blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -325,6 +339,11 @@ def _with_components(rows: DataFrame, joined: DataFrame) -> DataFrame:
     return rows.join(found, "sid", "left").withColumn("comp", F.coalesce("of", "sid")).drop("of")
 
 
+def _of_several(rows: DataFrame, group: str) -> DataFrame:
+    """The groups that hold several components."""
+    return rows.groupBy(group).agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high").select(group)
+
+
 def linked_sets(docs: DataFrame, sets: DataFrame, key: str, text: str) -> DataFrame:
     """``member`` and ``root`` of all sets that links lead from to a smaller one; ``sets`` has ``sid``, ``copy_key``, ``rep``."""
     members = stored(buckets(sets), "buckets")
@@ -332,22 +351,23 @@ def linked_sets(docs: DataFrame, sets: DataFrame, key: str, text: str) -> DataFr
     either = stars.select(F.col("a").alias("sid")).unionByName(stars.select(F.col("b").alias("sid"))).distinct()
     texts = _found_texts(docs, sets.join(either, "sid", "left_semi"), key, text)
     links = stored(exact_stars(stars, texts), "links")
+    joined, alike = components(links), components(stars)
     discard(stars)
-    joined = components(links)
 
-    mixed = _with_components(members.select("node", "sid"), joined)
-    several = mixed.groupBy("node").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high")
-    mixed = stored(mixed.join(several.select("node"), "node"), "mixed")
+    # Who is near the same first member is in one chain already; only different chains have to meet.
+    mixed = _with_components(members.select("node", "sid"), alike)
+    mixed = stored(mixed.join(_of_several(mixed, "node"), "node"), "mixed")
     discard(members)
     rows = _in_blocks(mixed, "node", F.lit(1), (BLOCK, BLOCK)).join(sets.select("sid", "signature"), "sid")
     rows = rows.repartition("node", "low", "high").sortWithinPartitions("node", "low", "high")
     near = stored(rows.mapInPandas(_chain, "a long, b long"), "near")
     discard(mixed)
-    chains = components(near)
-    discard(near)
+    chains = components(near.unionByName(alike.select(F.col("member").alias("a"), F.col("root").alias("b"))))
+    discard(near, alike)
 
     everyone = chains.unionByName(chains.select(F.col("root").alias("member"), "root").distinct())
     everyone = _with_components(everyone.select(F.col("member").alias("sid"), "root"), joined)
+    everyone = everyone.join(_of_several(everyone, "root"), "root")
     everyone = stored(everyone.join(sets.select("sid", "n_shingles", "copy_key", "rep"), "sid"), "chains")
     texts = _found_texts(docs, everyone, key, text)
     rows = _in_blocks(everyone.select("root", "sid", "comp", "n_shingles"), "root", F.col("n_shingles"), (BLOCK, BLOCK_SHINGLES))

@@ -6,6 +6,7 @@ import random
 import re
 
 import numpy as np
+import pandas as pd
 import pytest
 
 from cellpulse.llm import near_dedup as n
@@ -84,6 +85,27 @@ def test_large_buckets_are_compared_in_blocks(spark, monkeypatch):
     assert result(spark, rows) == plain(rows)
 
 
+def test_links_between_chains_do_not_grow_with_members_buckets_or_blocks():
+    """Near signatures in many buckets and blocks: each chain is joined once, not each member everywhere."""
+    base = np.random.default_rng(6).integers(0, 1 << 16, n.PLACES).astype(np.uint16)
+    rows = np.tile(base, (60, 1))
+    rows[np.arange(60), np.arange(60)] += 1
+    comp = np.maximum(np.arange(60) - 49, 0)  # a chain of 50 and ten of one
+    groups = []
+    for node in np.unique(keys := n.bucket_keys(rows).view(np.int64)):
+        at = np.flatnonzero((keys == node).any(axis=1))
+        own = np.where(at < 50, 1 + at % 5, 0)
+        for high in range(6):
+            of = (own == 0) | (own == high)
+            groups.append(pd.DataFrame({"node": node, "low": 0, "high": high, "sid": at[of], "comp": comp[at[of]], "own": own[of], "signature": [r.tobytes() for r in rows[at[of]]]}))
+    found = pd.concat(n._chain(iter([pd.concat(groups)])))
+    label = comp.copy()
+    for a, b in found.itertuples(index=False):
+        label[label == label[a]] = label[b]
+    assert len(set(label)) == 1
+    assert len(found) < 2 * 60
+
+
 def test_nulls_ties_and_short_texts(spark):
     rows = [
         (1, None, "x", "y"), (2, "", "x", "y"), (3, " \n\t", "x", "y"), (4, "one", "x", "y"), (5, "ONE", "x", "y"),
