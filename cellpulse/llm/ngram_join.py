@@ -56,6 +56,8 @@ CANDIDATE = 0.8 - 4 * (0.8 * 0.2 / PLACES) ** 0.5
 #: Sets in one block of an exact comparison.
 BLOCK = 512
 CHUNK_WORDS = 1 << 18
+#: Words whose hashes a worker remembers.
+MEMO = 1 << 17
 
 _U = np.uint64
 
@@ -80,7 +82,7 @@ class _Words(dict):
     """Word to 64-bit hash, up to a bound."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) >= 1 << 20:
+        if len(self) >= MEMO:
             self.clear()
         found = self[word] = xxhash.xxh3_64_intdigest(word)
         return found

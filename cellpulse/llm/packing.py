@@ -41,7 +41,8 @@ CLOSING = 1
 #: A shard ends with this many documents or ids.
 SHARD_DOCS, SHARD_IDS = 512, 1 << 21
 K1, B = 1.2, 0.75
-MEMO = 1 << 20
+#: Words that a worker remembers, and pieces of words: few, as most rare pieces are a word of their own.
+MEMO, MEMO_PIECES = 1 << 20, 1 << 15
 MEMO_CHARS = 40
 
 #: How the tokenizer divides words, and the characters for bytes in its vocabulary.
@@ -89,9 +90,7 @@ class Encoder(dict):
         if found is None:
             marked = piece if piece.isascii() else "".join(map(self.byte_characters.__getitem__, piece.encode()))
             found = _as_bytes([t.id for t in self.model.tokenize(marked)])
-            if len(piece) <= MEMO_CHARS:
-                if len(self.pieces) >= MEMO:
-                    self.pieces.clear()
+            if len(piece) <= MEMO_CHARS and len(self.pieces) < MEMO_PIECES:
                 self.pieces[piece] = found
         return found
 

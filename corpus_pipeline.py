@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from cellpulse.llm import mixing, ngram_join, packing, quality_rules, secret_scan
 from cellpulse.llm.common import stored, table
-from cellpulse.session import discard, recorded, remove
+from cellpulse.session import discard, prepare, recorded, remove
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 #: Interim tables of the last stage that ran, by application.
@@ -31,7 +31,7 @@ def stage(work: Stage) -> Stage:
 
     @wraps(work)
     def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-        app = spark.sparkContext.applicationId
+        app = prepare(spark).sparkContext.applicationId
         remove(spark, _left.pop(app, []))
         with recorded() as made:
             result = work(spark, docs, sf_dir)

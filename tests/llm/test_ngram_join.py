@@ -149,3 +149,12 @@ def test_every_node_chooses_a_place():
     limit = np.uint64(int(2.0**64 / (n.MIN_JACCARD * n.PLACES)))
     chosen = n._chosen(n._constants(9, 5000), n._constants(77, n.PLACES), limit)
     assert chosen.any(axis=1).all() and 1.45 < chosen.sum(axis=1).mean() < 1.62
+
+
+def test_a_worker_remembers_few_words():
+    """Word hashes are quickly made again, and stay in a worker's memory through all later stages."""
+    text = " ".join(f"w{i}" for i in range(200_000))
+    first, _ = n.shingles([text])
+    again, _ = n.shingles([text])
+    assert (first == again).all()
+    assert len(n._words) <= 1 << 17

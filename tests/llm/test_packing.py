@@ -84,3 +84,12 @@ def test_table(spark):
     assert p.pack_documents(docs.limit(0), PATH).count() == 0
     whole = p.pack_documents(docs, PATH, with_ids=True).collect()
     assert all(zlib.crc32(np.frombuffer(r.ids, "<u2").astype("<u4").tobytes()) == r.ids_crc32 for r in whole)
+
+
+def test_a_worker_remembers_few_pieces():
+    """A rare word is a piece of its own; remembered twice, it doubled what a worker holds."""
+    tokenizer, encoder = Tokenizer.from_file(PATH), p.Encoder(PATH)
+    words = [f"{chr(97 + i % 26)}{'qxzj'[i % 4]}{''.join(chr(97 + int(d)) for d in str(i))}" for i in range(60_000)]
+    for text in (" ".join(words), " ".join(reversed(words))):
+        assert np.frombuffer(encoder.encode(text), "<u2").tolist() == expected(tokenizer, text)
+    assert len(encoder.pieces) <= 1 << 15

@@ -67,3 +67,10 @@ def test_stages(spark):
     check(pieces.collect(), numbered)
     assert sum(r.length for r in packed) == sum(r.length for r in pieces.collect())
     assert corpus_pipeline.STAGES[0][1](spark, spark.createDataFrame([], SCHEMA), "").count() == 0
+
+
+def test_long_texts_go_to_python_in_small_batches(spark):
+    rows = spark.createDataFrame([(i, "word " * 1000, "en", "a", 5000) for i in range(4000)], SCHEMA).coalesce(1)
+    corpus_pipeline.STAGES[0][1](spark, rows.limit(0), "")
+    sizes = rows.select("text").mapInPandas(lambda batches: (b.assign(n=b["text"].str.len().sum())[:1][["n"]] for b in batches), "n long")
+    assert max(r.n for r in sizes.collect()) < 8 << 20
