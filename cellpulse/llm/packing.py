@@ -21,14 +21,13 @@ from __future__ import annotations
 
 import re
 import struct
-import unicodedata
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pandas as pd
-import regex
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -41,12 +40,13 @@ CLOSING = 1
 #: A shard ends with this many documents or ids.
 SHARD_DOCS, SHARD_IDS = 512, 1 << 21
 K1, B = 1.2, 0.75
-#: Words that a worker remembers, and pieces of words: few, as most rare pieces are a word of their own.
+#: Pieces that a worker remembers, and those that it never forgets: few, as most are rare.
 MEMO, MEMO_PIECES = 1 << 20, 1 << 15
 MEMO_CHARS = 40
+#: Bytes of the texts that are divided at once, which take some ten times as much meanwhile; a longer text is divided alone.
+TEXT_BYTES = 1 << 20
 
-#: How the tokenizer divides words, and the characters for bytes in its vocabulary.
-PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
+#: Plain Latin characters, and the characters for bytes in the tokenizer's vocabulary.
 PLAIN = re.compile(r"[!-~¡-ÿ]*")
 
 
@@ -56,48 +56,120 @@ def _byte_characters() -> list[str]:
     return [chr(b) if b in own else chr(next(rest)) for b in range(256)]
 
 
+#: What a plain character is to the tokenizer; anything else is odd, and so is the word it stands in.
+SPACE, LETTER, NUMBER, MARK, ODD = range(5)
+
+
+def _kind(code: int) -> int:
+    character = chr(code)
+    if character in "\t\n\r ":
+        return SPACE
+    if not PLAIN.fullmatch(character):
+        return ODD
+    return LETTER if character.isalpha() else NUMBER if character.isnumeric() else MARK
+
+
+KINDS = np.array([_kind(code) for code in range(256)], np.uint8)
+#: Kinds of bytes in UTF-8, those of two-byte characters left open.
+BYTE_KINDS = np.where(np.arange(256) < 128, KINDS, ODD).astype(np.uint8)
+CAPITALS = np.array([chr(code).lower() != chr(code) for code in range(256)])
+LOWER = (np.arange(256) + 32 * (CAPITALS & (np.arange(256) < 128))).astype(np.uint8)
+
+
+def divided(texts: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Pieces of texts in UTF-8 that end with two line ends: bytes of all pieces, where each begins in them and in the texts.
+
+    It divides as the tokenizer does: ``'s|'t|'re|'ve|'m|'ll|'d``, runs of
+    letters, single numbers, runs of marks, in lower case. A word with an odd
+    character or ``<|`` is one piece, as it stands.
+    """
+    data = np.frombuffer(texts, np.uint8)
+    kind, low = BYTE_KINDS[data], LOWER[data]
+    first = np.flatnonzero((data == 0xC2) | (data == 0xC3))  # of a two-byte character up to U+00FF
+    code = (data[first] & 3) << 6 | data[first + 1] & 63
+    kind[first] = kind[first + 1] = KINDS[code]
+    low[first + 1] += 32 * CAPITALS[code].astype(np.uint8)
+    odd = kind == ODD
+    if b"<|" in texts:
+        odd[:-1] |= (data[:-1] == ord("<")) & (data[1:] == ord("|"))
+    if odd.any():
+        spaces = np.flatnonzero(kind == SPACE)
+        words = np.flatnonzero(np.logical_or.reduceat(odd, np.append(0, spaces[:-1])))
+        edge = np.zeros(len(data), np.int8)
+        edge[np.where(words > 0, spaces[words - 1] + 1, 0)] = 1
+        edge[spaces[words]] = -1
+        inside = np.cumsum(edge, dtype=np.int8).astype(bool)
+        kind[inside], low[inside] = ODD, data[inside]
+    begins = kind != SPACE
+    begins[1:] &= (kind[1:] != kind[:-1]) | (kind[1:] == NUMBER)
+    begins[first + 1] = False
+    at = np.flatnonzero((data == ord("'")) & begins & (kind == MARK))
+    after, last = low[at + 1], low[at + 2]
+    two = ((after == ord("r")) | (after == ord("v"))) & (last == ord("e")) | (after == ord("l")) & (last == ord("l"))
+    short = two | np.isin(after, np.frombuffer(b"stmd", np.uint8))
+    begins[at[short] + 1] = False
+    rest = (at + 2 + two)[short]
+    begins[rest[kind[rest] == LETTER]] = True
+    kept = kind != SPACE
+    return low[kept], np.flatnonzero(begins[kept]), np.flatnonzero(begins)
+
+
 class Encoder(dict):
-    """Word between spaces to its ids as bytes; the tokenizer is asked when a word first comes.
+    """Piece to its ids as bytes; the tokenizer is asked when a piece first comes.
 
-    Spaces and line ends divide words, whatever stands in them. A word of plain
-    Latin characters is divided here and its pieces merged by the tokenizer's
-    model; any other word goes through the whole tokenizer.
+    Spaces and line ends divide words, whatever stands in them. Words of plain
+    Latin characters are divided here, all texts of a batch at once, and each different
+    piece is merged by the tokenizer's model; any other word goes through the
+    whole tokenizer.
     """
 
     def __init__(self, path: str):
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
+        #: The first pieces, which stay when the others are forgotten.
         self.pieces: dict[str, bytes] = {}
         self.byte_characters = _byte_characters()
 
     def __missing__(self, word: str) -> bytes:
-        bare = word.rstrip(".,;:!?")
-        if bare.isalpha() and PLAIN.fullmatch(word):  # a piece of letters, and one of the marks behind it
-            found = self.piece(bare.lower()) + (self.piece(word[len(bare) :]) if len(bare) < len(word) else b"")
-        elif PLAIN.fullmatch(word) and "<|" not in word:
-            found = b"".join(map(self.piece, PIECES.findall(unicodedata.normalize("NFC", word).lower())))
-        else:
-            found = _as_bytes(self.tokenizer.encode(word, add_special_tokens=False).ids)
+        found = self.pieces.get(word)
+        if found is None:
+            if PLAIN.fullmatch(word) and "<|" not in word:
+                marked = word if word.isascii() else "".join(map(self.byte_characters.__getitem__, word.encode()))
+                found = _as_bytes([t.id for t in self.model.tokenize(marked)])
+            else:
+                found = _as_bytes(self.tokenizer.encode(word, add_special_tokens=False).ids)
         if len(word) <= MEMO_CHARS:
             if len(self) >= MEMO:
                 self.clear()
             self[word] = found
+            if len(self.pieces) < MEMO_PIECES:
+                self.pieces[word] = found
         return found
 
-    def piece(self, piece: str) -> bytes:
-        found = self.pieces.get(piece)
-        if found is None:
-            marked = piece if piece.isascii() else "".join(map(self.byte_characters.__getitem__, piece.encode()))
-            found = _as_bytes([t.id for t in self.model.tokenize(marked)])
-            if len(piece) <= MEMO_CHARS and len(self.pieces) < MEMO_PIECES:
-                self.pieces[piece] = found
-        return found
+    def encode_all(self, texts: list[str | None]) -> list[bytes]:
+        """Ids of each whole text and the closing one, 16 bits each."""
+        closing, raw = _as_bytes([CLOSING]), [(text or "").encode() for text in texts]
+        if len(raw) > 1 and sum(map(len, raw)) > TEXT_BYTES:
+            half = len(raw) // 2
+            return self.encode_all(texts[:half]) + self.encode_all(texts[half:])
+        letters, begins, at = divided(b"\n".join([*raw, b"\n"]))
+        if not len(begins):
+            return [closing] * len(raw)
+        offsets = pa.py_buffer(np.append(begins, len(letters)).astype(np.int64))
+        pieces = pa.Array.from_buffers(pa.large_string(), len(begins), [None, offsets, pa.py_buffer(letters)])
+        pieces = pieces.dictionary_encode()
+        different = pieces.dictionary.to_numpy(zero_copy_only=False).tolist()
+        known = pa.array(list(map(self.__getitem__, different)), pa.large_binary())
+        _, offsets, ids = known.take(pieces.indices).buffers()
+        text_ends = np.cumsum([len(x) + 1 for x in raw])
+        ends = np.frombuffer(offsets, np.int64)[np.searchsorted(at, text_ends)].tolist()
+        ids = memoryview(ids)
+        return [bytes(ids[a:b]) + closing for a, b in zip([0, *ends], ends, strict=False)]
 
     def encode(self, text: str | None) -> bytes:
         """Ids of a whole text and the closing one, 16 bits each."""
-        words = (text or "").replace("\n", " ").split(" ")
-        return b"".join(map(self.__getitem__, words)) + _as_bytes([CLOSING])
+        return self.encode_all([text])[0]
 
 
 def _as_bytes(ids: list[int]) -> bytes:
@@ -116,11 +188,14 @@ def tokenized(docs: DataFrame, vocabulary: str, key: str = "doc_id", text: str =
         raise ValueError("ids are stored in 16 bits")
 
     def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoder, df = encoder_of(vocabulary), np.zeros(1 << 16, np.int64)
+        encoder, df, last = encoder_of(vocabulary), np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64)
         for batch in batches:
-            ids = list(map(encoder.encode, batch["text"]))
+            ids = encoder.encode_all(batch["text"].tolist())
             for x in ids:
-                df[np.unique(np.frombuffer(x, "<u2"))] += 1
+                own = np.frombuffer(x, "<u2")
+                at = np.arange(len(own))
+                last[own] = at
+                df[own[last[own] == at]] += 1  # each id once, where it stands last
             yield pd.DataFrame({"doc_id": batch["doc_id"], "ids": ids, "df": None})
         yield pd.DataFrame({"doc_id": [None], "ids": [None], "df": [df.tobytes()]})
 
@@ -154,9 +229,10 @@ class Shard:
 
     def __init__(self, docs: list[np.ndarray], idf: np.ndarray, mean_length: float):
         sizes = np.array([len(d) for d in docs])
-        keys = np.concatenate([d.astype(np.int64) for d in docs]) * len(docs) + np.repeat(np.arange(len(docs)), sizes)
+        number = np.uint32 if len(docs) <= 1 << 16 else np.int64  # the narrower one sorts several times faster
+        keys = np.concatenate(docs).astype(number) * number(len(docs)) + np.repeat(np.arange(len(docs), dtype=number), sizes)
         keys, tf = np.unique(keys, return_counts=True)
-        term, self.doc = np.divmod(keys, len(docs))
+        term, self.doc = np.divmod(keys.astype(np.int64), len(docs))
         norm = K1 * (1 - B + B * sizes[self.doc] / max(mean_length, 1.0))
         self.weight = idf[term] * tf * (K1 + 1) / (tf + norm)
         self.begin = np.searchsorted(term, np.arange((1 << 16) + 1))
