@@ -78,7 +78,8 @@ def cosines(found: DataFrame, templates: dict[str, str]) -> DataFrame:
     idf = lambda: F.log((1 + F.lit(n)) / (1 + F.coalesce("df", F.lit(0)))) + 1
     rows = [(name, t) for name, text in templates.items() for t in terms_in(text)]
     notes = spark.createDataFrame(rows, "license string, own_term string").groupBy("license", "own_term")
-    notes = notes.agg(F.count("*").alias("own_tf")).join(df, F.col("own_term") == F.col("term"), "left")
+    few = df.where(F.col("term").isin(template_terms(templates)))
+    notes = notes.agg(F.count("*").alias("own_tf")).join(few, F.col("own_term") == F.col("term"), "left")
     notes = notes.select("license", "own_term", (F.col("own_tf") * idf()).alias("own_weight"))
     norms = notes.groupBy(F.col("license").alias("of")).agg(F.sqrt(F.sum(F.col("own_weight") ** 2)).alias("own_norm"))
     # One row for each template and term: as many as the templates have, whatever the input.
@@ -137,7 +138,8 @@ def license_scan(
     """``files`` (``doc_id``, ``path``, ``text``) with license, its origin, cosine and directory of origin.
 
     Directories are made distinct before they look above themselves, and files
-    find their directory's answer by directory and salt.
+    find their directory's answer by directory and salt. Tables that grow with
+    the files are merged; only those of the templates are broadcast.
     """
     templates = templates or TEMPLATES
     own = stored(own_licenses(files, templates, min_cosine), "own_licenses")
@@ -148,16 +150,15 @@ def license_scan(
         F.min(F.struct((-F.col("cosine")).alias("order"), "own", "path")).alias("g")
     )
     folders = files.where(F.col("path").isNotNull()).select(directory(F.col("path")).alias("folder")).distinct()
-    above = folders.select("folder", F.explode(ancestors(F.col("folder"))).alias("a"))
-    near = above.join(granted, F.col("a.folder") == F.col("granting")).groupBy("folder").agg(
-        F.max(F.struct(F.col("a.depth").alias("depth"), F.col("g.own").alias("own"), "granting")).alias("n")
-    )
+    above = folders.select("folder", F.inline(ancestors(F.col("folder"))).alias("depth", "above"))
+    near = attach(above, granted, "above", "granting", "folder").where(F.col("granting").isNotNull())
+    near = near.groupBy("folder").agg(F.max(F.struct("depth", F.col("g.own").alias("own"), "granting")).alias("n"))
     near = stored(
         near.select(F.col("folder").alias("in_folder"), F.col("n.own").alias("inherited"), F.col("n.granting").alias("granting")),
         "folders",
     )
     rows = files.select("doc_id", "path", directory(F.col("path")).alias("folder"))
-    rows = rows.join(own.withColumnRenamed("path", "own_path"), F.col("path") == F.col("own_path"), "left")
+    rows = rows.join(own.withColumnRenamed("path", "own_path").hint("merge"), F.col("path") == F.col("own_path"), "left")
     rows = attach(rows, near, "folder", "in_folder", "path")
     stated = F.col("own").isNotNull()
     return rows.select(

@@ -7,6 +7,7 @@ import re
 from collections import Counter
 
 from cellpulse.llm import license_scan as m
+from cellpulse.llm.common import attach, stored
 
 FILES = [
     (1, "a/LICENSE", "Released under the MIT License."),
@@ -65,3 +66,52 @@ def test_cosines(spark):
                 wanted.append((path, name, round(sum(v[t] * w.get(t, 0) for t in v) / norm(v) / norm(w), 6)))
     got = [(r.path, r.license, round(r.cosine, 6)) for r in m.cosines(found, m.TEMPLATES).collect()]
     assert sorted(got) == sorted(wanted)
+
+
+def broadcast_rows(df) -> list[int]:
+    """Rows of each table that a run of ``df`` sends through the driver."""
+    df.collect()
+    sent, plans = [], [df._jdf.queryExecution().executedPlan()]
+    while plans:
+        plan = plans.pop()
+        kind = plan.getClass().getSimpleName()
+        if kind == "BroadcastExchangeExec":
+            sent.append(plan.longMetric("numOutputRows").value())
+        if kind == "AdaptiveSparkPlanExec":
+            plans.append(plan.executedPlan())
+        elif kind.endswith("QueryStageExec"):
+            plans.append(plan.plan())
+        plans += [plan.children().apply(i) for i in range(plan.children().size())]
+    return sent
+
+
+def test_only_tables_of_the_templates_are_broadcast(spark, monkeypatch):
+    # Every folder has a license file, every such file a word of its own.
+    n = 100
+    files = [(i, f"top/{i}/LICENSE", f"Released under the MIT License.\nMIT x{i}") for i in range(n)]
+    files += [(n + i, f"top/{i}/y.txt", "prose") for i in range(n)]
+    sent = {}
+
+    def watched(df, label):
+        sent[label] = broadcast_rows(df)
+        return stored(df, label)
+
+    monkeypatch.setattr(m, "stored", watched)
+    found = m.license_scan(frame(spark, files))
+    sent["result"] = broadcast_rows(found)
+    assert len(sent) == 5
+    # A row for each template and term.
+    most = sum(len(m.terms_in(text)) for text in m.TEMPLATES.values())
+    assert most < n and max(x for rows in sent.values() for x in [0, *rows]) <= most, sent
+    got = [(r.doc_id, r.license, r.origin, r.inherited_from) for r in found.collect()]
+    wanted = [(i, "MIT", "stated", None) for i in range(n)] + [(n + i, "MIT", "inherited", f"top/{i}") for i in range(n)]
+    assert sorted(got) == wanted
+
+
+def test_attach(spark):
+    rows = spark.createDataFrame([(i, k) for i, k in enumerate(["a"] * 40 + [None, "b", "c"])], "i int, k string")
+    few = stored(spark.createDataFrame([("a", 1), (None, 2), ("c", 3), ("c", 4)], "of string, x int"), "few")
+    got = attach(rows, few, "k", "of", "i")
+    assert broadcast_rows(got) == []
+    wanted = [(i, "a", "a", 1) for i in range(40)] + [(40, None, None, 2), (41, "b", None, None), (42, "c", "c", 3), (42, "c", "c", 4)]
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(wanted, key=str)
